@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import ColumnLike, all_of, col, join_same, let
+from tidemark.functions.columns import ColumnLike, join_same, let
 
 LINEAR, NEAREST = "linear", "nearest"
 
@@ -56,7 +56,8 @@ def group_quantiles(
     """Exact quantiles per group, one column per entry of ``probs`` (``name -> (q, flavour)``).
 
     1. equal values are counted (spread by key *and* value, combined before the shuffle);
-    2. approximate cut points per group, a mergeable sketch of bounded size, define value buckets;
+    2. approximate cut points of all counted values, one mergeable sketch of bounded size, define value
+       buckets: a bucket of any group holds at most about ``1 / buckets`` of the counted values;
     3. bucket totals (at most ``buckets`` rows per group) tell which bucket holds each wanted rank;
     4. only those buckets are ordered, each on its own.
     """
@@ -70,11 +71,10 @@ def group_quantiles(
         .agg(F.count(F.lit(1)).alias("__c"))
     )
     cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    edges = counted.groupBy(*keys).agg(
-        F.percentile_approx("__v", cuts, F.lit(100 * buckets)).alias("__edges")
-    )
+    # one row with ``buckets - 1`` numbers
+    edges = counted.agg(F.percentile_approx("__v", cuts, F.lit(100 * buckets)).alias("__edges"))
     placed = (
-        join_same(counted, edges, keys)
+        counted.join(F.broadcast(edges))
         .withColumn("__b", F.size(F.filter("__edges", lambda e: e < F.col("__v"))))
         .drop("__edges")
     )
@@ -113,17 +113,36 @@ def group_quantiles(
     return out.drop("__all") if whole else out
 
 
+def column_quantiles(
+    df: DataFrame, keys: Sequence[str], specs: Mapping[str, tuple[str, float, str]]
+) -> DataFrame:
+    """Quantiles of several columns in one pass; ``specs`` maps a name to ``(column, q, flavour)``."""
+    cols = sorted({c for c, _, _ in specs.values()})
+    if len(cols) == 1:
+        return group_quantiles(df, keys, cols[0], {n: (q, fl) for n, (_, q, fl) in specs.items()})
+    typed = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols])
+    long = typed.unpivot(list(keys), cols, "__col", "__x")
+    wanted = sorted({(q, fl) for _, q, fl in specs.values()})
+    probs = {f"__p{i}": p for i, p in enumerate(wanted)}
+    wide = group_quantiles(long, [*keys, "__col"], "__x", probs)
+
+    def pick(c: str, q: float, fl: str) -> Column:
+        return F.max(F.when(F.col("__col") == c, F.col(f"__p{wanted.index((q, fl))}")))
+
+    picks = [pick(*spec).alias(n) for n, spec in specs.items()]
+    return wide.groupBy(*keys).agg(*picks) if keys else wide.agg(*picks)
+
+
 def with_quantiles(
     summary: DataFrame,
     rows: DataFrame,
     keys: Sequence[str],
-    value: str,
-    probs: Mapping[str, tuple[float, str]],
+    value: str | None,
+    probs: Mapping[str, tuple],
 ) -> DataFrame:
-    """A per-group summary with the quantiles of ``rows`` added."""
+    """A per-group summary with quantiles of ``rows`` added; without ``value`` every entry names its column."""
+    specs = probs if value is None else {n: (value, *p) for n, p in probs.items()}
+    found = column_quantiles(rows, keys, specs)
     if not keys:
-        one = group_quantiles(rows.withColumn("__one", F.lit(1)), ["__one"], value, probs)
-        return (
-            summary.withColumn("__one", F.lit(1)).join(one, "__one", "left").drop("__one")
-        )
-    return join_same(summary, group_quantiles(rows, keys, value, probs), keys, "left")
+        return summary.join(F.broadcast(found), F.lit(True), "left")  # one row on either side
+    return join_same(summary, found, keys, "left")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import join_same
 from tidemark.operators.resample import entity_weights
+from tidemark.sources.staging import staged
 
 MIN_LINK_COUNT, MIN_POINTS_LINK, MAX_FACTOR = 10.0, 20, 10.0
 BOOTSTRAP, SEED = 300, 20260412
@@ -128,11 +129,11 @@ def chained_index(
     seed: int = SEED,
 ) -> dict[str, DataFrame]:
     """Composite index with a bootstrap band over points, the species table and the points per link."""
-    cube = visit_maximum(df, species, point, year, value)
-    steps = year_steps(df, year)
+    cube = staged(visit_maximum(df, species, point, year, value))
+    steps = staged(cube.select(F.col("year").alias(year), "step", "steps").distinct())
     surveyed = surveyed_links(cube)
     link = links(cube, surveyed, None, min_count, min_points)
-    chained = chain(link, steps)
+    chained = staged(chain(link, steps))
     state = species_state(chained, max_factor)
     used = state.where(F.col("chain_ok") & ~F.col("extreme")).select("species")
     main = composite(chained.join(used, "species", "left_semi"))

@@ -12,7 +12,7 @@ from tidemark.functions.columns import all_of, join_same, ratio, sum0, sum_where
 
 def clean_names(df: DataFrame) -> DataFrame:
     """Plain spaces instead of non-breaking spaces in column names."""
-    return df.toDF(*[c.replace(" ", " ") for c in df.columns])
+    return df.toDF(*[c.replace("\u00a0", " ") for c in df.columns])
 
 
 def slice_series(df: DataFrame, where: Mapping[str, str], year: str, value: str = "value") -> DataFrame:
@@ -39,15 +39,16 @@ def group_pivot(
     rest: str = "other",
     subsets: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Per year: stated total, one column per group of codes, the remainder and further code subsets.
+    """Per year: total, one column per group of codes, the remainder and further code subsets.
 
-    ``total`` is the condition of the rows that hold the stated total.  The remainder is never negative.
+    ``total`` is the condition of the rows that make up the total (the stated total row, or all rows).  The
+    remainder is never negative.
     """
     v, c = F.col(value).cast("double"), F.col(code)
     g = df.where(F.col(value).isNotNull()).groupBy(F.col(year).try_cast("int").alias("year")).agg(
         F.sum(F.when(total, v)).alias("total"),
-        *[sum_where(v, ~total & c.isin(*codes)).alias(n) for n, codes in groups.items()],
-        *[sum_where(v, ~total & c.isin(*codes)).alias(n) for n, codes in (subsets or {}).items()],
+        *[sum_where(v, c.isin(*codes)).alias(n) for n, codes in groups.items()],
+        *[sum_where(v, c.isin(*codes)).alias(n) for n, codes in (subsets or {}).items()],
     )
     used = sum((F.col(n) for n in groups), F.lit(0.0))
     return g.where(F.col("total").isNotNull()).withColumn(rest, F.greatest(F.lit(0.0), F.col("total") - used))

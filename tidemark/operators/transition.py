@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import join_same, ratio
 from tidemark.functions.quantiles import LINEAR, NEAREST, group_quantiles, with_quantiles
 from tidemark.functions.ranks import latest
+from tidemark.sources.staging import staged
 
 CLASSES = ("1", "2", "3", "4", "5")
 GOOD = ("1", "2")
@@ -167,7 +168,7 @@ def paired_ends(
     ends = end_years(df, by, year, span)
     tagged = join_same(df, ends, [*by, year])
     first, last = F.col("end") == "first", F.col("end") == "last"
-    per = (
+    per = staged(
         tagged.groupBy(*by, entity)
         .agg(F.avg(F.when(first, F.col(value))).alias("a"), F.avg(F.when(last, F.col(value))).alias("b"))
         .where(F.col("a").isNotNull() & F.col("b").isNotNull())
@@ -182,9 +183,8 @@ def paired_ends(
         )
         .where(F.col("stations") >= min_entities)
     )
-    out = with_quantiles(base, per, by, "a", {"median_first": (0.5, LINEAR)})
-    out = with_quantiles(out, per, by, "b", {"median_last": (0.5, LINEAR)})
-    out = with_quantiles(out, per, by, "pct", {"median_change_pct": (0.5, LINEAR)})
+    medians = {"median_first": "a", "median_last": "b", "median_change_pct": "pct"}
+    out = with_quantiles(base, per, by, None, {n: (c, 0.5, LINEAR) for n, c in medians.items()})
     span_years = (ends.groupBy(*by) if by else ends.groupBy()).agg(
         *[f(F.when(F.col("end") == e, F.col(year))).alias(f"{e}_{n}") for e in ("first", "last") for n, f in (("from", F.min), ("to", F.max))]
     )
@@ -196,11 +196,7 @@ def paired_periods(
     df: DataFrame, by: Sequence[str], entity: str, period: str, value: str, min_entities: int = 20
 ) -> DataFrame:
     """Entity medians in the first and last period that have enough entities, and their change."""
-    per = join_same(
-        df.select(*by, entity, period).distinct(),
-        group_quantiles(df, [*by, entity, period], value, {"v": (0.5, LINEAR)}),
-        [*by, entity, period],
-    )
+    per = staged(group_quantiles(df, [*by, entity, period], value, {"v": (0.5, LINEAR)}))
     sizes = per.groupBy(*by, period).agg(F.count(F.lit(1)).alias("__k")).where(F.col("__k") >= min_entities)
     ends = (sizes.groupBy(*by) if by else sizes.groupBy()).agg(F.min(period).alias("from"), F.max(period).alias("to"))
     ends = ends.where(F.col("from") < F.col("to"))
@@ -218,9 +214,8 @@ def paired_periods(
     base = wide.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("plots"), ratio(F.count_if(F.col("diff") > 0), F.count(F.lit(1))).alias("share_increased")
     )
-    for src, name in (("a", "median_first"), ("b", "median_last"), ("diff", "median_change")):
-        base = with_quantiles(base, wide, keys, src, {name: (0.5, LINEAR)})
-    return base
+    medians = {"median_first": "a", "median_last": "b", "median_change": "diff"}
+    return with_quantiles(base, wide, keys, None, {n: (c, 0.5, LINEAR) for n, c in medians.items()})
 
 
 def period_summary(
