@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ColumnLike, col, keyword_tags, ratio
@@ -158,17 +158,12 @@ def strip_tags(html: ColumnLike) -> Column:
 
 def page_outline(df: DataFrame, ident: str, html: str) -> DataFrame:
     """Title and h1–h3 headings of a page, in order of level and position."""
-    parts = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.regexp_extract_all(F.col(html), F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), 1),
-                    lambda s, i, tag=tag: F.struct(F.lit(tag).alias("tag"), i.alias("pos"), strip_tags(s).alias("text")),
-                )
-                for tag in ("title", "h1", "h2", "h3")
-            ]
-        )
-    )
+
+    def of_tag(tag: str) -> Column:
+        hits = F.regexp_extract_all(F.col(html), F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), 1)
+        return F.transform(hits, lambda s, i: F.struct(F.lit(tag).alias("tag"), i.alias("pos"), strip_tags(s).alias("text")))
+
+    parts = F.flatten(F.array(*[of_tag(t) for t in ("title", "h1", "h2", "h3")]))
     return df.select(ident, F.explode(parts).alias("x")).select(ident, "x.*")
 
 
@@ -181,24 +176,22 @@ def links_with_suffix(df: DataFrame, ident: str, html: str, suffix: str = ".pdf"
 
 def nested_values(df: DataFrame, ident: str, json: str, fields: Mapping[str, str]) -> DataFrame:
     """Distinct non-blank text values of given keys anywhere in nested JSON: ``(ident, kind, name)``."""
-    found = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.regexp_extract_all(F.col(json), F.lit(rf'"{key}"\s*:\s*"((?:[^"\\]|\\.)*)"'), 1),
-                    lambda s, kind=kind: F.struct(
-                        F.lit(kind).alias("kind"),
-                        F.trim(F.get_json_object(F.concat(F.lit('{"v":"'), s, F.lit('"}')), "$.v")).alias("name"),
-                    ),
-                )
-                for key, kind in fields.items()
-            ]
-        )
-    )
+
+    def of_key(key: str, kind: str) -> Column:
+        hits = F.regexp_extract_all(F.col(json), F.lit(rf'"{key}"\s*:\s*"((?:[^"\\]|\\.)*)"'), 1)
+        text = lambda s: F.get_json_object(F.concat(F.lit('{"v":"'), s, F.lit('"}')), "$.v")
+        return F.transform(hits, lambda s: F.struct(F.lit(kind).alias("kind"), F.trim(text(s)).alias("name")))
+
+    found = F.flatten(F.array(*[of_key(k, kind) for k, kind in fields.items()]))
     rows = df.select(ident, F.explode(found).alias("x")).select(ident, "x.kind", "x.name")
     return rows.where(F.col("name") != "").distinct()
 
 
+def exploded(df: DataFrame, column: str) -> DataFrame:
+    """One row per member of a variant object or array: ``(…, pos, key, value)``."""
+    return df.lateralJoin(df.sparkSession.tvf.variant_explode(F.col(column).outer()))
+
+
 def records_with_key(df: DataFrame, ident: str, json: str, key: str, max_depth: int = 12) -> DataFrame:
     """Objects holding a key anywhere in nested JSON, as JSON text; deeper nesting than allowed fails the job."""
     level = df.select(ident, F.parse_json(F.col(json)).alias("__v"))
@@ -212,7 +205,7 @@ def records_with_key(df: DataFrame, ident: str, json: str, key: str, max_depth:
         found = nested.where(F.try_variant_get("__v", f"$.{key}", "string").isNotNull() | F.try_variant_get("__v", f"$.{key}", "variant").isNotNull())
         found = found.where(F.schema_of_variant("__v").startswith("OBJECT")).select(ident, F.to_json("__v").alias("record"))
         out = found if out is None else out.unionByName(found)
-        level = nested.selectExpr(f"`{ident}`", "variant_explode(__v)").select(ident, F.col("value").alias("__v"))
+        level = exploded(nested, "__v").select(ident, F.col("value").alias("__v"))
     return out
 
 
@@ -253,24 +246,36 @@ def json_fields(df: DataFrame, ident: Sequence[str], json: str) -> DataFrame:
 
 
 def xml_fields(df: DataFrame, ident: str, xml: str) -> DataFrame:
-    """``(ident, field, type)`` of the first record: the most repeated child element of the document root."""
-    v = df.select(
-        ident, F.expr(f"from_xml(`{xml}`, 'variant')").alias("__v")
+    """``(ident, field, type)`` of the first record: the most repeated child element of the document root.
+
+    Tags become rows; a running count of opened and closed tags within a document gives their depth.
+    """
+    plain = F.regexp_replace(F.col(xml), r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
+    tags = F.regexp_extract_all(plain, F.lit(r"(<[^!?][^>]*>)"), 1)
+    t = df.select(ident, F.posexplode(tags).alias("pos", "tag"))
+    closing, single = F.col("tag").startswith("</"), F.col("tag").endswith("/>")
+    w = Window.partitionBy(ident).orderBy("pos")
+    step = F.when(closing, -1).when(single, 0).otherwise(1)
+    opened = (
+        t.withColumn("after", F.sum(step).over(w))
+        .withColumn("depth", F.col("after") - step)
+        .where(~closing)
+        .withColumn("name", F.regexp_extract("tag", r"^<([^\s/>]+)", 1))
+        .withColumn("parent", F.max(F.when(F.col("depth") == 1, F.col("pos"))).over(w))
+    )
+    kids = opened.where(F.col("depth") == 1).groupBy(ident, "name").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
+    record = kids.groupBy(ident).agg(F.max(F.struct(F.col("n"), (-F.col("first")).alias("p"))).alias("o")).select(
+        ident, (-F.col("o.p")).alias("record")
+    )
+    marked = opened.join(record, ident)
+    elements = marked.where((F.col("depth") == 2) & (F.col("parent") == F.col("record"))).select(
+        ident, F.col("name").alias("field"), F.lit("element").alias("type")
     )
-    kids = v.selectExpr(f"`{ident}`", "variant_explode(__v)").where(~F.col("key").startswith("_"))
-    is_list = F.schema_of_variant("value").startswith("ARRAY")
-    n = F.when(is_list, F.size(F.try_variant_get("value", "$", "array<variant>"))).otherwise(1)
-    first = F.when(is_list, F.try_variant_get("value", "$[0]", "variant")).otherwise(F.col("value"))
-    ranked = kids.select(ident, "pos", n.alias("n"), first.alias("rec"), F.struct((-n).alias("m"), F.col("key").alias("k")).alias("o"))
-    best = ranked.groupBy(ident).agg(F.min("o").alias("o"))
-    rec = ranked.join(best, [ident, "o"]).select(ident, F.col("rec").alias("__v"))
-    fields = rec.selectExpr(f"`{ident}`", "variant_explode(__v)")
-    attr = F.col("key").startswith("_")
-    return fields.select(
-        ident,
-        F.when(attr, F.concat(F.lit("@"), F.substring("key", 2, 10000))).otherwise(F.col("key")).alias("field"),
-        F.when(attr, "attribute").otherwise("element").alias("type"),
+    attrs = F.regexp_extract_all(F.col("tag"), F.lit(r"\s([\w:.\-]+)\s*="), 1)
+    attributes = marked.where(F.col("pos") == F.col("record")).select(ident, F.explode(attrs).alias("a")).select(
+        ident, F.concat(F.lit("@"), "a").alias("field"), F.lit("attribute").alias("type")
     )
+    return attributes.unionByName(elements).distinct()
 
 
 PROPERTY = "struct<type:string,format:string,description:string>"
@@ -310,14 +315,15 @@ def api_columns(schemas: DataFrame, api: str) -> DataFrame:
 def api_operations(df: DataFrame, api: str, doc: str) -> DataFrame:
     """One row per path and HTTP method."""
     methods = ("get", "post", "put", "patch", "delete", "head")
-    paths = F.from_json(F.get_json_object(doc, "$.paths"), f"map<string,map<string,{OPERATION}>>")
+    paths = F.from_json(F.get_json_object(doc, "$.paths"), "map<string,map<string,string>>")
     rows = df.select(api, F.explode(F.map_entries(paths)).alias("p")).select(
         api, F.col("p.key").alias("path"), F.explode(F.map_entries("p.value")).alias("m")
     )
-    return rows.where(F.lower("m.key").isin(*methods) & F.col("m.value").isNotNull()).select(
+    ops = rows.where(F.lower("m.key").isin(*methods)).withColumn("op", F.from_json("m.value", OPERATION))
+    return ops.where(F.col("op").isNotNull()).select(
         api,
         F.upper("m.key").alias("method"),
         "path",
-        F.coalesce("m.value.summary", F.lit("")).alias("summary"),
-        F.coalesce("m.value.operationId", F.lit("")).alias("operation_id"),
+        F.coalesce("op.summary", F.lit("")).alias("summary"),
+        F.coalesce("op.operationId", F.lit("")).alias("operation_id"),
     )

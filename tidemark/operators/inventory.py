@@ -100,17 +100,12 @@ def page_links(pages: DataFrame, ident: str, html: str) -> DataFrame:
         "link": r'<a\b[^>]*?\bhref="([^"]*)"',
         "script": r'<script\b[^>]*?\bsrc="([^"]*)"',
     }
-    found = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.regexp_extract_all(F.col(html), F.lit(rx), 1),
-                    lambda s, k=k: F.struct(F.lit(k).alias("kind"), s.alias("src")),
-                )
-                for k, rx in rules.items()
-            ]
-        )
-    )
+
+    def of_kind(name: str, rx: str) -> Column:
+        hits = F.regexp_extract_all(F.col(html), F.lit(rx), 1)
+        return F.transform(hits, lambda s: F.struct(F.lit(name).alias("kind"), s.alias("src")))
+
+    found = F.flatten(F.array(*[of_kind(name, rx) for name, rx in rules.items()]))
     return pages.select(ident, F.explode(found).alias("x")).select(ident, "x.kind", "x.src")
 
 

@@ -1 +1,252 @@
+"""URLs, page links and outlines, keyword tags and contexts, captions, JSON and API fields."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import documents as doc
+from tidemark.operators import inventory as inv
+from tidemark.plans.queries.registry import query, rounded, table
+
+URL = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)"
+
+
+@query(
+    "url_parts",
+    "I01 I02 I03 I08",
+    rf"""WITH u AS (SELECT page_id, trim(url) AS url FROM pages)
+SELECT page_id, lower(regexp_extract(url, '{URL}', 1)) || '://' || lower(regexp_extract(url, '{URL}', 2)) || rtrim(url_decode(regexp_extract(url, '{URL}', 3)), '/') AS page,
+regexp_extract(url, '{URL}', 2) AS host,
+CASE WHEN contains(lower(regexp_extract(url, '{URL}', 2)), 'example.com') THEN 'commercial' WHEN contains(lower(regexp_extract(url, '{URL}', 2)), 'example.org') THEN 'organisation' ELSE 'other' END AS technology,
+CASE WHEN contains(lower(regexp_extract(url, '{URL}', 2)), 'example.com') THEN 'own' ELSE 'unknown' END AS owner,
+contains(lower(regexp_extract(url, '{URL}', 2)), 'example.com') OR contains(lower(regexp_extract(url, '{URL}', 2)), 'example.org') AS is_platform
+FROM u""",
+)
+def url_parts(spark, sf):
+    platforms = (("example.com", "commercial"), ("example.org", "organisation"))
+    p = table(spark, sf, "pages").select("page_id", inv.norm_page("url").alias("page"), inv.host_of("url").alias("host"), "url")
+    tech = inv.technology("host", None, platforms)
+    out = p.withColumns({"technology": tech, "is_platform": inv.is_platform("url", platforms)})
+    return out.withColumn("owner", inv.owner("technology", [("commercial", "own")])).drop("url")
+
+
+@query(
+    "workbook_view",
+    "I07",
+    r"""WITH p AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'https://x.org/views/Book' || page_id || '/My%20Sheet?a=1' WHEN 1 THEN 'https://x.org/static/images/ab/Bk' || page_id || '/V/1.png'
+WHEN 2 THEN 'https://x.org/shared/ID' || page_id ELSE url END AS link FROM pages)
+SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'Book' || page_id WHEN 1 THEN 'Bk' || page_id WHEN 2 THEN 'ID' || page_id ELSE '' END AS workbook,
+CASE page_id % 4 WHEN 0 THEN 'My Sheet' WHEN 1 THEN 'V' ELSE '' END AS view FROM p""",
+)
+def workbook_view(spark, sf):
+    i = F.col("page_id").cast("string")
+    kind = F.col("page_id") % 4
+    link = (
+        F.when(kind == 0, F.concat(F.lit("https://x.org/views/Book"), i, F.lit("/My%20Sheet?a=1")))
+        .when(kind == 1, F.concat(F.lit("https://x.org/static/images/ab/Bk"), i, F.lit("/V/1.png")))
+        .when(kind == 2, F.concat(F.lit("https://x.org/shared/ID"), i))
+        .otherwise(F.col("url"))
+    )
+    book, view = inv.workbook_view("link")
+    return table(spark, sf, "pages").select("page_id", link.alias("link")).select("page_id", book.alias("workbook"), view.alias("view"))
+
+
+@query(
+    "page_links",
+    "I09 I23",
+    r"""WITH l AS (SELECT page_id, 'link' AS kind, unnest(regexp_extract_all(html, '<a\b[^>]*?\bhref="([^"]*)"', 1)) AS src FROM pages
+UNION ALL SELECT page_id, 'img', unnest(regexp_extract_all(html, '<img\b[^>]*?\bsrc="([^"]*)"', 1)) FROM pages
+UNION ALL SELECT page_id, 'iframe', unnest(regexp_extract_all(html, '<iframe\b[^>]*?\bsrc="([^"]*)"', 1)) FROM pages
+UNION ALL SELECT page_id, 'script', unnest(regexp_extract_all(html, '<script\b[^>]*?\bsrc="([^"]*)"', 1)) FROM pages)
+SELECT page_id, kind, src, count(*) AS n FROM l GROUP BY 1, 2, 3""",
+)
+def page_links(spark, sf):
+    links = inv.page_links(table(spark, sf, "pages"), "page_id", "html")
+    return links.groupBy("page_id", "kind", "src").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "platform_links",
+    "I08 I09",
+    r"""WITH l AS (SELECT page_id, 'https://viz.tableau.example' || unnest(regexp_extract_all(html, '<a\b[^>]*?\bhref="(/[^"]*)"', 1)) AS src FROM pages)
+SELECT DISTINCT page_id, 'link' AS kind, src, 'viz.tableau.example' AS host, '' AS workbook, '' AS view FROM l""",
+)
+def platform_links(spark, sf):
+    links = inv.page_links(table(spark, sf, "pages"), "page_id", "html").where((F.col("kind") == "link") & F.col("src").startswith("/"))
+    absolute = links.withColumn("src", F.concat(F.lit("https://viz.tableau.example"), "src"))
+    return inv.link_rows(absolute, "page_id")
+
+
+@query(
+    "page_outline",
+    "I23",
+    r"""WITH t AS (SELECT page_id, 'title' AS tag, regexp_extract_all(html, '(?is)<title\b[^>]*>(.*?)</title>', 1) AS x FROM pages
+UNION ALL SELECT page_id, 'h1', regexp_extract_all(html, '(?is)<h1\b[^>]*>(.*?)</h1>', 1) FROM pages
+UNION ALL SELECT page_id, 'h2', regexp_extract_all(html, '(?is)<h2\b[^>]*>(.*?)</h2>', 1) FROM pages
+UNION ALL SELECT page_id, 'h3', regexp_extract_all(html, '(?is)<h3\b[^>]*>(.*?)</h3>', 1) FROM pages),
+e AS (SELECT page_id, tag, unnest(x) AS raw, unnest(range(0, len(x))) AS pos FROM t)
+SELECT page_id, tag, CAST(pos AS INTEGER) AS pos, trim(regexp_replace(regexp_replace(raw, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM e""",
+)
+def page_outline(spark, sf):
+    return doc.page_outline(table(spark, sf, "pages"), "page_id", "html")
+
+
+RULES = {
+    "forms": {"time": r"\bthe\b.*\bwas\b", "share": "share|ing "},
+    "dimensions": {"area": "ment", "age": "tion"},
+}
+
+
+@query(
+    "keyword_tags",
+    "I18 I20",
+    r"""WITH d AS (SELECT doc_id, lower(replace(text, chr(10), ' ')) AS t FROM documents),
+g AS (SELECT doc_id, 'forms' AS family, 'time' AS tag FROM d WHERE regexp_matches(t, '\bthe\b.*\bwas\b') UNION ALL SELECT doc_id, 'forms', 'share' FROM d WHERE regexp_matches(t, 'share|ing ')
+UNION ALL SELECT doc_id, 'forms', 'none' FROM d WHERE NOT regexp_matches(t, '\bthe\b.*\bwas\b') AND NOT regexp_matches(t, 'share|ing ')
+UNION ALL SELECT doc_id, 'dimensions', 'area' FROM d WHERE contains(t, 'ment') UNION ALL SELECT doc_id, 'dimensions', 'age' FROM d WHERE contains(t, 'tion')
+UNION ALL SELECT doc_id, 'dimensions', 'none' FROM d WHERE NOT contains(t, 'ment') AND NOT contains(t, 'tion'))
+SELECT lang, family, tag, count(*) AS n FROM g JOIN documents USING (doc_id) GROUP BY 1, 2, 3""",
+)
+def keyword_tags(spark, sf):
+    d = table(spark, sf, "documents").withColumn("t", F.replace("text", F.lit("\n"), F.lit(" ")))
+    return doc.tag_counts(d, ["lang"], "t", RULES)
+
+
+@query(
+    "caption_tags",
+    "I19 I20 I21",
+    r"""WITH l AS (SELECT doc_id, source, unnest(string_split_regex(text, '\r?\n')) AS line FROM documents),
+c AS (SELECT doc_id, source, CASE WHEN length(line) % 3 = 0 THEN 'tabel' WHEN length(line) % 3 = 1 THEN 'figure' ELSE 'joonis' END AS label, line AS text FROM l WHERE line <> ''),
+n AS (SELECT DISTINCT doc_id FROM c WHERE label NOT IN ('figure', 'table')),
+k AS (SELECT source, CASE WHEN label IN ('joonis', 'figure') THEN 'figures' ELSE 'tables' END AS kind, lower(text) AS t FROM c
+      WHERE length(text) > 12 AND NOT (label IN ('figure', 'table') AND doc_id IN (SELECT doc_id FROM n)))
+SELECT source, kind, count(*) AS n, count(*) FILTER (regexp_matches(t, 'viga|usaldus|confidence|error|konfidens|usikkerhet|standardfejl|osäkerhet')) AS uncertain FROM k GROUP BY 1, 2""",
+)
+def caption_tags(spark, sf):
+    lines = doc.lines(table(spark, sf, "documents"), ["doc_id", "source"], "text").where(F.col("line") != "")
+    n = F.length("line") % 3
+    caps = lines.select("doc_id", "source", F.when(n == 0, "tabel").when(n == 1, "figure").otherwise("joonis").alias("label"), F.col("line").alias("text"))
+    summary, _ = doc.classify_captions(caps, "doc_id")
+    src = table(spark, sf, "documents").select("doc_id", "source")
+    return summary.join(src, "doc_id").groupBy("source", "kind").agg(
+        F.sum("n").alias("n"), F.sum("caption_mentions_uncertainty").alias("uncertain")
+    )
+
+
+@query(
+    "caption_lines",
+    "I22",
+    r"""WITH l AS (SELECT doc_id, unnest(string_split_regex(text, '\r?\n')) AS line FROM documents)
+SELECT doc_id, count(*) AS lines, count(*) FILTER (regexp_matches(line, '^\s*(Der|The|Les|Los)\s+(.*)$')) AS captions,
+coalesce(max(CASE WHEN regexp_matches(line, '^\s*(Der|The|Les|Los)\s+(.*)$') THEN substr(regexp_extract(line, '^\s*(Der|The|Les|Los)\s+(.*)$', 2), 1, 160) END), '') AS last_text FROM l GROUP BY 1""",
+)
+def caption_lines(spark, sf):
+    d = table(spark, sf, "documents")
+    pattern = r"^\s*(Der|The|Les|Los)\s+(.*)$"
+    total = doc.lines(d, ["doc_id"], "text").groupBy("doc_id").agg(F.count(F.lit(1)).alias("lines"))
+    caps = doc.captions(d, ["doc_id"], "text", pattern).groupBy("doc_id").agg(F.count(F.lit(1)).alias("captions"), F.max("text").alias("last_text"))
+    return total.join(caps, "doc_id", "left").na.fill({"captions": 0, "last_text": ""})
+
+
+@query(
+    "keyword_context",
+    "I22",
+    r"""WITH d AS (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS t FROM documents),
+m AS (SELECT doc_id, t, regexp_extract(t, '(?i)(confidence|uncertaint[a-z]*|trend[a-z]*|target[a-z]*|ing on|tion der)', 0) AS w FROM d),
+p AS (SELECT *, instr(t, w) AS p0 FROM m WHERE w <> '')
+SELECT doc_id, doc_id AS page, lower(w) AS word, substr(t, greatest(p0 - 70, 1), p0 + length(w) + 90 - greatest(p0 - 70, 1)) AS context FROM p""",
+)
+def keyword_context(spark, sf):
+    d = table(spark, sf, "documents").withColumn("page", F.col("doc_id"))
+    pattern = "(?i)(confidence|uncertaint[a-z]*|trend[a-z]*|target[a-z]*|ing on|tion der)"
+    return doc.keyword_context(d, "doc_id", "page", "text", pattern, per_document=None)
+
+
+@query(
+    "term_pages",
+    "I22",
+    r"""SELECT lang, source, count(*) AS n, count(*) FILTER (regexp_matches(text, '(?i)\b(mets|skog|forest|skov|der|the)[a-z]*')) AS mentioning,
+round(count(*) FILTER (regexp_matches(text, '(?i)\b(mets|skog|forest|skov|der|the)[a-z]*')) / count(*), 6) AS share FROM documents GROUP BY 1, 2""",
+)
+def term_pages(spark, sf):
+    return rounded(doc.matching_documents(table(spark, sf, "documents"), ["lang", "source"], "text", r"(?i)\b(mets|skog|forest|skov|der|the)[a-z]*"))
+
+
+@query(
+    "json_fields",
+    "I15",
+    """WITH f AS (SELECT event_type, unnest(json_keys(props)) AS field, props FROM events)
+SELECT event_type, field, CASE json_type(props, '$.' || field) WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer' WHEN 'DOUBLE' THEN 'number' WHEN 'VARCHAR' THEN 'string' ELSE 'other' END AS type, count(*) AS n FROM f GROUP BY 1, 2, 3""",
+)
+def json_fields(spark, sf):
+    f = doc.json_fields(table(spark, sf, "events"), ["event_id", "event_type"], "props")
+    return f.groupBy("event_type", "field", "type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "nested_names",
+    "I11",
+    """SELECT event_id, 'kind' AS kind, event_type AS name FROM events UNION ALL SELECT event_id, 'user', 'u' || user_id FROM events""",
+)
+def nested_names(spark, sf):
+    nested = F.to_json(
+        F.struct(F.array(F.struct(F.col("event_type").alias("caption"), F.struct(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("who")).alias("x"))).alias("items"))
+    )
+    ev = table(spark, sf, "events").select("event_id", nested.alias("j"))
+    return doc.nested_values(ev, "event_id", "j", {"caption": "kind", "who": "user"})
+
+
+@query(
+    "records_with_key",
+    "I26",
+    """SELECT event_id, count(*) AS n FROM (SELECT event_id FROM events UNION ALL SELECT event_id FROM events WHERE event_type = 'click') GROUP BY 1""",
+)
+def records_with_key(spark, sf):
+    rec = F.struct(F.col("user_id").alias("repo"), F.col("value").alias("v"))
+    js = F.to_json(F.struct(F.array(rec, F.when(F.col("event_type") == "click", rec)).alias("items"), F.lit(1).alias("z")))
+    ev = table(spark, sf, "events").select("event_id", js.alias("j"))
+    return doc.records_with_key(ev, "event_id", "j", "repo", 6).groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "xml_fields",
+    "I25",
+    """SELECT page_id, unnest(['title', 'lang']) AS field, 'element' AS type FROM pages UNION ALL SELECT page_id, '@id', 'attribute' FROM pages""",
+)
+def xml_fields(spark, sf):
+    i = F.col("page_id").cast("string")
+    lang = F.regexp_extract("html", '<html lang="([a-z]*)"', 1)
+    rec = F.concat(F.lit('<rec id="'), i, F.lit('"><title>t</title><lang>'), lang, F.lit("</lang></rec>"))
+    xml = F.concat(F.lit("<root><head>h</head>"), rec, rec, F.lit("</root>"))
+    return doc.xml_fields(table(spark, sf, "pages").select("page_id", xml.alias("x")), "page_id", "x")
+
+
+API = """CASE WHEN page_id % 2 = 0 THEN 'v2' ELSE 'v3' END"""
+
+
+@query(
+    "api_columns",
+    "I12 I13",
+    """SELECT CAST(page_id AS VARCHAR) AS api, 'pages' AS "table", c AS "column", CASE c WHEN 'url' THEN 'string' ELSE 'integer' END AS type, '' AS format, c = 'id' AS required, '' AS description
+FROM pages, (SELECT unnest(['id', 'url', 'size']) AS c)""",
+)
+def api_columns(spark, sf):
+    return doc.api_columns(doc.api_schemas(api_documents(spark, sf), "api", "doc"), "api")
+
+
+def api_documents(spark, sf):
+    props = '{"pages": {"required": ["id"], "properties": {"id": {"type": "integer"}, "url": {"type": "string"}, "size": {"type": "integer"}}}}'
+    paths = '"paths": {"/pages": {"get": {"summary": "list", "operationId": "a"}, "post": {"summary": ""}, "parameters": [1]}}'
+    v2 = F.lit(f'{{"definitions": {props}, {paths}}}')
+    v3 = F.lit(f'{{"components": {{"schemas": {props}}}, {paths}}}')
+    return table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("api"), F.when(F.col("page_id") % 2 == 0, v2).otherwise(v3).alias("doc"))
+
+
+@query(
+    "api_operations",
+    "I14",
+    """SELECT CAST(page_id AS VARCHAR) AS api, m AS method, '/pages' AS path, CASE m WHEN 'GET' THEN 'list' ELSE '' END AS summary, CASE m WHEN 'GET' THEN 'a' ELSE '' END AS operation_id
+FROM pages, (SELECT unnest(['GET', 'POST']) AS m)""",
+)
+def api_operations(spark, sf):
+    return doc.api_operations(api_documents(spark, sf), "api", "doc")
