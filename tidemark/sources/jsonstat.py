@@ -80,7 +80,7 @@ def flatten(df: DataFrame, doc: str, dims: Sequence[str], ident: Sequence[str] =
     out, stride = [], F.lit(1).cast("bigint")
     for i in reversed(range(len(dims))):
         at = (F.floor(F.col("__i") / stride) % sizes[i] + 1).cast("int")
-        out.insert(0, F.element_at(f"__d{i}", at).alias(dims[i].replace(" ", " ")))
+        out.insert(0, F.element_at(f"__d{i}", at).alias(dims[i].replace("\u00a0", " ")))
         stride = stride * sizes[i]
     key = F.col("__i").cast("string")
     value = F.coalesce(F.try_element_at("__dense", (F.col("__i") + 1).cast("int")), F.try_element_at("__sparse", key))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,7 @@ def store_parts(
     def write(batch: DataFrame, batch_id: int) -> None:
         partial(batch, keys, value).write.mode("overwrite").parquet(f"{parts_dir}/batch={batch_id}")
 
-    place = checkpoint or f"{staging_dir(stream.sparkSession)}/stream-{abs(hash(parts_dir))}"
+    place = checkpoint or f"{staging_dir(stream.sparkSession)}/stream-{hashlib.md5(parts_dir.encode()).hexdigest()}"
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", place)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
