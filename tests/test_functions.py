@@ -22,14 +22,14 @@ def nearest(xs, q):
     return xs[int(q * (len(xs) - 1) + 0.5)]
 
 
-@pytest.mark.parametrize("buckets", [2, 7, 64])
-def test_group_quantiles_exact_with_hot_group_and_ties(spark, buckets):
+@pytest.mark.parametrize("hot, buckets", [(10**6, 64), (100, 2), (2, 7), (0, 16)])
+def test_group_quantiles_exact_with_hot_group_and_ties(spark, hot, buckets):
     rnd = random.Random(1)
     data = [("hot", float(rnd.randint(0, 400))) for _ in range(3000)] + [("hot", 7.0)] * 1500
     data += [("small", float(i)) for i in (5, 1, 3)] + [(None, 2.0), (None, 4.0), ("one", 9.5)]
     df = spark.createDataFrame(data, "k string, v double")
     probs = {"a": (0.1, LINEAR), "m": (0.5, LINEAR), "n": (0.95, NEAREST), "lo": (0.0, NEAREST), "hi": (1.0, LINEAR)}
-    got = {r["k"]: r for r in group_quantiles(df, ["k"], "v", probs, buckets).collect()}
+    got = {r["k"]: r for r in group_quantiles(df, ["k"], "v", probs, hot, buckets).collect()}
     for key in {k for k, _ in data}:
         xs = [v for k, v in data if k == key]
         assert got[key]["a"] == pytest.approx(linear(xs, 0.1))

@@ -41,9 +41,31 @@ def array_median(values: Column) -> Column:
     return let(F.sort_array(values), middle)
 
 
-def _target(q: float, flavour: str, n: Column) -> list[Column]:
-    pos = F.lit(q) * (n - 1)
-    return [F.round(pos).cast("bigint")] if flavour == NEAREST else [F.floor(pos), F.ceil(pos)]
+#: A group with more distinct values than this is ordered bucket by bucket instead of in one task.
+HOT_VALUES = 1_000_000
+
+
+def _ranks(q: float, flavour: str, n: str) -> list[str]:
+    pos = f"{q!r}D * ({n} - 1)"
+    return [f"cast(round({pos}) as bigint)"] if flavour == NEAREST else [f"floor({pos})", f"ceil({pos})"]
+
+
+def _pick(keys: Sequence[str], ranked: DataFrame, probs: Mapping[str, tuple[float, str]]) -> DataFrame:
+    """Quantiles from rows ``(keys, __v, __c, __hi, __n)``: value, its count, last rank + 1, group size."""
+
+    def at(rank: str) -> str:
+        return f"max(case when __hi - __c <= {rank} and {rank} < __hi then __v end)"
+
+    outs = []
+    for name, (q, flavour) in probs.items():
+        ends = [at(r) for r in _ranks(q, flavour, "__n")]
+        if flavour == NEAREST:
+            text = ends[0]
+        else:
+            pos = f"{q!r}D * (max(__n) - 1)"
+            text = f"{ends[0]} + ({ends[1]} - {ends[0]}) * ({pos} - floor({pos}))"
+        outs.append(F.expr(text).alias(name))
+    return ranked.groupBy(*keys).agg(*outs)
 
 
 def group_quantiles(
@@ -51,65 +73,63 @@ def group_quantiles(
     keys: Sequence[str],
     value: str,
     probs: Mapping[str, tuple[float, str]],
+    hot: int = HOT_VALUES,
     buckets: int = 64,
 ) -> DataFrame:
     """Exact quantiles per group, one column per entry of ``probs`` (``name -> (q, flavour)``).
 
-    1. equal values are counted (spread by key *and* value, combined before the shuffle);
-    2. approximate cut points of all counted values, one mergeable sketch of bounded size, define value
-       buckets: a bucket of any group holds at most about ``1 / buckets`` of the counted values;
-    3. bucket totals (at most ``buckets`` rows per group) tell which bucket holds each wanted rank;
-    4. only those buckets are ordered, each on its own.
+    Equal values are counted first (spread by key *and* value, combined before the shuffle).  Groups with at
+    most ``hot`` distinct values are then ordered by one window each.  Larger groups take another way:
+
+    1. approximate cut points of their counted values, one mergeable sketch of bounded size, define buckets
+       that hold at most about ``1 / buckets`` of those values each;
+    2. bucket totals (at most ``buckets`` rows per group) tell which bucket holds each wanted rank;
+    3. only those buckets are ordered, each on its own.
+
+    The list of large groups is broadcast: there is at most one per ``hot`` counted values.  When there is
+    none, adaptive execution drops the whole second way.
     """
     keys = list(keys)
     whole = not keys
     if whole:
         keys, df = ["__all"], df.withColumn("__all", F.lit(1))
+    part = ", ".join(f"`{k}`" for k in keys)
     counted = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__c"))
+        .agg(F.expr("count(*)").alias("__c"))
     )
-    cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    names = [f"`{k}`" for k in keys]
+    # the sum keeps the counts alive here too, so this reads the very exchange the ways below read
+    large = counted.groupBy(*keys).agg(F.expr("count(*)").alias("__k"), F.expr("sum(__c)").alias("__s")).where(f"__k > {hot} and __s > 0")
+    marked = F.broadcast(large.select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.lit(True).alias("__hot")))
+    is_large = F.expr(" and ".join(f"`{k}` <=> `__h_{k}`" for k in keys))
+    # an outer join with a flag: unlike an anti join it is not pushed below the counting
+    small = counted.join(marked, is_large, "left").where("__hot is null").selectExpr(
+        *names,
+        "__v",
+        "__c",
+        f"sum(__c) over (partition by {part} order by __v) as __hi",
+        f"sum(__c) over (partition by {part}) as __n",
+    )
+
+    big = counted.join(marked, is_large).selectExpr(*names, "__v", "__c")
+    cuts = ", ".join(repr(i / buckets) + "D" for i in range(1, buckets))
     # one row with ``buckets - 1`` numbers
-    edges = counted.agg(F.percentile_approx("__v", cuts, F.lit(100 * buckets)).alias("__edges"))
-    placed = (
-        counted.join(F.broadcast(edges))
-        .withColumn("__b", F.size(F.filter("__edges", lambda e: e < F.col("__v"))))
-        .drop("__edges")
+    edges = big.agg(F.expr(f"percentile_approx(__v, array({cuts}), {100 * buckets})").alias("__edges"))
+    placed = big.join(F.broadcast(edges)).selectExpr(*names, "__v", "__c", "size(filter(__edges, e -> e < __v)) as __b")
+    totals = placed.groupBy(*keys, "__b").agg(F.expr("sum(__c)").alias("__m")).selectExpr(
+        *names, "__b", "__m", f"sum(__m) over (partition by {part}) as __n", f"sum(__m) over (partition by {part} order by __b) as __end"
     )
-    group = Window.partitionBy(*keys)
-    totals = (
-        placed.groupBy(*keys, "__b")
-        .agg(F.sum("__c").alias("__m"))
-        .withColumn("__n", F.sum("__m").over(group))
-        .withColumn("__end", F.sum("__m").over(group.orderBy("__b")))
-        .withColumn("__start", F.col("__end") - F.col("__m"))
+    wanted = ", ".join(r for q, fl in probs.values() for r in _ranks(q, fl, "__n"))
+    needed = totals.where(f"exists(array({wanted}), r -> r >= __end - __m and r < __end)").selectExpr(
+        *names, "__b", "__n", "__end - __m as __start"
     )
-    n = F.col("__n")
-    wanted = F.array(*[t for q, fl in probs.values() for t in _target(q, fl, n)])
-    needed = totals.where(
-        F.exists(wanted, lambda t: (t >= F.col("__start")) & (t < F.col("__end")))
-    ).select(*keys, "__b", "__n", "__start")
-    inside = Window.partitionBy(*keys, "__b").orderBy("__v")
-    ranked = (
-        join_same(placed, needed, [*keys, "__b"])
-        .withColumn("__hi", F.col("__start") + F.sum("__c").over(inside))
-        .withColumn("__lo", F.col("__hi") - F.col("__c"))
+    inside = f"partition by {part}, __b order by __v"
+    ordered = join_same(placed, needed, [*keys, "__b"]).selectExpr(
+        *names, "__v", "__c", f"__start + sum(__c) over ({inside}) as __hi", "__n"
     )
-
-    def at(t: Column) -> Column:
-        return F.max(F.when((F.col("__lo") <= t) & (t < F.col("__hi")), F.col("__v")))
-
-    outs = []
-    for name, (q, fl) in probs.items():
-        ends = [at(t) for t in _target(q, fl, n)]
-        if fl == NEAREST:
-            outs.append(ends[0].alias(name))
-        else:
-            pos = F.lit(q) * (F.max("__n") - 1)
-            outs.append((ends[0] + (ends[1] - ends[0]) * (pos - F.floor(pos))).alias(name))
-    out = ranked.groupBy(*keys).agg(*outs)
+    out = _pick(keys, small, probs).unionByName(_pick(keys, ordered, probs))
     return out.drop("__all") if whole else out
 
 

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # no call-site capture per column expression: plans are built faster
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
