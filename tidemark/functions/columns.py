@@ -161,6 +161,14 @@ def keyword_tags(text: ColumnLike, rules: Mapping[str, str]) -> Column:
     return F.filter(tags, lambda t: t.isNotNull())
 
 
+def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Columns of a one-row aggregate on every row, as a scalar subquery (null when there is no row)."""
+    names = one_row.columns
+    packed = one_row.select(F.struct(*names).alias("__one")).scalar()
+    kept = [F.col(c) for c in df.columns]
+    return df.withColumn("__one", packed).select(*kept, *[F.col(f"__one.{n}").alias(n) for n in names])
+
+
 def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi join on ``keys`` where null equals null (group keys may be null)."""
     r = right.select(

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import ColumnLike, join_same, let
+from tidemark.functions.columns import ColumnLike, attach, join_same, let
 
 LINEAR, NEAREST = "linear", "nearest"
 
@@ -117,7 +117,7 @@ def group_quantiles(
     cuts = ", ".join(repr(i / buckets) + "D" for i in range(1, buckets))
     # one row with ``buckets - 1`` numbers
     edges = big.agg(F.expr(f"percentile_approx(__v, array({cuts}), {100 * buckets})").alias("__edges"))
-    placed = big.join(F.broadcast(edges)).selectExpr(*names, "__v", "__c", "size(filter(__edges, e -> e < __v)) as __b")
+    placed = attach(big, edges).selectExpr(*names, "__v", "__c", "size(filter(__edges, e -> e < __v)) as __b")
     totals = placed.groupBy(*keys, "__b").agg(F.expr("sum(__c)").alias("__m")).selectExpr(
         *names, "__b", "__m", f"sum(__m) over (partition by {part}) as __n", f"sum(__m) over (partition by {part} order by __b) as __end"
     )
@@ -164,5 +164,5 @@ def with_quantiles(
     specs = probs if value is None else {n: (value, *p) for n, p in probs.items()}
     found = column_quantiles(rows, keys, specs)
     if not keys:
-        return summary.join(F.broadcast(found), F.lit(True), "left")  # one row on either side
+        return attach(summary, found)
     return join_same(summary, found, keys, "left")

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import join_same
+from tidemark.functions.columns import attach, join_same
 from tidemark.operators.resample import entity_weights
 from tidemark.sources.staging import staged
 
@@ -85,8 +85,8 @@ def links(
 def chain(ratios: DataFrame, steps: DataFrame, keys: Sequence[str] = ("species",)) -> DataFrame:
     """Index 100 in the first year times the running product of ratios; null after the first invalid link."""
     keys = list(keys)
-    span = steps.select("steps").limit(1)
-    grid = ratios.select(*keys).distinct().join(F.broadcast(span)).select(
+    span = steps.agg(F.max("steps").alias("steps"))
+    grid = attach(ratios.select(*keys).distinct(), span).select(
         *keys, "steps", F.explode(F.sequence(F.lit(0), (F.col("steps") - 1).cast("int"))).alias("step")
     )
     full = join_same(grid, ratios.select(*keys, "step", "ratio"), [*keys, "step"], "left")

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import ratio, season, season_year
+from tidemark.functions.columns import attach, ratio, season, season_year
 from tidemark.functions.quantiles import LINEAR, NEAREST, with_quantiles
 from tidemark.functions.ranks import top_rows
 from tidemark.operators.mergeable import gated_mean
@@ -231,8 +231,8 @@ def index_to_first_common(
     first = common.agg(F.min(year).alias("base_year"))
     aligned = rows.join(common, year, "left_semi")
     base = (
-        aligned.join(F.broadcast(first), aligned[year] == F.col("base_year"))
-        .where(F.col(value) != 0)
-        .select(series, F.col("base_year"), F.col(value).alias("__b"))
+        attach(aligned, first)
+        .where((F.col(year) == F.col("base_year")) & (F.col(value) != 0))
+        .select(series, "base_year", F.col(value).alias("__b"))
     )
     return aligned.join(base, series).withColumn("index", F.lit(100.0) * ratio(value, "__b")).drop("__b")

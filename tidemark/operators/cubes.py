@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import all_of, join_same, ratio, sum0, sum_where
+from tidemark.functions.columns import all_of, attach, join_same, ratio, sum0, sum_where
 
 
 def clean_names(df: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def detect_signs(wide: DataFrame, target: str, fixed: Sequence[str], signed: tup
 def balance_rows(wide: DataFrame, signs: DataFrame) -> DataFrame:
     """Net imports and import dependency per year from aligned balance items and the detected sign."""
     net = F.col("imports") + F.col("sign_a") * F.col("exports")
-    return wide.where(F.col("gae").isNotNull()).join(F.broadcast(signs.select("sign_a"))).withColumns(
+    return attach(wide.where(F.col("gae").isNotNull()), signs.select("sign_a")).withColumns(
         {"net_imports": net, "dependency_pct": F.lit(100.0) * ratio(net, "gae")}
     ).drop("sign_a")
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import all_of, col, join_same, nan_to_null, ratio
+from tidemark.functions.columns import all_of, attach, col, join_same, nan_to_null, ratio
 from tidemark.functions.quantiles import NEAREST, with_quantiles
 
 
@@ -166,9 +166,7 @@ def age_class_set(df: DataFrame, label: str, width: int = 20) -> DataFrame:
     )
     lo, hi = F.try_element_at("n", F.lit(1)), F.try_element_at("n", F.lit(2))
     is_core = (F.size("n") == 2) & (hi - lo + 1 == width)
-    # distinct labels of one classifier: a code list, bounded by the vocabulary
-    top = F.max(F.when(is_core, lo)).over(Window.partitionBy(F.lit(1))) + width - 1
-    marked = names.withColumn("__top", top)
+    marked = attach(names, names.agg((F.max(F.when(is_core, lo)) + width - 1).alias("__top")))
     single = F.size("n") == 1
     lower = (
         F.when(is_core, lo)
@@ -189,7 +187,7 @@ def shares_check(parts: DataFrame, total: DataFrame, keys: Sequence[str] = ()) -
         s = parts.groupBy(*keys).agg(F.sum("value").alias("__p"))
         return join_same(s, total.select(*keys, F.col("value").alias("__t")), keys).select(*keys, ratio("__p", "__t").alias("share"))
     s = parts.agg(F.sum("value").alias("__p"))
-    return s.join(F.broadcast(total.agg(F.max("value").alias("__t")))).select(ratio("__p", "__t").alias("share"))
+    return attach(s, total.agg(F.max("value").alias("__t"))).select(ratio("__p", "__t").alias("share"))
 
 
 def error_summary(df: DataFrame, err: str = "suhteline_viga", limit: float = 0.5) -> DataFrame:

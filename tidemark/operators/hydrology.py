@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import join_same, ratio
+from tidemark.functions.columns import attach, join_same, ratio
 from tidemark.functions.quantiles import LINEAR, NEAREST, bounded_nearest, group_quantiles, with_quantiles
 from tidemark.operators.mergeable import gated_mean
 
@@ -38,7 +38,7 @@ def regime(
     """
     if current_year is None:
         last = monthly.agg(F.max("year").alias("__cy"))
-        monthly = monthly.join(F.broadcast(last))
+        monthly = attach(monthly, last)
     else:
         monthly = monthly.withColumn("__cy", F.lit(current_year) if isinstance(current_year, int) else current_year)
     past = F.when(F.col("year") < F.col("__cy"), F.col("value"))
@@ -153,8 +153,7 @@ def link_series(
     from tidemark.operators.resample import spearman
 
     both = left.select(year, x).join(right.select(year, y), year).where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    enough = both.agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= min_years)
-    aligned = both.join(F.broadcast(enough)).drop("__n")
+    aligned = attach(both, both.agg(F.count(F.lit(1)).alias("__n"))).where(F.col("__n") >= min_years).drop("__n")
     return aligned, spearman(aligned, [], year, x, y, reps=reps, min_points=min_years)
 
 

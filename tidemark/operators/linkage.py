@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import norm_key, ratio, sum0, sum_where
+from tidemark.functions.columns import attach, norm_key, ratio, sum0, sum_where
 from tidemark.functions.ranks import latest
 
 
@@ -42,9 +42,8 @@ def link_report(
         pairs.join(n_a, "left_column", "left")
         .join(n_b, "right_column", "left")
         .join(hits, ["left_column", "right_column"], "left")
-        .join(F.broadcast(total))
     )
-    return out.select(
+    return attach(out, total).select(
         "left_column",
         "right_column",
         F.coalesce("distinct_left", F.lit(0)).alias("distinct_left"),
@@ -92,7 +91,7 @@ def registry_report(
         .agg(F.count(F.lit(1)).alias("matched_ids"), F.count("__t").alias("matched_ids_with_target"))
     )
     out = reg_n.join(per_code, "register_column", "left").join(ids, "register_column", "left")
-    out = out.join(F.broadcast(n_a)).join(F.broadcast(total))
+    out = attach(attach(out, n_a), total)
     return out.select(
         "register_column",
         "distinct_amount_codes",

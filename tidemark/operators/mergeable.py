@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import sum0
+from tidemark.functions.columns import attach, distinct_with_null, sum0
 from tidemark.functions.quantiles import LINEAR, NEAREST, with_quantiles
 
 #: Last word of a series name -> how its hourly values become a day.
@@ -164,7 +164,7 @@ def completeness_report(reconciled: DataFrame, failed: DataFrame | None = None,
     )
     if failed is not None:
         n = failed.agg(F.count(F.lit(1)).alias("failed_parts"))
-        out = out.join(F.broadcast(n)).withColumn("complete", F.col("complete") & (F.col("failed_parts") == 0))
+        out = attach(out, n).withColumn("complete", F.col("complete") & (F.col("failed_parts") == 0))
     return out
 
 
@@ -172,8 +172,6 @@ def catalogue_of(
     parts: DataFrame, keys: Sequence[str], year: str = "year", distinct: Mapping[str, str] | None = None
 ) -> DataFrame:
     """Rows, year span and distinct members per key of a stored partial aggregate (null is a member)."""
-    from tidemark.functions.columns import distinct_with_null
-
     return parts.groupBy(*keys).agg(
         F.sum("rows").alias("rows"),
         F.min(year).alias("first_year"),

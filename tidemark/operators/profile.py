@@ -125,9 +125,8 @@ def shape_examples(
     df: DataFrame, dims: Sequence[str], by: Sequence[str], year: str, value: str, n: int = 3
 ) -> DataFrame:
     """Largest rows of the latest year per shape."""
-    last = df.agg(F.max(year).alias("__y"))
     shaped = df.withColumn("shape", F.concat_ws("+", *[F.when(F.col(d).isNotNull(), F.lit(d)) for d in dims]))
-    recent = shaped.join(F.broadcast(last), shaped[year] == F.col("__y"), "left_semi")
+    recent = shaped.where(F.col(year) == df.agg(F.max(year)).scalar())
     order = [F.desc_nulls_last(value), *[F.asc_nulls_last(d) for d in dims]]
     return top_rows(recent, [*by, "shape"], order, n, "example")
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import join_same
+from tidemark.functions.columns import attach, join_same
 from tidemark.functions.draws import draw
 from tidemark.functions.quantiles import LINEAR, array_median, with_quantiles
 from tidemark.functions.ranks import hash_positions
@@ -95,7 +95,7 @@ def trend(
     # one value per replicate: bounded by ``reps``
     band = [F.percentile("s", F.lit(0.025)).alias("lo"), F.percentile("s", F.lit(0.975)).alias("hi")]
     if not keys:
-        return head.join(F.broadcast(reps_slopes.agg(*band)))
+        return attach(head, reps_slopes.agg(*band))
     return join_same(head, reps_slopes.groupBy(*keys).agg(*band), keys, "left")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import join_same, ratio
+from tidemark.functions.columns import attach, join_same, ratio
 from tidemark.functions.quantiles import LINEAR, NEAREST, group_quantiles, with_quantiles
 from tidemark.functions.ranks import latest
 from tidemark.sources.staging import staged
@@ -122,7 +122,7 @@ def class_counts_by_year(df: DataFrame, year: str, statuses: Sequence[str], clas
 def first_and_last(df: DataFrame, key: str, year: str, value: str) -> DataFrame:
     """Value of every key in the first and in the last year of the table (keys present in both)."""
     ends = df.agg(F.min(year).alias("__a"), F.max(year).alias("__b"))
-    marked = df.join(F.broadcast(ends), (F.col(year) == F.col("__a")) | (F.col(year) == F.col("__b")))
+    marked = attach(df, ends).where((F.col(year) == F.col("__a")) | (F.col(year) == F.col("__b")))
     g = marked.groupBy(key).agg(
         F.min("__a").alias("from"),
         F.min("__b").alias("to"),
@@ -188,7 +188,7 @@ def paired_ends(
     span_years = (ends.groupBy(*by) if by else ends.groupBy()).agg(
         *[f(F.when(F.col("end") == e, F.col(year))).alias(f"{e}_{n}") for e in ("first", "last") for n, f in (("from", F.min), ("to", F.max))]
     )
-    out = join_same(out, span_years, by) if by else out.join(F.broadcast(span_years))
+    out = join_same(out, span_years, by) if by else attach(out, span_years)
     return out.withColumn("median_change_pct", F.when(F.col("__pos"), F.col("median_change_pct"))).drop("__pos")
 
 
@@ -200,7 +200,7 @@ def paired_periods(
     sizes = per.groupBy(*by, period).agg(F.count(F.lit(1)).alias("__k")).where(F.col("__k") >= min_entities)
     ends = (sizes.groupBy(*by) if by else sizes.groupBy()).agg(F.min(period).alias("from"), F.max(period).alias("to"))
     ends = ends.where(F.col("from") < F.col("to"))
-    tagged = join_same(per, ends, by) if by else per.join(F.broadcast(ends))
+    tagged = join_same(per, ends, by) if by else attach(per, ends).where(F.col("from").isNotNull())
     wide = (
         tagged.groupBy(*by, entity, "from", "to")
         .agg(

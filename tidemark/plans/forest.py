@@ -102,7 +102,7 @@ def age_structure(df: DataFrame, width: int = 20) -> DataFrame:
     aged = df.where((F.col("tabeli_number") == 13) & (F.col("filtri_tunnus2") == "Vanus"))
     scheme = es.age_class_set(aged, "filter2", width)
     shape = _shape(13, AREA, over=("omand", "enamuspuuliik", "filter2"), maakategooria=STOCKED, filtri_tunnus2="Vanus")
-    rows = es.exact(aged, DIMS, shape).join(F.broadcast(scheme), "filter2")
+    rows = es.exact(aged, DIMS, shape).join(scheme, "filter2")
     return es.total_over(es.series(rows, ["filter2", "lower"]), ["filter2", "lower", "year"])
 
 

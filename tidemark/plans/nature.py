@@ -64,7 +64,7 @@ def version_statistics(
 
 def _latest_version(df: DataFrame) -> DataFrame:
     last = df.agg(F.max("version").alias("__v"))
-    return df.join(F.broadcast(last), df["version"] == F.col("__v"), "left_semi")
+    return df.where(F.col("version") == last.scalar())
 
 
 def habitats(rows: DataFrame) -> dict[str, DataFrame]:

@@ -582,9 +582,9 @@ SELECT year, CASE WHEN p_brand IN (SELECT p_brand FROM t) THEN p_brand ELSE 'oth
 FROM s GROUP BY 1, 2""",
 )
 def top_n_fold(spark, sf):
-    li, p = table(spark, sf, "lineitem"), table(spark, sf, "part")
-    rows = li.join(p, li.l_partkey == p.p_partkey).withColumn("year", F.year("l_shipdate"))
-    return comp.fold_rest(rows, ["year"], "p_brand", "l_quantity", 8)
+    li, p = table(spark, sf, "lineitem"), table(spark, sf, "part").select("p_partkey", "p_brand")
+    per = li.groupBy("l_partkey", F.year("l_shipdate").alias("year")).agg(F.sum("l_quantity").alias("q"))
+    return comp.fold_rest(per.join(p, per.l_partkey == p.p_partkey), ["year"], "p_brand", "q", 8)
 
 
 @query(

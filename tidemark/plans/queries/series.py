@@ -138,7 +138,8 @@ o AS (SELECT c_mktsegment AS seg, {MONTH_NO} AS x, count(*) AS y FROM orders JOI
 def orders_by_segment(spark, sf):
     o, c = table(spark, sf, "orders"), table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     x = ((F.year("o_orderdate") - 1995) * 12 + F.month("o_orderdate")).alias("x")
-    return o.join(c, o.o_custkey == c.c_custkey).groupBy(F.col("c_mktsegment").alias("seg"), x).agg(F.count(F.lit(1)).alias("y"))
+    per = o.groupBy("o_custkey", x).agg(F.count(F.lit(1)).alias("n"))
+    return per.join(c, per.o_custkey == c.c_custkey).groupBy(F.col("c_mktsegment").alias("seg"), "x").agg(F.sum("n").alias("y"))
 
 
 @query(
@@ -183,9 +184,9 @@ SELECT p_brand, round(corr(rx, ry), 6) AS rho, count(*) AS n FROM r GROUP BY 1""
 )
 def spearman_rank(spark, sf):
     li, p = table(spark, sf, "lineitem"), table(spark, sf, "part").select("p_partkey", "p_brand")
-    o = li.join(p, li.l_partkey == p.p_partkey).groupBy(
-        "p_brand", (F.year("l_shipdate") * 12 + F.month("l_shipdate")).alias("t")
-    ).agg(F.sum("l_quantity").alias("x"), F.count(F.lit(1)).alias("y"))
+    t = (F.year("l_shipdate") * 12 + F.month("l_shipdate")).alias("t")
+    per = li.groupBy("l_partkey", t).agg(F.sum("l_quantity").alias("x"), F.count(F.lit(1)).alias("y"))
+    o = per.join(p, per.l_partkey == p.p_partkey).groupBy("p_brand", "t").agg(F.sum("x").alias("x"), F.sum("y").alias("y"))
     return rounded(rs.spearman(o, ["p_brand"], "t", "x", "y", reps=0))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import lookup, period_label, text_year
+from tidemark.functions.columns import attach, lookup, period_label, text_year
 from tidemark.functions.ranks import top_rows
 from tidemark.operators.transition import paired_periods, period_summary, two_level_limit
 
@@ -129,7 +129,7 @@ def build_water(df: DataFrame) -> dict[str, DataFrame]:
     surface = period_summary(nutrients(d), ["nutrient", "category", "year"], "mg", PLACE, None, (0.25, 0.75), 5)
     return {
         "groundwater_nitrate": two_level_limit(no3, ["year"], PLACE, "no3", NITRATE_LIMIT, MARK),
-        "nitrate_rows": all_no3.agg(F.count(F.lit(1)).alias("rows")).join(F.broadcast(used)).select(
+        "nitrate_rows": attach(all_no3.agg(F.count(F.lit(1)).alias("rows")), used).select(
             "rows_used", (F.col("rows") - F.col("rows_used")).alias("rows_excluded")
         ),
         "surface": surface.withColumnRenamed("plots", "sites"),

@@ -66,8 +66,7 @@ def build(agg: DataFrame) -> dict[str, DataFrame]:
     d = clean(agg)
     flow = F.col("maht_liik")
     gen = d.where(flow == GENERATION)
-    last = F.broadcast(d.agg(F.max("aasta").alias("__y")))
-    latest_gen = gen.join(last, gen["aasta"] == F.col("__y"), "left_semi")
+    latest_gen = gen.where(F.col("aasta") == d.agg(F.max("aasta")).scalar())
     rules = stream_rules()
     flows = d.where(flow.isin(*STREAM_FLOWS))
     return {

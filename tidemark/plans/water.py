@@ -104,8 +104,7 @@ def build_balance(
     valid_bores = boreholes.where(F.col("keht_staatus") == VALID)
     units = lk.code_units(intakes, valid_bores, "kkr_kood", "id", "veehaare_id", "pohjaveekogum_id")
     g = lk.allocate(abstraction.where(F.col("aastakokku").isNotNull()), units, "veehaardekood")
-    last = F.broadcast(g.agg(F.max("aruandeaasta").alias("__y")))
-    recent = g.join(last, g["aruandeaasta"] == F.col("__y"), "left_semi")
+    recent = g.where(F.col("aruandeaasta") == g.agg(F.max("aruandeaasta")).scalar())
     res = lk.reserves_per_unit(reserves.where(F.col("keht_staatus") == VALID), "pohjaveekogum_id", "varu_t1_olme")
     status = lk.latest_status(states, "pohjaveekogum_id", ["aasta", "muut_aeg"], ["kood", "seis_kog", "aasta"])
     single = recent.where(F.col("class") == "single").withColumnRenamed("unit", "body")
