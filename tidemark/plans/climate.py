@@ -30,9 +30,15 @@ def variant_series(
     return tagged.groupBy("variant", year).agg(F.avg(value).alias("value"))
 
 
-def annual_and_seasonal(df: DataFrame, kind: str, names: cl.Names = cl.Names()) -> DataFrame:
+def annual_and_seasonal(
+    df: DataFrame,
+    kind: str,
+    names: cl.Names = cl.Names(),
+    base: tuple[int, int] = cl.BASELINE,
+    min_years: int = cl.MIN_NORMAL_YEARS,
+) -> DataFrame:
     """Complete years and seasons of every station in one long table ``(period, entity, year, anom)``."""
-    normals = cl.monthly_normals(df, names)
+    normals = cl.monthly_normals(df, names, base, min_years)
     seasonal = cl.with_season(df, names)
     by = ["season", "season_year"]
     if kind == "ratio":

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("flows", "series", "status", "links", "texts")
+MODULES = ("flows", "series", "status", "links", "texts", "landing")
 
 
 def load_all():
