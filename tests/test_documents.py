@@ -95,6 +95,8 @@ def test_keyword_context(spark):
     df = spark.createDataFrame([("d", 1, long), ("d", 2, "a\n confidence"), ("d", 3, "nothing")], "doc string, page int, text string")
     got = sorted((r["page"], r["word"], len(r["context"])) for r in doc.keyword_context(df, "doc", "page", "text", r"(?i)confidence\w*").collect())
     assert got == [(1, "confidence", 70 + 10 + 90), (2, "confidence", 12)]
+    hits = doc.keyword_context(df, "doc", "page", "text", r"(?i)confidence\w*")
+    assert doc.keyword_pages(hits, "doc", "page").first()["keyword_pages"] == 2
     many = spark.range(60).select(F.lit("d").alias("doc"), F.col("id").alias("page"), F.lit("confidence").alias("text"))
     assert doc.keyword_context(many, "doc", "page", "text", "confidence").count() == 40
     assert doc.keyword_context(many, "doc", "page", "text", "confidence", per_document=None).count() == 60

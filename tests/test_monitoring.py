@@ -157,3 +157,10 @@ def test_catalogue(spark):
     cov = monitoring.coverage(cat)
     assert {r["year"] for r in cov["rows_by_year"].collect()} == {2019, 2020}
     assert cov["groups"].first()["years"] == 3
+
+
+def test_sections_follow_the_data(spark):
+    cols = "naitaja_nimetus string, seireaeg_algus string, seirekoht_kood string, isend_nr string, liik_est string, vaartus_muu string"
+    crown = spark.createDataFrame([(species.CROWN_INDICATOR, "2020-07-01", "P1", "1", "harilik mänd", ">20-25%")], cols)
+    out = monitoring.build(crown)
+    assert {k.split(".")[0] for k in out} == {"crowns"} and out["crowns.by_year"].count() == 2

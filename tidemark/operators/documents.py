@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import ColumnLike, col, keyword_tags, ratio
+from tidemark.functions.columns import ColumnLike, col, keyword_tags, let, ratio
 from tidemark.functions.ranks import top_rows
 
 #: Caption lines, label sets and keyword rules.
@@ -144,6 +144,11 @@ def keyword_context(
     return top_rows(hits, [doc], [F.asc(page)], per_document)
 
 
+def keyword_pages(hits: DataFrame, doc: str, page: str) -> DataFrame:
+    """Distinct pages with a keyword hit per document."""
+    return hits.groupBy(doc).agg(F.count_distinct(page).alias("keyword_pages"))
+
+
 def matching_documents(df: DataFrame, keys: Sequence[str], text: str, pattern: str) -> DataFrame:
     """Rows per key, rows mentioning a term, and their share."""
     hit = F.col(text).rlike(pattern)
@@ -224,16 +229,17 @@ def json_type(schema: Column) -> Column:
 
 
 def _unwrap(text: Column) -> Column:
-    """One step into a list or into the first list of a small envelope object."""
-    t = F.trim(text)
-    entries = F.map_values(F.from_json(t, "map<string,string>"))
-    first_list = F.try_element_at(F.filter(entries, lambda v: v.startswith("[")), F.lit(1))
-    small = F.size(entries) <= 3
-    return (
-        F.when(t.startswith("["), F.coalesce(F.get_json_object(t, "$[0]"), F.lit("{}")))
-        .when(t.startswith("{") & small & first_list.isNotNull(), first_list)
-        .otherwise(t)
-    )
+    """One step into a list or into the first list of a small envelope object (each text is parsed once)."""
+
+    def step(t: Column, members: Column) -> Column:
+        first_list = F.try_element_at(F.filter(members, lambda v: v.startswith("[")), F.lit(1))
+        return (
+            F.when(t.startswith("["), F.coalesce(F.get_json_object(t, "$[0]"), F.lit("{}")))
+            .when(t.startswith("{") & (F.size(members) <= 3), F.coalesce(first_list, t))
+            .otherwise(t)
+        )
+
+    return let(F.trim(text), lambda t: let(F.map_values(F.from_json(t, "map<string,string>")), lambda m: step(t, m)))
 
 
 def json_fields(df: DataFrame, ident: Sequence[str], json: str) -> DataFrame:

@@ -101,3 +101,31 @@ def has_rows(df: DataFrame, columns: Sequence[str], condition: Column) -> bool:
     if not set(columns) <= set(df.columns):
         return False
     return not df.where(condition).limit(1).isEmpty()
+
+
+def build(measurements: DataFrame, reps: int = 300) -> dict[str, DataFrame]:
+    """Every theme the long measurement table has rows for; a theme without its columns or rows is left out."""
+    from tidemark.plans import air, soil_water, species
+
+    def present(columns: Sequence[str], condition: Column) -> bool:
+        return has_rows(measurements, columns, condition)
+
+    themes = {
+        "crowns": (present([NAME, "vaartus_muu"], F.col(NAME) == species.CROWN_INDICATOR), species.build_crowns),
+        "soil": (
+            present(["seiretoo_nimetus", "naitaja_proovimaatriks_nimi"], F.col("seiretoo_nimetus").startswith(soil_water.SOIL_PROGRAMME)),
+            soil_water.build_soil,
+        ),
+        "air": (air.has_air(measurements), air.build),
+        "predators": (species.has_predators(measurements), species.build_predators),
+        "birds": (species.has_birds(measurements), lambda df: species.build_birds(df, reps)),
+        "water": (
+            present([NAME, "pohjaveekogum_kood", "seirekogum_tyyp"], F.col(NAME).isin(soil_water.NO3, soil_water.NO3N, *soil_water.NUTRIENTS)),
+            soil_water.build_water,
+        ),
+    }
+    out: dict[str, DataFrame] = {}
+    for theme, (there, make) in themes.items():
+        if there:
+            out.update({f"{theme}.{k}": v for k, v in make(measurements).items()})
+    return out
