@@ -75,9 +75,12 @@ def group_quantiles(
     probs: Mapping[str, tuple[float, str]],
     hot: int = HOT_VALUES,
     buckets: int = 64,
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact quantiles per group, one column per entry of ``probs`` (``name -> (q, flavour)``).
 
+    With ``weight`` a row stands for that many equal values (rows that are already counted).
+
     Equal values are counted first (spread by key *and* value, combined before the shuffle).  Groups with at
     most ``hot`` distinct values are then ordered by one window each.  Larger groups take another way:
 
@@ -97,7 +100,7 @@ def group_quantiles(
     counted = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("__v"))
-        .agg(F.expr("count(*)").alias("__c"))
+        .agg(F.expr(f"sum(`{weight}`)" if weight else "count(*)").alias("__c"))
     )
     names = [f"`{k}`" for k in keys]
     # the sum keeps the counts alive here too, so this reads the very exchange the ways below read
@@ -134,17 +137,18 @@ def group_quantiles(
 
 
 def column_quantiles(
-    df: DataFrame, keys: Sequence[str], specs: Mapping[str, tuple[str, float, str]]
+    df: DataFrame, keys: Sequence[str], specs: Mapping[str, tuple[str, float, str]], weight: str | None = None
 ) -> DataFrame:
     """Quantiles of several columns in one pass; ``specs`` maps a name to ``(column, q, flavour)``."""
     cols = sorted({c for c, _, _ in specs.values()})
     if len(cols) == 1:
-        return group_quantiles(df, keys, cols[0], {n: (q, fl) for n, (_, q, fl) in specs.items()})
-    typed = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols])
-    long = typed.unpivot(list(keys), cols, "__col", "__x")
+        return group_quantiles(df, keys, cols[0], {n: (q, fl) for n, (_, q, fl) in specs.items()}, weight=weight)
+    kept = [*keys, *([weight] if weight else [])]
+    typed = df.select(*kept, *[F.col(c).cast("double").alias(c) for c in cols])
+    long = typed.unpivot(kept, cols, "__col", "__x")
     wanted = sorted({(q, fl) for _, q, fl in specs.values()})
     probs = {f"__p{i}": p for i, p in enumerate(wanted)}
-    wide = group_quantiles(long, [*keys, "__col"], "__x", probs)
+    wide = group_quantiles(long, [*keys, "__col"], "__x", probs, weight=weight)
 
     def pick(c: str, q: float, fl: str) -> Column:
         return F.max(F.when(F.col("__col") == c, F.col(f"__p{wanted.index((q, fl))}")))
@@ -159,10 +163,11 @@ def with_quantiles(
     keys: Sequence[str],
     value: str | None,
     probs: Mapping[str, tuple],
+    weight: str | None = None,
 ) -> DataFrame:
     """A per-group summary with quantiles of ``rows`` added; without ``value`` every entry names its column."""
     specs = probs if value is None else {n: (value, *p) for n, p in probs.items()}
-    found = column_quantiles(rows, keys, specs)
+    found = column_quantiles(rows, keys, specs, weight)
     if not keys:
         return attach(summary, found)
     return join_same(summary, found, keys, "left")

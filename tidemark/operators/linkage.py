@@ -193,7 +193,7 @@ def by_register_type(
     allocated: DataFrame, register: DataFrame, code: str, kind: str, amount: str, missing: str
 ) -> DataFrame:
     """Amount by a register attribute, with the part on unambiguous codes (one register row per code)."""
-    t = register.groupBy(norm_key(code).alias("code")).agg(F.min(F.struct(F.col(kind).alias("k")))["k"].alias("__kind"))
+    t = register.groupBy(norm_key(code).alias("code")).agg(F.min(kind).alias("__kind"))
     j = allocated.join(t, "code", "left").withColumn("kind", F.coalesce("__kind", F.lit(missing)))
     return j.groupBy("kind").agg(
         sum0(amount).alias("total"),

@@ -222,14 +222,24 @@ def period_summary(
     df: DataFrame, keys: Sequence[str], value: str, entity: str, mark: str | None = None,
     quantiles: tuple[float, float] = (0.1, 0.9), min_rows: int = 1,
 ) -> DataFrame:
-    """Samples, distinct entities, median and two nearest-rank quantiles per key."""
-    aggs = [F.count(F.lit(1)).alias("samples"), F.count_distinct(entity).alias("plots")]
+    """Samples, distinct entities, median and two nearest-rank quantiles per key (rows have a value)."""
+    cells = counted_cells(df, [*keys, entity], value, mark)
+    aggs = [F.sum("__n").alias("samples"), F.count_distinct(entity).alias("plots")]
     if mark:
-        aggs.append(F.count(mark).alias("below_loq_mark"))
-    base = df.groupBy(*keys).agg(*aggs).where(F.col("samples") >= min_rows)
+        aggs.append(F.sum("__marks").alias("below_loq_mark"))
+    base = cells.where("__marks >= 0").groupBy(*keys).agg(*aggs).where(F.col("samples") >= min_rows)
     lo, hi = quantiles
     names = {f"p{round(lo * 100)}": (lo, NEAREST), f"p{round(hi * 100)}": (hi, NEAREST), "median": (0.5, LINEAR)}
-    return with_quantiles(base, df, keys, value, names)
+    return with_quantiles(base, cells.where("__marks >= 0"), keys, value, names, "__n")
+
+
+def counted_cells(df: DataFrame, keys: Sequence[str], value: str, mark: str | None = None) -> DataFrame:
+    """Rows and marked rows per key and value: one pass that several statistics share.
+
+    Users that need only ``__n`` also filter on ``__marks``, so all of them read the same exchange.
+    """
+    marks = F.count(mark) if mark else F.count_if(F.isnull(F.col(value)))
+    return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"), marks.alias("__marks"))
 
 
 def two_level_limit(
@@ -237,18 +247,17 @@ def two_level_limit(
 ) -> DataFrame:
     """Per key: samples, entities, median, p90, share of samples over a limit and share of entities whose
     median is over it."""
-    v = F.col(value)
-    aggs = [
-        F.count(F.lit(1)).alias("samples"),
-        ratio(F.count_if(v > limit), F.count(F.lit(1))).alias("share_over_limit"),
-    ]
+    cells = counted_cells(df, [*keys, entity], value, mark)
+    shared = cells.where("__marks >= 0")
+    over = F.sum(F.when(F.col(value) > limit, F.col("__n")).otherwise(0))
+    aggs = [F.sum("__n").alias("samples"), ratio(over, F.sum("__n")).alias("share_over_limit")]
     if mark:
-        aggs.append(ratio(F.count(mark), F.count(F.lit(1))).alias("share_below_loq_mark"))
-    base = df.groupBy(*keys).agg(*aggs)
-    med = group_quantiles(df, [*keys, entity], value, {"__med": (0.5, LINEAR)})
+        aggs.append(ratio(F.sum("__marks"), F.sum("__n")).alias("share_below_loq_mark"))
+    base = cells.where("__marks >= 0").groupBy(*keys).agg(*aggs)
+    med = group_quantiles(shared, [*keys, entity], value, {"__med": (0.5, LINEAR)}, weight="__n")
     sites = med.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("sites"),
         ratio(F.count_if(F.col("__med") > limit), F.count(F.lit(1))).alias("site_share_over_limit"),
     )
-    out = with_quantiles(base, df, keys, value, {"median": (0.5, LINEAR), "p90": (0.9, NEAREST)})
+    out = with_quantiles(base, shared, keys, value, {"median": (0.5, LINEAR), "p90": (0.9, NEAREST)}, "__n")
     return join_same(out, sites, keys, "left")

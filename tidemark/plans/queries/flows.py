@@ -601,12 +601,10 @@ FROM r GROUP BY 1""",
 )
 def concentration_shares(spark, sf):
     o = table(spark, sf, "orders").select(
-        F.year("o_orderdate").alias("year"), "o_custkey", F.col("o_totalprice").cast("decimal(18,2)").alias("v")
+        F.year("o_orderdate").alias("year"), "o_custkey", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("v")
     )
-    per = o.groupBy("year", "o_custkey").agg(F.sum("v").cast("double").alias("v"))
-    out = comp.concentration(per, ["year"], "o_custkey", "v")
-    total = o.groupBy("year").agg(F.sum("v").cast("double").alias("total"))
-    return rounded(out.drop("total").join(total, "year"))
+    out = comp.concentration(o, ["year"], "o_custkey", "v")
+    return rounded(out.withColumn("total", F.col("total") / 100))
 
 
 @query(

@@ -12,7 +12,7 @@ from tidemark.operators import profile as pf
 from tidemark.plans import climate
 from tidemark.plans.queries.registry import MONTHLY_SQL, lines_by_month, query, rounded, table
 from tidemark.sources import jsonstat, landed, sinks
-from tidemark.sources.staging import staging_dir
+from tidemark.sources.staging import staged, staging_dir
 from tidemark.streaming.incremental import merged_parts, store_parts
 
 
@@ -227,7 +227,7 @@ def seasonal_national(spark, sf):
     from tidemark.operators.resample import national_series
 
     names = cl.Names("entity", "year", "month", "value")
-    per = climate.annual_and_seasonal(lines_by_month(spark, sf), "diff", names, (1995, 2000), 5)
+    per = climate.annual_and_seasonal(staged(lines_by_month(spark, sf)), "diff", names, (1995, 2000), 5)
     return rounded(national_series(per, "entity", "year", "anom", ["period"], reps=0))
 
 

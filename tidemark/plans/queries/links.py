@@ -119,15 +119,13 @@ FROM al LEFT JOIN t ON al.code = t.code GROUP BY 1""",
 )
 def intake_types(spark, sf):
     g, _, reg = allocated(spark, sf)
-    typed = reg.withColumn("kind", F.when(F.col("id") % 3 == 0, "deep").when(F.col("id") % 3 == 1, "shallow").otherwise("shallow"))
-    typed = typed.withColumn("kind", F.when(F.col("id") % 3 != 2, F.col("kind")))
-    typed = typed.where(F.col("kind").isNotNull())
+    typed = reg.withColumn("kind", F.when(F.col("id") % 3 == 0, "deep").when(F.col("id") % 3 == 1, "shallow"))
     return lk.by_register_type(g, typed, "kkr", "kind", "amount", "unknown")
 
 
 BALANCE_SQL = """
-a AS (SELECT o_custkey % 40 AS body, sum(CAST(round(o_totalprice) AS BIGINT)) AS m, count(DISTINCT o_custkey) AS intakes FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 40 < 30 GROUP BY 1),
-r AS (SELECT c_custkey % 40 AS body, count(*) AS deposits, coalesce(sum(CAST(round(c_acctbal) AS BIGINT) * 30), 0) AS reserve, count(*) AS n_with_reserve FROM customer WHERE c_custkey % 40 >= 5 GROUP BY 1),
+a AS (SELECT o_custkey % 40 + 5 AS body, sum(CAST(round(o_totalprice) AS BIGINT)) AS m, count(DISTINCT o_custkey) AS intakes FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
+r AS (SELECT c_custkey % 40 AS body, count(*) AS deposits, coalesce(sum(CAST(round(c_acctbal) AS BIGINT) * 30), 0) AS reserve, count(*) AS n_with_reserve FROM customer GROUP BY 1),
 j AS (SELECT coalesce(a.body, r.body) AS body, m / 365.0 AS per_day, intakes, deposits, reserve,
       CASE WHEN m / 365.0 > 0 AND reserve > 0 THEN m / 365.0 / reserve END AS ratio FROM a FULL JOIN r ON a.body = r.body)"""
 
@@ -135,9 +133,9 @@ j AS (SELECT coalesce(a.body, r.body) AS body, m / 365.0 AS per_day, intakes, de
 def balance(spark, sf):
     o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
     amounts = o.where(F.col("o_orderstatus") == "F").select(
-        (F.col("o_custkey") % 40).alias("body"), F.col("o_custkey").alias("code"), F.round("o_totalprice").cast("bigint").alias("m")
-    ).where(F.col("body") < 30)
-    res = c.select((F.col("c_custkey") % 40).alias("body"), (F.round("c_acctbal").cast("bigint") * 30).alias("v")).where(F.col("body") >= 5)
+        (F.col("o_custkey") % 40 + 5).alias("body"), F.col("o_custkey").alias("code"), F.round("o_totalprice").cast("bigint").alias("m")
+    )
+    res = c.select((F.col("c_custkey") % 40).alias("body"), (F.round("c_acctbal").cast("bigint") * 30).alias("v"))
     return lk.balance_by_unit(amounts, lk.reserves_per_unit(res, "body", "v"), None, "body", "m")
 
 

@@ -19,6 +19,7 @@ from tidemark.plans.queries.registry import (
     rounded,
     table,
 )
+from tidemark.sources.staging import staged
 
 N = cl.Names("entity", "year", "month", "value")
 NORMALS_SQL = """
@@ -26,6 +27,11 @@ nm AS (SELECT entity, month, avg(value) AS normal, count(*) AS n_years FROM m WH
        GROUP BY 1, 2 HAVING count(*) >= 5)"""
 
 
+def monthly(spark, sf):
+    """The monthly table written once: normals and anomalies both read it, the lines are scanned once."""
+    return staged(lines_by_month(spark, sf))
+
+
 def normals(m):
     return cl.monthly_normals(m, N, (1995, 2000), 5)
 
@@ -40,7 +46,7 @@ ANOM_SQL = f"WITH {MONTHLY_SQL}, {NORMALS_SQL}, a AS (SELECT m.*, value - normal
 
 @query("anomalies_diff", "C02", ANOM_SQL + " SELECT entity, year, month, value, round(anom, 6) AS anom FROM a")
 def anomalies_diff(spark, sf):
-    m = lines_by_month(spark, sf)
+    m = monthly(spark, sf)
     return rounded(cl.anomalies(m, normals(m), "diff", N).select("entity", "year", "month", "value", "anom"))
 
 
@@ -50,7 +56,7 @@ def anomalies_diff(spark, sf):
     f"WITH {MONTHLY_SQL}, {NORMALS_SQL} SELECT entity, year, month, round(100.0 * value / normal, 6) AS anom FROM m JOIN nm USING (entity, month) WHERE normal > 0",
 )
 def anomalies_ratio(spark, sf):
-    m = lines_by_month(spark, sf)
+    m = monthly(spark, sf)
     return rounded(cl.anomalies(m, normals(m), "ratio", N).select("entity", "year", "month", "anom"))
 
 
@@ -67,7 +73,7 @@ SELECT entity, season, season_year, round(100.0 * sum(value) / sum(normal), 6) A
 GROUP BY 1, 2, 3 HAVING count(*) = 3 AND sum(normal) > 0""",
 )
 def season_totals(spark, sf):
-    m = lines_by_month(spark, sf)
+    m = monthly(spark, sf)
     return rounded(cl.period_ratio(cl.with_season(m, N), normals(m), ["season", "season_year"], 3, N))
 
 
@@ -78,7 +84,7 @@ def season_totals(spark, sf):
     + """ SELECT entity, year, round(avg(anom), 6) AS anom FROM a GROUP BY 1, 2 HAVING count(*) = 12""",
 )
 def gated_period_means(spark, sf):
-    m = lines_by_month(spark, sf)
+    m = monthly(spark, sf)
     return rounded(cl.complete_periods(cl.anomalies(m, normals(m), "diff", N), ["year"], 12, N))
 
 
@@ -91,7 +97,7 @@ def gated_period_means(spark, sf):
     + " FROM y GROUP BY 1",
 )
 def period_matrix(spark, sf):
-    m = lines_by_month(spark, sf)
+    m = monthly(spark, sf)
     y = cl.complete_periods(cl.anomalies(m, normals(m), "diff", N), ["year"], 12, N)
     return rounded(cl.matrix(y, "year", range(1995, 2002), N))
 
@@ -288,7 +294,7 @@ def monthly_vs_daily_check(spark, sf):
     ANOM_SQL + " SELECT year, month, round(avg(anom), 6) AS mean, count(DISTINCT entity) AS n FROM a GROUP BY 1, 2 HAVING count(DISTINCT entity) >= 5",
 )
 def month_grid(spark, sf):
-    m = lines_by_month(spark, sf)
+    m = monthly(spark, sf)
     return rounded(cl.month_grid(cl.anomalies(m, normals(m), "diff", N), N))
 
 

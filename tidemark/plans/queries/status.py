@@ -10,6 +10,7 @@ from tidemark.operators import estimates as es
 from tidemark.operators import transition as tr
 from tidemark.plans import air, species
 from tidemark.plans.queries.registry import query, rounded, table
+from tidemark.sources.staging import staged
 
 LATEST_SQL = """
 lt AS (SELECT o_custkey, year, o_orderstatus, o_orderkey FROM (
@@ -72,7 +73,7 @@ pr AS (SELECT o_custkey, grp, cls0, nullif(c1, '0') AS cls_later FROM ba JOIN la
 
 
 def pairs(spark, sf):
-    cur = current(spark, sf)
+    cur = staged(current(spark, sf))  # read for both ends
     base = cur.where(F.col("year") == 1996).select("o_custkey", "grp", F.col("cls").alias("cls0"))
     later = tr.latest_after(cur, "o_custkey", "year", 1996, ["cls"]).select("o_custkey", F.col("cls").alias("cls_later"))
     return base, later
