@@ -76,10 +76,12 @@ def group_quantiles(
     hot: int = HOT_VALUES,
     buckets: int = 64,
     weight: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Exact quantiles per group, one column per entry of ``probs`` (``name -> (q, flavour)``).
 
-    With ``weight`` a row stands for that many equal values (rows that are already counted).
+    With ``weight`` a row stands for that many equal values; ``unique`` says that every value already occurs
+    once per group, so counting is skipped.
 
     Equal values are counted first (spread by key *and* value, combined before the shuffle).  Groups with at
     most ``hot`` distinct values are then ordered by one window each.  Larger groups take another way:
@@ -97,11 +99,12 @@ def group_quantiles(
     if whole:
         keys, df = ["__all"], df.withColumn("__all", F.lit(1))
     part = ", ".join(f"`{k}`" for k in keys)
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("__v"))
-        .agg(F.expr(f"sum(`{weight}`)" if weight else "count(*)").alias("__c"))
-    )
+    rows = df.where(F.col(value).isNotNull())
+    v = F.col(value).cast("double").alias("__v")
+    if unique:
+        counted = rows.select(*keys, v, (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("__c"))
+    else:
+        counted = rows.groupBy(*keys, v).agg(F.expr(f"sum(`{weight}`)" if weight else "count(*)").alias("__c"))
     names = [f"`{k}`" for k in keys]
     # the sum keeps the counts alive here too, so this reads the very exchange the ways below read
     large = counted.groupBy(*keys).agg(F.expr("count(*)").alias("__k"), F.expr("sum(__c)").alias("__s")).where(f"__k > {hot} and __s > 0")

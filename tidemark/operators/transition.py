@@ -254,7 +254,7 @@ def two_level_limit(
     if mark:
         aggs.append(ratio(F.sum("__marks"), F.sum("__n")).alias("share_below_loq_mark"))
     base = cells.where("__marks >= 0").groupBy(*keys).agg(*aggs)
-    med = group_quantiles(shared, [*keys, entity], value, {"__med": (0.5, LINEAR)}, weight="__n")
+    med = group_quantiles(shared, [*keys, entity], value, {"__med": (0.5, LINEAR)}, weight="__n", unique=True)
     sites = med.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("sites"),
         ratio(F.count_if(F.col("__med") > limit), F.count(F.lit(1))).alias("site_share_over_limit"),
