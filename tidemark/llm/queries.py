@@ -8,10 +8,10 @@ from collections.abc import Callable
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, token_counts, token_files
+from tidemark.llm import bpe, decontaminate, token_counts, token_files, toxicity, url_rules
 from tidemark.llm._common import map_arrow, staged
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,70 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         return work
 
     return map_arrow(read, make, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
+OP2_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+g AS (SELECT DISTINCT item_id, least(10, len(ws)) AS size, array_to_string(list_slice(ws, pos, pos + least(10, len(ws)) - 1), ' ') AS gram
+      FROM (SELECT item_id, ws, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS pos FROM b WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT size FROM g),
+dg AS (SELECT doc_id, size, pos, array_to_string(list_slice(ws, pos, pos + size - 1), ' ') AS gram
+       FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS pos FROM w, sizes WHERE len(ws) >= size)),
+h AS (SELECT dg.doc_id, dg.pos, dg.size, g.item_id FROM dg JOIN g ON dg.size = g.size AND dg.gram = g.gram),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS p FROM h) GROUP BY 1),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM h) GROUP BY 1)
+SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)"""
+
+
+@query("op2_benchmark_decontamination", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test passages in all documents."""
+    found = decontaminate.find_overlap(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s[1] - s[0]).cast("long"))
+    names = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated")
+    )
+
+
+def usable_for_training(doc_id: str = "doc_id") -> Column:
+    """The fold that a model may learn from."""
+    return F.crc32(F.col(doc_id).cast("string")) % 5 != 0
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), usable_for_training())
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", (~usable_for_training()).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+#: The list of the contract.
+URL_RULES = (
+    url_rules.Rule("allow", "com", "/"),
+    url_rules.Rule("block", "example.com", "/en/"),
+    url_rules.Rule("allow", "www.example.com", "/en/"),
+    url_rules.Rule("block", "net", "/es/"),
+    url_rules.Rule("block", "net", "/fr/"),
+)
+
+OP10_SQL = r"""
+WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)\A.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                  regexp_extract(coalesce(url, ''), '(?s)\A.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+r AS (SELECT *, CASE WHEN ('.' || host) LIKE '%.www.example.com' AND path LIKE '/en/%' THEN 'www.example.com/en/'
+                     WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/en/%' THEN 'example.com/en/'
+                     WHEN ('.' || host) LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
+                     WHEN ('.' || host) LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/'
+                     WHEN ('.' || host) LIKE '%.com' AND path LIKE '/%' THEN 'com/' END AS rule FROM u)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict FROM r"""
+
+
+@query("op10_url_rules", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all pages."""
+    return url_rules.judge(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
