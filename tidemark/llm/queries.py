@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, token_counts, token_files, toxicity, url_rules
+from tidemark.llm import bpe, decontaminate, jaccard_join, token_counts, token_files, toxicity, url_rules
 from tidemark.llm._common import map_arrow, staged
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -140,3 +140,22 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.com/en/', 'net/es/
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all pages."""
     return url_rules.judge(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP5_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 3 THEN array_to_string(ws, ' ') ELSE array_to_string(list_slice(ws, pos, pos + 2), ' ') END AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS pos FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 90 * (na.n + nb.n - k)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS node, doc_id AS top FROM w UNION SELECT e.b, r.top FROM r JOIN e ON e.a = r.node WHERE r.top < e.b)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, t.top AS component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(top) AS top FROM r GROUP BY 1) t ON t.node = w.doc_id"""
+
+
+@query("op5_jaccard_join", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near copies among all documents."""
+    return jaccard_join.link_groups(table(spark, sf_dir, "documents"), size=3, threshold="0.9")
