@@ -163,3 +163,23 @@ def decontaminate(docs: DataFrame, bench: DataFrame, remove: str = "documents",
 
     kind = found.schema["doc_id"].dataType.simpleString()
     return map_arrow(found, make, f"doc_id {kind}, text string", cut_by="text")
+
+
+def keep_clean(docs: DataFrame, bench: DataFrame, window: int = WINDOW, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Rows without any test window, with all columns, in one pass without a shuffle."""
+    fields = docs.schema
+    count, fetch = _blocks(bench, id_col=item_id, text_col=item_text, most=block_bytes)
+    for block in range(count):
+        tests = docs.sparkSession.sparkContext.broadcast(TestSet(fetch(block), window))
+
+        def make(tests=tests):
+            test = tests.value
+
+            def work(batch: pa.RecordBatch) -> dict | None:
+                kept = batch.filter(pa.array([next(test.hits(words_of(t)), None) is None for t in texts_of(batch, text_col)]))
+                return {f.name: kept.column(f.name) for f in fields} if kept.num_rows else None
+
+            return work
+
+        docs = map_arrow(docs, make, fields, cut_by=text_col)
+    return docs

@@ -296,3 +296,12 @@ def _all_pairs(here: DataFrame) -> DataFrame:
     left = here.select("token", "component", own.alias("x")).join(meet, ["token", "component"])
     right = here.select("token", F.col("component").alias("other"), own.alias("y"))
     return _oriented(left.join(right, ["token", "other"]).select("x", "y"))
+
+
+def keep_one(docs: DataFrame, size: int = 5, threshold: str = "0.8", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows that stand for their group, those of its smallest id, with all columns; rows without a group stay."""
+    groups = link_groups(docs, size, threshold, id_col, text_col)
+    gone = staged(groups.where("component_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct())
+    if gone.count() <= BROADCAST_PAIRS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, id_col, "left_anti")

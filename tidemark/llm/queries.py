@@ -41,9 +41,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
-def digests(docs: DataFrame) -> DataFrame:
+def digests(docs: DataFrame, path: str) -> DataFrame:
     """Encoded and decoded documents as counts and digests."""
-    path = public_tokenizers.path(VOCABULARY)
     read = bpe.decode(bpe.encode(docs, path), path)
     return read.select(
         "doc_id",
@@ -56,7 +55,7 @@ def digests(docs: DataFrame) -> DataFrame:
 @query("op7_bpe_codec")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoding and decoding of all documents."""
-    return digests(table(spark, sf_dir, "documents"))
+    return digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
 @query("op9_token_files")
