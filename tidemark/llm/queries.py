@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, jaccard_join, token_counts, token_files, toxicity, url_rules
+from tidemark.llm import bpe, decontaminate, jaccard_join, order_minhash, token_counts, token_files, toxicity, url_rules
 from tidemark.llm._common import map_arrow, staged
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -158,3 +158,19 @@ FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(top) AS top FROM r GROU
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near copies among all documents."""
     return jaccard_join.link_groups(table(spark, sf_dir, "documents"), size=3, threshold="0.9")
+
+
+@query("op1_order_minhash")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    texts = order_minhash.spliced(table(spark, sf_dir, "documents"))
+    found = staged(
+        texts.select(
+            "doc_id", "next_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), order_minhash.sketch(F.col("text")).alias("own"), order_minhash.sketch(F.col("edited")).alias("cut")
+        )
+    )
+    after = found.select(F.col("doc_id").alias("next_id"), F.col("own").alias("after"))
+    return found.join(after, "next_id", "left").select(
+        "doc_id", "n_chars", "edited_sha256", order_minhash.fingerprint(F.col("own")).alias("fingerprint"), order_minhash.fingerprint(F.col("cut")).alias("edited_fingerprint"),
+        order_minhash.likeness(F.col("own"), F.col("cut")).alias("near_edited"), F.coalesce(order_minhash.likeness(F.col("own"), F.col("after")), F.lit(0.0)).alias("near_next"),
+    )
