@@ -13,6 +13,7 @@ one and all.  A pair is skipped only if its ends are known to be in one componen
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 from fractions import Fraction
 
@@ -22,10 +23,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import map_arrow, pick, sent, staged, texts_of
+from tidemark.llm._common import map_arrow, pick, sent, slices, staged, texts_of
 
 #: places of the table of shingle counts: bounded, whatever the number of shingles
-TABLE = 1 << 21
+TABLE = 1 << 23
 #: sets that are compared with one copy of a centre
 CENTRE_SHARE = 500
 PARTS = 16
@@ -38,7 +39,7 @@ M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.ui
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = found = xxhash.xxh3_64_intdigest(word)
         return found
@@ -64,28 +65,28 @@ def prefix_length(n: np.ndarray | int, share: Fraction):
 
 def _count_table(rows: DataFrame, size: int) -> np.ndarray:
     """Logarithms of how many documents hold the shingles of each place of the table."""
-    slots = 64
+    slots = 1024
     width = TABLE // slots
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = _Hashes(), np.zeros(TABLE, np.uint32)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             for text in texts_of(batch, "text"):
                 np.add.at(counts, (shingles(text, size, hashes) % np.uint64(TABLE)).astype(np.int64), 1)
         if counts.any():
-            yield pa.RecordBatch.from_arrays([pa.array(range(slots), pa.int32()), pa.array([counts[k * width : (k + 1) * width].tobytes() for k in range(slots)], pa.binary())], ["slot", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(range(slots), pa.int32()), pa.array([zlib.compress(counts[k * width : (k + 1) * width].tobytes(), 1) for k in range(slots)], pa.binary())], ["slot", "counts"])
 
     def add(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width, np.uint64)
         for table in tables:
             for raw in table.column("counts").to_pylist():
-                total += np.frombuffer(raw, np.uint32)
+                total += np.frombuffer(zlib.decompress(raw), np.uint32)
         coded = np.minimum(np.log2(total + 1) * 4, 255).astype(np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([coded.tobytes()], pa.binary())], ["slot", "counts"])
 
     parts = sent(rows.select("text")).mapInArrow(run, "slot int, counts binary").groupBy("slot").applyInArrow(add, "slot int, counts binary")
     out = np.zeros(TABLE, np.uint8)
-    for row in parts.toLocalIterator():  # 64 rows
+    for row in parts.toLocalIterator():  # a row per slot
         out[row.slot * width : (row.slot + 1) * width] = np.frombuffer(row.counts, np.uint8)
     return out
 
@@ -188,7 +189,12 @@ def _verified(pairs: DataFrame, rows: DataFrame, size: int, share: Fraction) ->
         return work
 
     met = sets.repartition("a", "copy").sortWithinPartitions("a", "copy", "role")
-    return map_arrow(met, make_check, f"a {kind}, b {kind}").distinct()
+    return map_arrow(met, make_check, f"a {kind}, b {kind}", cut_by="items").distinct()
+
+
+def _trace(edges: DataFrame) -> tuple:
+    """Count and combined hash of links: equal if nothing changed."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first())
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -198,8 +204,8 @@ def components(links: DataFrame) -> DataFrame:
     and only counts reach the driver.
     """
     edges = staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    before = None
-    while True:
+    before = _trace(edges)
+    while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -207,9 +213,8 @@ def components(links: DataFrame) -> DataFrame:
         joined = large.join(low, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         edges = staged(small)
-        now = edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)), F.count_distinct("u")).first()
-        # each node has one link, to its smallest, and nothing changed
-        if now == before or now[0] == 0:
+        now = _trace(edges)
+        if now == before:
             break
         before = now
     tops = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
