@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, jaccard_join, order_minhash, token_counts, token_files, toxicity, url_rules
+from tidemark.llm import bpe, chat_format, decontaminate, jaccard_join, order_minhash, token_counts, token_files, toxicity, url_rules, warc_zip
 from tidemark.llm._common import map_arrow, staged
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -174,3 +174,52 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_chars", "edited_sha256", order_minhash.fingerprint(F.col("own")).alias("fingerprint"), order_minhash.fingerprint(F.col("cut")).alias("edited_fingerprint"),
         order_minhash.likeness(F.col("own"), F.col("cut")).alias("near_edited"), F.coalesce(order_minhash.likeness(F.col("own"), F.col("after")), F.lit(0.0)).alias("near_next"),
     )
+
+
+OP3_SQL = r"""
+WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+c AS (SELECT *, (octet_length(encode(text)) + 3) // 4 + 4 AS cost,
+             24 + length(role) + length(text) + length(text) - length(replace(text, '\', ''))
+             + len(regexp_extract_all(text, '<\|im_start\||<\|im_end\||<\|endoftext\||</?s>|<</?SYS>>|\[/?INST\]')) AS size FROM t),
+p AS (SELECT *, sum(cost) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS until,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS place FROM c),
+w AS (SELECT *, (until - 1) // 768 AS win FROM p),
+h AS (SELECT conv_id, size FROM w WHERE place = 1 AND role = 'system'),
+own AS (SELECT conv_id, win, sum(size) AS size, min(place) AS place FROM w GROUP BY 1, 2),
+old AS (SELECT conv_id, win + 1 AS win, sum(size) AS size FROM w WHERE until > (win + 1) * 768 - 256 AND NOT (place = 1 AND role = 'system') GROUP BY 1, 2),
+f AS (SELECT own.conv_id, CAST(sum(own.size + coalesce(old.size, 0) + CASE WHEN own.place > 1 THEN coalesce(h.size, 0) ELSE 0 END) AS BIGINT) AS formatted_chars
+      FROM own LEFT JOIN old USING (conv_id, win) LEFT JOIN h USING (conv_id) GROUP BY 1)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, any_value(formatted_chars) AS formatted_chars
+FROM t JOIN f USING (conv_id) GROUP BY conv_id"""
+
+
+@query("op3_chat_format", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as windows, read back."""
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")], talk.schema)
+    return chat_format.digests(chat_format.read_windows(chat_format.format_windows(talk.unionByName(added))))
+
+
+OP4_SQL = r"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) ELSE page_id END AS target FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN target = page_id THEN 'response' ELSE 'revisit' END AS record_type, nullif(target, page_id) AS refers_to FROM m"""
+
+
+@query("op4_warc_zip", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records in ZIP packages, read back; responses are measured anew, revisits say what they stand for."""
+    folder, files = warc_zip.write_packages(table(spark, sf_dir, "pages"))
+    read = warc_zip.read_records(folder, warc_zip.locate(folder, files))
+    own = F.col("kind") == "response"
+    return read.select(
+        F.col("record_id").cast("long").alias("page_id"),
+        F.when(own, F.octet_length("payload").cast("long")).otherwise(F.col("size")).alias("payload_bytes"),
+        F.when(own, F.sha1("payload")).otherwise(F.col("digest")).alias("payload_digest"),
+        F.col("kind").alias("record_type"),
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
