@@ -20,6 +20,10 @@ from tidemark.sources.staging import staged, staging_dir
 
 #: bytes of text that a Python task holds as Python objects at one time
 SLICE_BYTES = 2_000_000
+#: bytes of a batch between Spark and Python at most
+BATCH_LIMIT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4_000_000
+#: Spark's own value, as it may be written; any other value is the user's and stays
+STANDARD_LIMITS = ("67108864", "67108864b", "64m", "64MB")
 
 
 def pick(df: DataFrame, **named: str) -> DataFrame:
@@ -61,7 +65,13 @@ _SENT: set[str] = set()
 
 
 def sent(df: DataFrame) -> DataFrame:
-    """The frame, after its session's executors have been given this package, once per application."""
+    """The frame, after its session's executors have been given this package, once per application.
+
+    Batches for Python are bounded by bytes too: ten thousand long texts would not fit.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_LIMIT) in STANDARD_LIMITS:
+        conf.set(BATCH_LIMIT, str(BATCH_BYTES))
     context = df.sparkSession.sparkContext
     if context.applicationId not in _SENT:
         package = Path(__file__).resolve().parents[1]

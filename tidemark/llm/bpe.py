@@ -26,10 +26,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         vocabulary, guess = _bpe.vocabulary(path), _bpe.speculation(path)
 
         def work(batch: pa.RecordBatch) -> dict:
-            found = [b"".join(parts) for parts in vocabulary.ids(texts_of(batch, "text"), guess)]
-            ends = np.cumsum([0, *map(len, found)]) // 4
-            values = pa.array(np.frombuffer(b"".join(found), "<i4"))
-            return {"doc_id": batch.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)}
+            ids, begins = vocabulary.encode(texts_of(batch, "text"), guess)
+            return {"doc_id": batch.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids.view(np.int32)))}
 
         return work
 

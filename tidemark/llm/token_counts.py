@@ -3,24 +3,26 @@
 from __future__ import annotations
 
 import gc
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tidemark.llm import _bpe
-from tidemark.llm._common import map_arrow, pick, sent, slices, texts_of
+from tidemark.llm._common import pick, sent, slices, texts_of
 
-#: a block of documents: at most so many bytes of text (or one document) and so many rows
-BLOCK_BYTES = 32_000_000
+#: a block of documents: at most so many bytes of text (or one slice of them) and so many rows
+BLOCK_BYTES = 24_000_000
 BLOCK_ROWS = 65_536
-#: numbers of blocks: the partition times 2**20 and the place in it; with the row in the block they take 63 bits
+#: groups of pre-tokens by hash; a task knows the distinct ones of a group at a time
+BUCKETS = 1024
 #: sums held by a task before they are handed on
-HELD_SUMS = 4_000_000
+HELD_SUMS = 2_000_000
 #: one entry of a frequency list; more than 255 occurrences take several entries
 ENTRY = np.dtype([("doc", "<u2"), ("n", "u1")])
 
@@ -29,107 +31,104 @@ class _Codes(dict):
     """Numbers of a block's pre-tokens from 1; 0 for those that the vocabulary holds as one piece."""
 
     def __init__(self, whole: frozenset[str]):
-        self.whole, self.words = whole, [""]
+        self.whole, self.words = whole, []
 
     def __missing__(self, word: str) -> int:
         if word in self.whole:
             code = 0
         else:
-            code = len(self.words)
             self.words.append(word)
+            code = len(self.words)
         self[word] = code
         return code
 
 
 def _whole_words(path: str) -> frozenset[str]:
     """Pre-tokens of one piece: special strings, and tokens that the library encodes as themselves."""
+
+    def text(token: bytes) -> str:
+        try:
+            return token.decode()
+        except UnicodeDecodeError:
+            return ""
+
     v = _bpe.vocabulary(path)
-    texts = [t.decode() for k, t in enumerate(v.tokens) if k not in v.specials.values() and _is_text(t)]
+    texts = [t for k, token in enumerate(v.tokens) if k not in v.specials.values() and (t := text(token))]
     counts = map(len, _bpe.library(path)(texts))
     return frozenset(t for t, n in zip(texts, counts) if n == 4) | frozenset(v.specials)
 
 
-def _is_text(token: bytes) -> bool:
-    try:
-        return bool(token.decode())
-    except UnicodeDecodeError:
-        return False
-
+class _Block:
+    """Documents whose pre-tokens leave a task together."""
+
+    def __init__(self, number: int, whole: frozenset[str]):
+        self.number, self.codes = number, _Codes(whole)
+        self.ids, self.counted, self.sizes, self.pairs = [], [], [], []
+
+    def add(self, name, text: str, vocabulary: _bpe.Vocabulary) -> None:
+        one = 0
+        for words in vocabulary.pieces(text):
+            found = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+            rest = found[found > 0]
+            one += len(found) - len(rest)
+            self.pairs.append((rest << 16) | len(self.ids))
+        self.ids.append(name)
+        self.counted.append(one)
+        self.sizes.append(len(text.encode()))
+
+    def rows(self) -> Iterator[tuple]:
+        """A row per bucket of pre-tokens with lengths, text and entries, and one for the documents."""
+        pairs, n = np.unique(np.concatenate([np.zeros(0, np.int64), *self.pairs]), return_counts=True)
+        times = -(-n // 255)
+        if len(n) and times.max() > 1:
+            last = np.cumsum(times) - 1
+            pairs, rest = np.repeat(pairs, times), n - 255 * (times - 1)
+            n = np.full(len(pairs), 255)
+            n[last] = rest
+        entries = np.empty(len(pairs), ENTRY)
+        entries["doc"], entries["n"] = pairs & 0xFFFF, n
+        words = [w.encode() for w in self.codes.words]
+        begins = np.searchsorted(pairs >> 16, np.arange(1, len(words) + 2))
+        bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % BUCKETS
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            chosen = order[cuts[k] : cuts[k + 1]].tolist()
+            own = [words[w] for w in chosen]
+            yield (k, self.number, np.array([(len(w), begins[c + 1] - begins[c]) for c, w in zip(chosen, own)], "<u4").tobytes(), b"".join(own), b"".join([entries[begins[c] : begins[c + 1]].tobytes() for c in chosen]), None, None, None)
+        yield self.number % BUCKETS, self.number, None, None, None, self.ids, self.counted, self.sizes
+
+
+def _frequencies(rows: DataFrame, path: str, kind: str) -> DataFrame:
+    schema = StructType.fromDDL(f"bucket int, block long, lengths binary, words binary, entries binary, ids array<{kind}>, counted array<long>, n_bytes array<long>")
+    arrow = to_arrow_schema(schema)
+
+    def made(block: _Block) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*block.rows()), arrow)], schema=arrow)
 
-def _frequencies(rows: DataFrame, path: str) -> DataFrame:
-    """A row per block and pre-token with the documents' frequencies, and one per block with its documents."""
-    kind = rows.schema["doc_id"].dataType
-    schema = f"block long, word string, entries binary, ids array<{kind.simpleString()}>, counted array<long>, n_bytes array<long>"
-
-    def make():
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()
         vocabulary, whole = _bpe.vocabulary(path), _whole_words(path)
-        block = [(TaskContext.get().partitionId() << 20) - 1]
-
-        def work(batch: pa.RecordBatch) -> dict:
-            codes, base, sizes, seen, docs = _Codes(whole), [], [], [], []
-            block[0] += 1
-            for k, text in enumerate(texts_of(batch, "text")):
-                one = 0
-                for words in vocabulary.pieces(text):
-                    found = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
-                    rest = found[found > 0]
-                    one += len(found) - len(rest)
-                    seen.append((rest << 16) | k)
-                base.append(one)
-                sizes.append(len(text.encode()))
-            pairs, n = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            if len(n) and n.max() > 255:
-                times = -(-n // 255)
-                last = np.cumsum(times) - 1
-                pairs, rest = np.repeat(pairs, times), n - 255 * (times - 1)
-                n = np.full(len(pairs), 255)
-                n[last] = rest
-            entries = np.empty(len(pairs), ENTRY)
-            entries["doc"], entries["n"] = pairs & 0xFFFF, n
-            ends = np.searchsorted(pairs >> 16, np.arange(1, len(codes.words) + 1))
-            raw = pa.Array.from_buffers(pa.binary(), len(codes.words) - 1, [None, pa.py_buffer((ends * ENTRY.itemsize).astype("<i4").tobytes()), pa.py_buffer(entries.tobytes())])
-            many = len(codes.words) - 1
-            none = [None] * many
-            return {
-                "block": [block[0]] * (many + 1),
-                # the block's own row has a key of its own, so that these rows spread evenly
-                "word": pa.array([*codes.words[1:], f"block {block[0]}"], pa.string()),
-                "entries": pa.concat_arrays([raw, pa.nulls(1, pa.binary())]),
-                "ids": pa.concat_arrays([pa.nulls(many, pa.list_(batch.column("doc_id").type)), pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("doc_id"))]),
-                "counted": [*none, base],
-                "n_bytes": [*none, sizes],
-            }
-
-        return lambda batch: [work(p.slice(k, BLOCK_ROWS)) for p in slices(batch, "text", BLOCK_BYTES) for k in range(0, p.num_rows, BLOCK_ROWS)]
-
-    return _map_many(rows, make, schema)
-
-
-def _map_many(df: DataFrame, make, schema: str) -> DataFrame:
-    """Like ``map_arrow``; the task's function gives a list of column sets."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    out = StructType.fromDDL(schema)
-    arrow = to_arrow_schema(out)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = make()
-        for batch in batches:
-            for columns in work(batch) if batch.num_rows else ():
-                yield pa.RecordBatch.from_arrays([columns[f.name] if isinstance(columns[f.name], pa.Array) else pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
-
-    return sent(df).mapInArrow(run, out)
-
-
-def _sums(joined: DataFrame, kind: str) -> DataFrame:
+        number, held = TaskContext.get().partitionId() << 20, 0
+        block = _Block(number, whole)
+        for batch in (part for w in batches for part in slices(w, "text")):
+            for name, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text")):
+                if block.ids and (held + len(text) > BLOCK_BYTES or len(block.ids) == BLOCK_ROWS):
+                    yield made(block)
+                    number, held = number + 1, 0
+                    block = _Block(number, whole)
+                block.add(name, text, vocabulary)
+                held += len(text)
+        if block.ids:
+            yield made(block)
+
+    return sent(rows).mapInArrow(run, schema)
+
+
+def _sums(found: DataFrame, path: str, kind: str) -> DataFrame:
     """Pieces by block and document as far as one task saw them; the blocks' own rows pass through."""
-    schema = f"block long, docs binary, sums binary, ids array<{kind}>, counted array<long>, n_bytes array<long>"
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    schema = StructType.fromDDL(f"block long, docs binary, sums binary, ids array<{kind}>, counted array<long>, n_bytes array<long>")
+    arrow = to_arrow_schema(schema)
 
     def flush(keys: list[np.ndarray], sums: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         if not keys:
@@ -138,67 +137,65 @@ def _sums(joined: DataFrame, kind: str) -> DataFrame:
         total = np.bincount(back, np.concatenate(sums)).astype("<u8")
         block, doc = key >> 16, (key & 0xFFFF).astype("<u2")
         cuts = np.r_[np.flatnonzero(np.r_[True, block[1:] != block[:-1]]), len(key)]
-        none = pa.nulls(len(cuts) - 1)
-        parts = [(int(block[a]), doc[a:b].tobytes(), total[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
-        columns = [pa.array(list(c), f.type) for c, f in zip(zip(*parts), arrow)] + [none.cast(f.type) for f in list(arrow)[3:]]
-        yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        parts = [(int(block[a]), doc[a:b].tobytes(), total[a:b].tobytes(), None, None, None) for a, b in zip(cuts[:-1], cuts[1:])]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*parts), arrow)], schema=arrow)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sums, held = [], [], 0
+        gc.disable()
+        encode = _bpe.library(path)
+        keys, sums, held, now = [], [], 0, None
+        pieces: dict[bytes, int] = {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            own = pc.is_null(batch.column("entries"))
-            if (heads := batch.filter(own)).num_rows:
-                blank = pa.nulls(heads.num_rows, pa.binary())
+            own = [k for k, x in enumerate(batch.column("lengths").is_null().to_pylist()) if x]
+            if own:
+                heads = batch.take(pa.array(own))
+                blank = pa.nulls(len(own), pa.binary())
                 yield pa.RecordBatch.from_arrays([heads.column("block"), blank, blank, *(heads.column(c) for c in ("ids", "counted", "n_bytes"))], schema=arrow)
-            part = batch.filter(pc.invert(own))
-            raw = part.column("entries").to_pylist()
-            entries = np.frombuffer(b"".join(raw), ENTRY)
-            times = np.fromiter(map(len, raw), np.int64, len(raw)) // ENTRY.itemsize
-            blocks = part.column("block").to_numpy()
-            keys.append((np.repeat(blocks, times) << 16) | entries["doc"])
-            sums.append(np.repeat(part.column("pieces").to_numpy(), times) * entries["n"].astype(np.int64))
-            held += len(entries)
-            if held > HELD_SUMS:
-                yield from flush(keys, sums)
-                keys, sums, held = [], [], 0
+            for bucket, block, lengths, raw, entries in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "lengths", "words", "entries"))):
+                if lengths is None:
+                    continue
+                if bucket != now:
+                    now, pieces = bucket, {}
+                table = np.frombuffer(lengths, "<u4").reshape(-1, 2).astype(np.int64)
+                ends = np.cumsum(table[:, 0]).tolist()
+                words = [raw[a:b] for a, b in zip([0, *ends], ends)]
+                if new := [w for w in words if w not in pieces]:
+                    pieces.update(zip(new, [len(x) // 4 for x in encode([w.decode() for w in new])]))
+                n = np.fromiter(map(pieces.__getitem__, words), np.int64, len(words))
+                each = np.frombuffer(entries, ENTRY)
+                keys.append((block << 16) | each["doc"].astype(np.int64))
+                sums.append(np.repeat(n, table[:, 1]) * each["n"])
+                held += len(each)
+                if held > HELD_SUMS:
+                    yield from flush(keys, sums)
+                    keys, sums, held = [], [], 0
         yield from flush(keys, sums)
 
-    return sent(joined).mapInArrow(run, StructType.fromDDL(schema))
+    return sent(found).mapInArrow(run, schema)
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Tokens of every whole text as the tokenizers library counts them, without begin, end or added special tokens.
 
     Each task splits blocks of documents into pre-tokens.  A pre-token that the fixed vocabulary holds as one piece
-    counts at once; the others leave as one row per block with their documents' frequencies.  Those rows meet once,
-    by pre-token: every distinct pre-token is given to the library one time, its pieces are joined back, and each task
-    hands on sums by document.  A pre-token has one row per block at most, so none is hot.
+    counts at once; the others leave with their documents' frequencies, packed by block and bucket of pre-tokens.  All
+    rows of a bucket meet in one task, which gives every distinct pre-token to the library one time, joins its pieces
+    to the frequencies and hands on sums by document.  A frequent pre-token has one list per block, so none is hot.
 
     Returns ``(id, n_bytes, n_tokens)``, one row per input row; null and empty texts have 0 of both; null and repeated
     ids are kept as they are; an empty table gives an empty table.
     """
     rows = pick(docs, doc_id=id_col, text=text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = _frequencies(rows, path).repartition("word")
-    # reads the exchange of ``found`` again; the sum of lengths tells pre-tokens from blocks' own rows
-    distinct = found.groupBy("word").agg(F.sum(F.length("entries")).alias("size")).where("size is not null").select("word")
-
-    def make():
-        encode = _bpe.library(path)
-        return lambda batch: {"word": batch.column("word"), "pieces": [len(b) // 4 for b in encode(batch.column("word").to_pylist())]}
-
-    pieces = map_arrow(distinct, make, "word string, pieces long")
-    joined = found.join(pieces, "word", "left").select("block", "entries", "ids", "counted", "n_bytes", F.coalesce("pieces", F.lit(0)).alias("pieces"))
+    met = _frequencies(rows, path, kind).repartition("bucket").sortWithinPartitions("bucket")
 
     def add(table: pa.Table) -> pa.Table:
-        head = table.filter(pc.is_valid(table.column("ids"))).to_pydict()
-        total = np.array(head["counted"][0], np.int64)
-        part = table.filter(pc.is_null(table.column("ids")))
-        for docs_, sums in zip(part.column("docs").to_pylist(), part.column("sums").to_pylist()):
-            total[np.frombuffer(docs_, "<u2")] += np.frombuffer(sums, "<u8").astype(np.int64)
-        ids = table.schema.field("ids").type.value_type
-        return pa.table({"doc_id": pa.array(head["ids"][0], ids), "n_bytes": pa.array(head["n_bytes"][0], pa.int64()), "n_tokens": pa.array(total, pa.int64())})
-
-    return _sums(joined, kind).groupBy("block").applyInArrow(add, f"doc_id {kind}, n_bytes long, n_tokens long")
+        own = table.column("ids").is_null().to_pylist().index(False)
+        total = np.array(table.column("counted")[own].as_py(), np.int64)
+        for docs_, sums in zip(table.column("docs").to_pylist(), table.column("sums").to_pylist()):
+            if docs_ is not None:
+                total[np.frombuffer(docs_, "<u2")] += np.frombuffer(sums, "<u8").astype(np.int64)
+        ids = table.column("ids")[own].values
+        return pa.table({"doc_id": ids, "n_bytes": table.column("n_bytes")[own].values, "n_tokens": pa.array(total, pa.int64())})
+
+    return _sums(met, path, kind).groupBy("block").applyInArrow(add, f"doc_id {kind}, n_bytes long, n_tokens long")

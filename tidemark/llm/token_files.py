@@ -158,8 +158,9 @@ def write_tokens(docs: DataFrame, path: str, folder: str | None = None, id_col:
 
         for batch in batches:
             for cut in slices(batch, "text") if batch.num_rows else ():
-                for name, parts in zip(cut.column("doc_id").to_pylist(), vocabulary.ids(texts_of(cut, "text"), encode)):
-                    ids.append(b"".join([*parts, end]))
+                flat, begins = vocabulary.encode(texts_of(cut, "text"), encode)
+                for name, a, b in zip(cut.column("doc_id").to_pylist(), begins[:-1].tolist(), begins[1:].tolist()):
+                    ids.append(flat[a:b].tobytes() + end)
                     names.append(name)
                     held += len(ids[-1]) // 4
                     if held >= FILE_TOKENS:
