@@ -5,6 +5,8 @@ from __future__ import annotations
 import functools
 import json
 import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain, islice
 
@@ -16,7 +18,7 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: texts below this character take the quicker engine
 PLAIN_END = "\u3000"
 #: words kept between texts of a worker; beyond it the table starts anew, which changes no result
-KEPT_WORDS = 600_000
+KEPT_WORDS = 700_000
 #: texts beyond so many characters are split step by step
 LONG_TEXT = 1_000_000
 STEP_WORDS = 100_000
@@ -26,7 +28,7 @@ NEVER = np.int64(1) << 40
 
 def packed(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
-    return b"".join([k.to_bytes(4, "little") for k in ids])
+    return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
 
 
 def byte_letters() -> list[str]:

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable
 
-import numpy as np
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, chat_format, decontaminate, jaccard_join, order_minhash, token_counts, token_files, toxicity, url_rules, warc_zip
-from tidemark.llm._common import map_arrow, staged
+from tidemark.llm._common import staged
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -62,16 +59,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, read back."""
     folder, files = token_files.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
-    read = token_files.read_tokens(folder, staged(files))
-
-    def make():
-        def work(batch: pa.RecordBatch) -> dict:
-            lists = [np.asarray(ids.values).astype("<u4") for ids in batch.column("ids")]
-            return {"doc_id": batch.column("doc_id"), "start": batch.column("start"), "n_tokens": list(map(len, lists)), "ids_crc32": [zlib.crc32(x.tobytes()) for x in lists]}
-
-        return work
-
-    return map_arrow(read, make, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return token_files.checksums(folder, staged(files))
 
 
 OP2_SQL = r"""

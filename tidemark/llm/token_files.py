@@ -14,6 +14,7 @@ from __future__ import annotations
 import gc
 import struct
 import uuid
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -176,28 +177,44 @@ def write_tokens(docs: DataFrame, path: str, folder: str | None = None, id_col:
     return folder, files.join(bases, ["part", "place"])
 
 
-def read_tokens(folder: str, files: DataFrame) -> DataFrame:
-    """All documents of written files: ``(doc_id, start, ids array<int>)``; ``start`` counts over all files."""
+def _stored(folder: str, files: Iterable[tuple[str, int]]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Documents of files: names, starts over all files with the end of the last, ids; about a million ids at a time."""
+    source = open_folder(folder)
+    for file, base in files:
+        with source.open(file) as raw:
+            stored = TokenFile(raw)
+            starts, names = stored.starts(), stored.names()
+            begin = 0
+            while begin < stored.documents:
+                end = max(begin + 1, int(np.searchsorted(starts, starts[begin] + 1_000_000)) - 1)
+                yield names.slice(begin, end - begin), base + starts[begin : end + 1], stored.span(int(starts[begin]), int(starts[end]))
+                begin = end
+
+
+def _read(folder: str, files: DataFrame, columns, fields: str) -> DataFrame:
     kind = files.schema["first_id"].dataType.simpleString()
-    schema = StructType.fromDDL(f"doc_id {kind}, start long, ids array<int>")
+    schema = StructType.fromDDL(f"doc_id {kind}, start long, {fields}")
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source = open_folder(folder)
         for batch in batches:
-            for file, base in zip(batch.column("file").to_pylist(), batch.column("base").to_pylist()):
-                with source.open(file) as raw:
-                    stored = TokenFile(raw)
-                    starts, names = stored.starts(), stored.names()
-                    begin = 0
-                    while begin < stored.documents:
-                        # as many documents as hold a million tokens, one at least
-                        end = max(begin + 1, int(np.searchsorted(starts, starts[begin] + 1_000_000)) - 1)
-                        ids = stored.span(int(starts[begin]), int(starts[end]))
-                        offsets = pa.array(starts[begin : end + 1] - starts[begin], pa.int32())
-                        columns = [names.slice(begin, end - begin), pa.array(base + starts[begin:end], pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))]
-                        yield pa.RecordBatch.from_arrays(columns, schema=arrow)
-                        begin = end
+            for names, starts, ids in _stored(folder, zip(batch.column("file").to_pylist(), batch.column("base").to_pylist())):
+                yield pa.RecordBatch.from_arrays([names, pa.array(starts[:-1], pa.int64()), *columns(starts - starts[0], ids)], schema=arrow)
 
     # a task per file: sizes of the list's own rows say nothing of the work
-    return files.select("file", "base").repartition(max(1, files.count()), "file").mapInArrow(run, schema)
+    return sent(files.select("file", "base").repartition(max(1, files.count()), "file")).mapInArrow(run, schema)
+
+
+def read_tokens(folder: str, files: DataFrame) -> DataFrame:
+    """All documents of written files: ``(doc_id, start, ids array<int>)``; ``start`` counts over all files."""
+    return _read(folder, files, lambda begins, ids: [pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids.view(np.int32)))], "ids array<int>")
+
+
+def checksums(folder: str, files: DataFrame) -> DataFrame:
+    """``(doc_id, start, n_tokens, ids_crc32)`` of all stored documents, to verify files without moving their ids."""
+
+    def columns(begins: np.ndarray, ids: np.ndarray) -> list[pa.Array]:
+        raw, at = memoryview(ids.astype("<u4").tobytes()), (4 * begins).tolist()
+        return [pa.array(np.diff(begins), pa.int64()), pa.array([zlib.crc32(raw[a:b]) for a, b in zip(at, at[1:])], pa.int64())]
+
+    return _read(folder, files, columns, "n_tokens long, ids_crc32 long")
