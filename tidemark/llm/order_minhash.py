@@ -115,12 +115,15 @@ def spliced(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     unique; of rows that share one, each is spliced with each row of the next id.  The only text that moves twice is
     the beginning that the document before asks for.
     """
-    rows = pick(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    sizes = rows.select("doc_id", F.char_length("text").alias("n")).where("doc_id is not null").groupBy("doc_id").agg(F.max("n").alias("n"))
-    follow = next_ids(rows).join(sizes, "doc_id").select(F.col("doc_id").alias("asker"), F.col("next_id").alias("doc_id"), F.expr("n div 2").cast("int").alias("half"))
-    known = rows.where("doc_id is not null").repartition("doc_id")
-    begins = known.join(follow, "doc_id").select(F.col("asker").alias("doc_id"), F.col("doc_id").alias("next_id"), F.substring("text", F.lit(1), F.col("half")).alias("begin"))
-    met = known.join(begins, "doc_id").unionByName(rows.where("doc_id is null").select("doc_id", "text", F.col("doc_id").alias("next_id"), F.lit("").alias("begin")))
-    n = F.char_length("text")
-    half = F.expr("char_length(text) div 2").cast("int")
-    return met.select("doc_id", "next_id", "text", F.concat(F.substring(F.col("text"), F.lit(1), (n - half).cast("int")), F.substring(F.col("begin"), F.lit(1), half)).alias("edited"))
+    # names that the table can't have: two sides of a join that only differ in a renamed column share no exchange
+    rows = pick(docs, own_key=id_col, own_text=text_col).withColumn("own_text", F.coalesce("own_text", F.lit("")))
+    sizes = rows.select("own_key", F.char_length("own_text").alias("n")).where("own_key is not null").groupBy("own_key").agg(F.max("n").alias("n"))
+    order = next_ids(rows, "own_key").withColumnRenamed("doc_id", "asker")
+    follow = order.join(sizes, order["asker"] == sizes["own_key"]).select("asker", F.col("next_id").alias("asked"), F.expr("n div 2").cast("int").alias("half"))
+    known = rows.where("own_key is not null").repartition("own_key")
+    begins = known.join(follow, F.col("own_key") == F.col("asked")).select("asker", F.col("asked").alias("next_id"), F.substring("own_text", F.lit(1), F.col("half")).alias("begin"))
+    met = known.join(begins, F.col("own_key") == F.col("asker")).select("own_key", "own_text", "next_id", "begin")
+    met = met.unionByName(rows.where("own_key is null").select("own_key", "own_text", F.col("own_key").alias("next_id"), F.lit("").alias("begin")))
+    half = F.expr("char_length(own_text) div 2").cast("int")
+    kept = (F.char_length("own_text") - half).cast("int")
+    return met.select(F.col("own_key").alias("doc_id"), "next_id", F.col("own_text").alias("text"), F.concat(F.substring(F.col("own_text"), F.lit(1), kept), F.substring(F.col("begin"), F.lit(1), half)).alias("edited"))
