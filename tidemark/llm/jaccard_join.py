@@ -132,19 +132,16 @@ def _possible(pairs: DataFrame, share: Fraction) -> DataFrame:
     return pairs.where(F.expr(f"na * {p} <= nb * {q} and nb * {p} <= na * {q}") & (bound >= _needed(share)))
 
 
-def _once(pairs: DataFrame, sets: DataFrame, share: Fraction, every_element: bool) -> DataFrame:
-    """Each pair once, with the positional filter on all its elements and the suffix filter.
+def _once(pairs: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
+    """Each pair once, if it passes the suffix filter.
 
     The suffix filter cuts both sets into sixteen parts by hash: elements in which they differ are at least the sum of
     the parts' differences in size.
     """
-    once = pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count(F.lit(1)).alias("shared"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
-    if every_element:
-        once = once.where(F.expr("shared + least(na - pa - 1, nb - pb - 1)") >= _needed(share))
+    once = pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count(F.lit(1)).alias("shared"))
     parts = sets.select("doc_id", "parts")
     with_parts = once.join(parts.select(F.col("doc_id").alias("a"), F.col("parts").alias("parts_a")), "a").join(parts.select(F.col("doc_id").alias("b"), F.col("parts").alias("parts_b")), "b")
-    apart = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda n, x: n + x)
-    return with_parts.where(apart <= F.col("na") + F.col("nb") - 2 * _needed(share)).select("a", "b", "shared")
+    return with_parts.where(_apart() <= F.col("na") + F.col("nb") - 2 * _needed(share)).select("a", "b", "shared")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, size: int, share: Fraction) -> DataFrame:
@@ -250,10 +247,10 @@ def link_groups(docs: DataFrame, size: int = 5, threshold: str = "0.8", id_col:
         here = _labelled(meeting, links)
         mixed = here.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
         here = staged(here.join(mixed, "token"))
-        pairs = _possible(_all_pairs(here) if turn == ROUNDS else _centre_pairs(here, turn), share)
+        pairs = _all_pairs(here, sets, share) if turn == ROUNDS else _possible(_centre_pairs(here, turn), share)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        found = _once(pairs, sets, share, turn == ROUNDS)
+        found = _once(pairs, sets, share)
         if turn < ROUNDS:
             # the likeliest partner of either end
             ends = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
@@ -293,14 +290,31 @@ def _centre_pairs(here: DataFrame, turn: int) -> DataFrame:
     return _oriented(met.select(own.alias("x"), "c.y")).distinct()
 
 
-def _all_pairs(here: DataFrame) -> DataFrame:
-    """All pairs of different components on an element: components meet first, then their members."""
-    own = F.struct("d", "n", "p")
-    groups = here.select("token", "component").distinct()
-    meet = groups.join(groups.select("token", F.col("component").alias("other")), "token").where("component < other")
-    left = here.select("token", "component", own.alias("x")).join(meet, ["token", "component"])
-    right = here.select("token", F.col("component").alias("other"), own.alias("y"))
-    return _oriented(left.join(right, ["token", "other"]).select("x", "y"))
+def _all_pairs(here: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
+    """Possible pairs of different components on an element, by element and class of size.
+
+    Sizes of a pair differ by one class at most.  The first element that a pair shares stands in the shorter set before
+    the part that alone could hold the needed overlap, so only such elements of the shorter set count.  Both prefixes
+    come along, and the join itself drops pairs that share too little of them.
+    """
+    p, q = share.numerator, share.denominator
+    # a little wider than the sizes allow: rounding of logarithms can't part a pair
+    wide = F.floor(F.log(F.col("n")) / F.log(F.lit(q / p if q > p else 2.0)) * 0.999)
+    short = F.transform("prefix", lambda x: F.shiftright(x, 32).cast("int"))
+    rows = here.join(sets.select(F.col("doc_id").alias("d"), short.alias("prefix")), "d").withColumn("size", wide)
+    left = rows.select("token", "size", F.col("component").alias("ca"), F.col("d").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"), F.col("prefix").alias("prefix_a"))
+    near = F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1))
+    right = rows.select("token", near.alias("size"), F.col("component").alias("cb"), F.col("d").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"), F.col("prefix").alias("prefix_b"))
+    early = F.expr(f"case when na <= nb then pa <= na - ({2 * p} * na + {p + q - 1}) div {p + q} else pb <= nb - ({2 * p} * nb + {p + q - 1}) div {p + q} end")
+    met = _possible(left.join(right, ["token", "size"]).where("a < b and ca <> cb"), share).where(early)
+    # what is shared beyond the prefixes lies in the rest of one of them; halves of hashes can only count too much
+    rest = F.greatest(F.col("na") - F.size("prefix_a"), F.col("nb") - F.size("prefix_b"))
+    return met.where(F.size(F.array_intersect("prefix_a", "prefix_b")) + rest >= _needed(share)).select("a", "b", "na", "nb", "pa", "pb")
+
+
+def _apart() -> Column:
+    """Elements in which two sets differ at least: the sum of their parts' differences in size."""
+    return F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda n, x: n + x)
 
 
 def keep_one(docs: DataFrame, size: int = 5, threshold: str = "0.8", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
