@@ -64,10 +64,10 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, tokens: Column | None
     # a row per chunk of turns
     starts = sums.select("conv_id", "chunk", F.coalesce(F.sum("total").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"), F.first("head").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("head"))
     ends = rows.withColumn("own", F.sum("cost").over(inside)).alias("r").join(starts.alias("s"), F.expr("r.conv_id <=> s.conv_id and r.chunk = s.chunk"))
-    placed = ends.select("r.conv_id", "turn", "role", "text", "head", (F.col("before") + F.col("own")).alias("end"), F.expr("before + own = cost and head.role = 'system'").alias("leads"))
+    placed = ends.select("r.conv_id", "turn", "role", "text", "head", "cost", (F.col("before") + F.col("own")).alias("end"), F.expr("before + own = cost and head.role = 'system'").alias("leads"))
     placed = placed.withColumn("window", F.expr(f"(end - 1) div {width}"))
-    # a turn near the end of its window is history of the next one
-    again = placed.where(F.expr(f"not leads and end > (window + 1) * {width} - {history}")).withColumns({"window": F.col("window") + 1, "repeat": F.lit(True)})
+    # a turn that begins and ends in the last stretch of its window is history of the next one
+    again = placed.where(F.expr(f"not leads and end - cost >= (window + 1) * {width} - {history}")).withColumns({"window": F.col("window") + 1, "repeat": F.lit(True)})
     members = placed.withColumn("repeat", F.lit(False)).unionByName(again)
     piece = F.concat(F.lit(BEGIN), F.url_encode("role"), F.lit("\n"), escaped(F.col("text")), F.lit(END))
     bounded = members.groupBy("conv_id", "window").agg(

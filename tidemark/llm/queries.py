@@ -175,7 +175,7 @@ p AS (SELECT *, sum(cost) OVER (PARTITION BY conv_id ORDER BY turn, role, text R
 w AS (SELECT *, (until - 1) // 768 AS win FROM p),
 h AS (SELECT conv_id, size FROM w WHERE place = 1 AND role = 'system'),
 own AS (SELECT conv_id, win, sum(size) AS size, min(place) AS place FROM w GROUP BY 1, 2),
-old AS (SELECT conv_id, win + 1 AS win, sum(size) AS size FROM w WHERE until > (win + 1) * 768 - 256 AND NOT (place = 1 AND role = 'system') GROUP BY 1, 2),
+old AS (SELECT conv_id, win + 1 AS win, sum(size) AS size FROM w WHERE until - cost >= (win + 1) * 768 - 256 AND NOT (place = 1 AND role = 'system') GROUP BY 1, 2),
 f AS (SELECT own.conv_id, CAST(sum(own.size + coalesce(old.size, 0) + CASE WHEN own.place > 1 THEN coalesce(h.size, 0) ELSE 0 END) AS BIGINT) AS formatted_chars
       FROM own LEFT JOIN old USING (conv_id, win) LEFT JOIN h USING (conv_id) GROUP BY 1)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
