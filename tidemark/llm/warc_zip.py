@@ -1,6 +1,6 @@
 """WARC in ZIP packages (4): directories are parsed here, members are located, records are read by byte range.
 
-A package is a ZIP file with stored members only: ``archive/records.warc`` and ``indexes/records.jsonl``, a line per
+A package is a ZIP file with stored members only: ``archive/records.warc.gz``, a gzip member per record, and ``indexes/records.jsonl``, a line per
 record with its offset and length in the archive member.  The reader looks at the end of the file, follows the ZIP64
 locator where there is one, reads the central directory and the local header of a member, and then asks for single
 ranges: nothing is extracted.
@@ -8,6 +8,7 @@ ranges: nothing is extracted.
 
 from __future__ import annotations
 
+import gzip
 import json
 import struct
 import uuid
@@ -23,7 +24,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.llm._common import map_arrow, open_folder, pick, sent, shared_folder, slices, staged
 
-ARCHIVE, INDEX = "archive/records.warc", "indexes/records.jsonl"
+ARCHIVE, INDEX = "archive/records.warc.gz", "indexes/records.jsonl"
 #: a package is closed at the first record beyond so many bytes
 PACKAGE_BYTES = 64_000_000
 LEAST_REVISIT = 1000
@@ -204,7 +205,7 @@ def write_packages(pages: DataFrame, folder: str | None = None, package_bytes: i
                     headers["WARC-Target-URI"] = " ".join(url.split())
                 if target is not None:
                     headers |= {"WARC-Refers-To": f"<urn:x-page:{target}>", "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"}
-                raw = record(kind, "" if page is None else str(page), payload if target is None else b"", headers)
+                raw = gzip.compress(record(kind, "" if page is None else str(page), payload if target is None else b"", headers), 1, mtime=0)
                 lines.append(json.dumps({"offset": size, "length": len(raw)}).encode() + b"\n")
                 held.append(raw)
                 size += len(raw)
@@ -253,7 +254,7 @@ def read_records(folder: str, places: DataFrame) -> DataFrame:
                     held[1].close()
                 held[1] = source.open(file)
                 held[0], held[2] = file, Package(held[1])
-            fields, payload = parse_record(held[2].range(ARCHIVE, offset, length))
+            fields, payload = parse_record(gzip.decompress(held[2].range(ARCHIVE, offset, length)))
             name = lambda key: fields[key].removeprefix("<urn:x-page:").removesuffix(">") or None if key in fields else None
             return name("warc-record-id"), fields["warc-type"], payload, int(fields["x-payload-length"]), fields["warc-payload-digest"].removeprefix("sha1:"), name("warc-refers-to"), fields.get("warc-target-uri")
 
