@@ -142,12 +142,12 @@ class Vocabulary:
                 rank[at] = self.rank(ids[at], ids[at + 1])
         return done
 
-    def encode(self, texts: Iterable[str], encode) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: Iterable[str], encode, kept: int = KEPT_WORDS) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts laid end to end, and where each begins (with the end of the last).
 
         Every pre-token gets a number once; ``encode`` takes the new ones of all texts together.
         """
-        if len(self.words) > KEPT_WORDS:
+        if len(self.words) > kept:
             self.words = _Words()
         parts, counts = [np.zeros(0, np.int32)], [0]
         for text in texts:

@@ -52,6 +52,7 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # of tasks that this worker ran before
         work = make()
         for batch in batches:
             for part in slices(batch, cut_by) if cut_by else (batch,):

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame
 from tidemark.llm import _bpe
 from tidemark.llm._common import map_arrow, pick, texts_of
 
+#: words kept between texts: encoding and decoding run side by side, so it is less than a worker alone could hold
+KEPT_WORDS = 200_000
+
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Ids of every whole text, as the tokenizers library gives them for a byte-level BPE file, special strings as its default.
@@ -26,7 +29,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         vocabulary, guess = _bpe.vocabulary(path), _bpe.speculation(path)
 
         def work(batch: pa.RecordBatch) -> dict:
-            ids, begins = vocabulary.encode(texts_of(batch, "text"), guess)
+            ids, begins = vocabulary.encode(texts_of(batch, "text"), guess, KEPT_WORDS)
             return {"doc_id": batch.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids.view(np.int32)))}
 
         return work
