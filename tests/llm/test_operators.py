@@ -64,7 +64,7 @@ def test_speculation_and_merging_equal_the_library(library):
 
 def test_codec_round_trip(odd, library, rows):
     found = rows(bpe.decode(bpe.encode(odd, PATH), PATH), "doc_id")
-    assert len(found) == len(ODD) + 2
+    assert len(found) == len(ODD) + 2 and found == rows(bpe.round_trip(odd, PATH), "doc_id")
     for r in found:
         assert r["ids"] == library.encode(r["text"], add_special_tokens=False).ids
     assert {r["text"] for r in found} == {t or "" for t in ODD} | {"no id"}

@@ -37,6 +37,29 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return map_arrow(rows, make, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>", cut_by="text")
 
 
+def text_of(ids: list[int] | None, tokens: list[bytes]) -> str:
+    """The text of ids; bytes that are no UTF-8 become U+FFFD."""
+    return b"".join([tokens[k] for k in ids or () if k is not None and 0 <= k < len(tokens)]).decode("utf-8", "replace")
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one Python worker: ``(id, ids, text)``, the text decoded from the ids."""
+    rows = pick(docs, doc_id=id_col, text=text_col)
+
+    def make():
+        gc.disable()
+        vocabulary, guess = _bpe.vocabulary(path), _bpe.speculation(path)
+
+        def work(batch: pa.RecordBatch) -> dict:
+            ids, begins = vocabulary.encode(texts_of(batch, "text"), guess, KEPT_WORDS)
+            lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids.view(np.int32)))
+            return {"doc_id": batch.column("doc_id"), "ids": lists, "text": [text_of(ids[a:b].tolist(), vocabulary.tokens) for a, b in zip(begins[:-1].tolist(), begins[1:].tolist())]}
+
+        return work
+
+    return map_arrow(rows, make, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, text string", cut_by="text")
+
+
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """Texts of id lists, special strings included: ``(id, ids, text)``.
 
@@ -47,9 +70,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
 
     def make():
         tokens = _bpe.vocabulary(path).tokens
-
-        def text(ids: list[int] | None) -> str:
-            return b"".join([tokens[k] for k in ids or () if k is not None and 0 <= k < len(tokens)]).decode("utf-8", "replace")
+        text = lambda ids: text_of(ids, tokens)
 
         def work(batch: pa.RecordBatch) -> dict:
             lists = batch.column("ids")

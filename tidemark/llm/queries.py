@@ -40,7 +40,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Encoded and decoded documents as counts and digests."""
-    read = bpe.decode(bpe.encode(docs, path), path)
+    read = bpe.round_trip(docs, path)
     return read.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
