@@ -13,6 +13,8 @@ from itertools import chain, islice
 import numpy as np
 import regex
 
+from tidemark.llm._common import worker_cache
+
 #: Fixed value: the split pattern of byte-level tokenizers with ``use_regex``.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: texts below this character take the quicker engine
@@ -275,18 +277,18 @@ class Speculation:
         return out
 
 
-@functools.lru_cache(maxsize=2)
+@worker_cache
 def vocabulary(path: str) -> Vocabulary:
     """One per worker process and file."""
     return Vocabulary(path)
 
 
-@functools.lru_cache(maxsize=2)
+@worker_cache
 def speculation(path: str) -> Speculation:
     return Speculation(vocabulary(path))
 
 
-@functools.lru_cache(maxsize=2)
+@worker_cache
 def library(path: str):
     """The tokenizers library for one file, as a function from words to ids."""
     import os

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -26,6 +29,32 @@ BATCH_LIMIT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4_000_0
 STANDARD_LIMITS = ("67108864", "67108864b", "64m", "64MB")
 
 
+#: what this worker process keeps between tasks, and the operator it was kept for
+_CACHES: list = []
+_OWNER: list[str] = [""]
+
+
+def worker_cache(make: Callable) -> Callable:
+    """Keep what ``make`` returns between tasks of one operator; the next operator's first task drops it."""
+    kept = functools.lru_cache(maxsize=2)(make)
+    _CACHES.append(kept)
+    return kept
+
+
+def settle(owner: str) -> None:
+    """Give back memory of earlier tasks; tables that another operator kept go with it."""
+    if _OWNER[0] != owner:
+        for cache in _CACHES:
+            cache.cache_clear()
+        _OWNER[0] = owner
+    gc.enable()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def pick(df: DataFrame, **named: str) -> DataFrame:
     """Only the named columns, under the operator's own names: extra columns can't clash with them."""
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in named.items()])
@@ -49,10 +78,10 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict
     out = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    arrow = to_arrow_schema(out)
+    arrow, owner = to_arrow_schema(out), make.__module__
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.default_memory_pool().release_unused()  # of tasks that this worker ran before
+        settle(owner)
         work = make()
         for batch in batches:
             for part in slices(batch, cut_by) if cut_by else (batch,):

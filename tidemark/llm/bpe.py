@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from tidemark.llm import _bpe
 from tidemark.llm._common import map_arrow, pick, texts_of
 
-#: words kept between texts: encoding and decoding run side by side, so it is less than a worker alone could hold
-KEPT_WORDS = 200_000
+#: words kept between texts; new words are a small part of the work, so a small table costs little
+KEPT_WORDS = 50_000
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
