@@ -73,8 +73,8 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
         yield batch.slice(begin)
 
 
-def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict | None]], schema: str | StructType, cut_by: str | None = None) -> DataFrame:
-    """``make`` runs once in a task and gives a function from a batch to columns (or None for no rows)."""
+def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict | None]], schema: str | StructType, cut_by: str | None = None, most: int = SLICE_BYTES) -> DataFrame:
+    """``make`` runs once in a task and gives a function from a batch to columns (or None for no rows); batches are cut at ``most`` bytes of a column."""
     out = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -84,7 +84,7 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict
         settle(owner)
         work = make()
         for batch in batches:
-            for part in slices(batch, cut_by) if cut_by else (batch,):
+            for part in slices(batch, cut_by, most) if cut_by else (batch,):
                 if part.num_rows and (columns := work(part)) is not None:
                     yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name] for f in arrow], schema=arrow)
 

@@ -13,6 +13,8 @@ from tidemark.llm._common import map_arrow, pick, texts_of
 
 #: words kept between texts; new words are a small part of the work, so a small table costs little
 KEPT_WORDS = 50_000
+#: bytes of text encoded and decoded at one time: places of all its tokens are held beside it
+SLICE_BYTES = 500_000
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -34,7 +36,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
         return work
 
-    return map_arrow(rows, make, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>", cut_by="text")
+    return map_arrow(rows, make, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>", cut_by="text", most=SLICE_BYTES)
 
 
 def text_of(ids: list[int] | None, tokens: list[bytes]) -> str:
@@ -57,7 +59,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
         return work
 
-    return map_arrow(rows, make, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, text string", cut_by="text")
+    return map_arrow(rows, make, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, text string", cut_by="text", most=SLICE_BYTES)
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
