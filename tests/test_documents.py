@@ -35,6 +35,25 @@ def test_links_of_pages(spark):
     assert got == {("link", "A", "B"), ("iframe", "", ""), ("img", "W", "V")}
 
 
+def test_links_in_any_writing(spark):
+    html = (
+        "<A HREF='x.html'><a href=y><a class=\"k\" href=\"z?a=1&amp;b=2\"><a href=\"&#x2f;up&#47;../t\"><a href='#top'><a href='?q=1'><a href='//o.org/p'><a data-href='no'><a href=''>"
+        "<iframe src=\"https://f.org/a\" data-src='../late'></iframe><IMG data-src='no' SRC=pic.png>"
+    )
+    pages = spark.createDataFrame([("https://h.org/d/e/page?s=1#f", html), ("u", None)], "url string, html string")
+    raw = [(r["kind"], r["src"]) for r in inv.page_links(pages, "url", "html").collect()]
+    assert sorted(raw) == sorted(
+        [("link", s) for s in ("x.html", "y", "z?a=1&b=2", "/up/../t", "#top", "?q=1", "//o.org/p")] + [("iframe", "https://f.org/a"), ("iframe", "../late"), ("img", "pic.png")]
+    )
+    full = {r["src"] for r in inv.page_links(pages, "url", "html", "url").collect()}
+    assert full == {
+        "https://h.org/d/e/x.html", "https://h.org/d/e/y", "https://h.org/d/e/z?a=1&b=2", "https://h.org/t", "https://h.org/d/e/page?s=1#top", "https://h.org/d/e/page?q=1", "https://o.org/p",
+        "https://f.org/a", "https://h.org/d/late", "https://h.org/d/e/pic.png",
+    }
+    heads = spark.createDataFrame([("p", "<H1> </H1><h2>a&nbsp;&lt;b&#62;</h2><title></title>")], "id string, html string")
+    assert [(r["tag"], r["text"]) for r in doc.page_outline(heads, "id", "html").collect()] == [("title", ""), ("h2", "a <b>")]
+
+
 def test_inventory_merge_keeps_every_baseline_row(spark):
     inv_cols = "group string, page_url string, host string, workbook string, view string, title string"
     base = spark.createDataFrame(
@@ -76,6 +95,8 @@ def test_captions_and_tags(spark):
     docs = spark.createDataFrame([("et", text), ("en", "Figure 2. Share of forest land\nTable 1. Error of the increment")], "id string, text string")
     caps = doc.captions(docs, ["id"], "text")
     assert caps.where("id = 'et'").count() == 4
+    far = spark.createDataFrame([("x", "Joonis 1. " + "a" * 200 + " pindala")], "id string, text string")
+    assert doc.captions(far, ["id"], "text").first()["text"].endswith("pindala") and len(doc.captions(far, ["id"], "text", width=160).first()["text"]) == 160
     native = {(r["id"], r["label"]) for r in doc.native_captions(caps, "id").collect()}
     assert native == {("et", "joonis"), ("et", "tabel"), ("en", "figure"), ("en", "table")}
     pages = spark.createDataFrame([("et", 50), ("en", None)], "id string, pages int")
@@ -98,14 +119,14 @@ def test_keyword_context(spark):
     hits = doc.keyword_context(df, "doc", "page", "text", r"(?i)confidence\w*")
     assert doc.keyword_pages(hits, "doc", "page").first()["keyword_pages"] == 2
     many = spark.range(60).select(F.lit("d").alias("doc"), F.col("id").alias("page"), F.lit("confidence").alias("text"))
-    assert doc.keyword_context(many, "doc", "page", "text", "confidence").count() == 40
-    assert doc.keyword_context(many, "doc", "page", "text", "confidence", per_document=None).count() == 60
+    assert doc.keyword_context(many, "doc", "page", "text", "confidence").count() == 60
+    assert doc.keyword_context(many, "doc", "page", "text", "confidence", per_document=40).count() == 40
 
 
 def test_html_json_xml(spark):
     html = "<html><title> A &amp; B </title><h1>Top <b>x</b></h1><h3>c</h3><h2>b</h2><a href='q'></a><a href=\"f.PDF?x=1\">p</a><a href=\"f.html\">p</a></html>"
     df = spark.createDataFrame([("p", html)], "id string, html string")
-    assert [(r["tag"], r["text"]) for r in doc.page_outline(df, "id", "html").collect()] == [("title", "A &amp; B"), ("h1", "Top x"), ("h2", "b"), ("h3", "c")]
+    assert [(r["tag"], r["text"]) for r in doc.page_outline(df, "id", "html").collect()] == [("title", "A & B"), ("h1", "Top x"), ("h2", "b"), ("h3", "c")]
     assert [r["href"] for r in doc.links_with_suffix(df, "id", "html").collect()] == ["f.PDF?x=1"]
 
     payload = {"data": [{"a": 1, "b": 1.5, "c": "x", "d": [1], "e": {"z": 1}, "f": None, "g": True}], "meta": 1}

@@ -18,15 +18,23 @@ def test_reconciliation_finds_missing_mismatching_and_broken_parts(spark, tmp_pa
     broken = root / "2021"
     broken.mkdir()
     (broken / "bad.parquet").write_bytes(b"PAR1 this is not parquet PAR1")
-    parts = landed.read_parts(spark, str(root), "year int, v bigint")
+    with pytest.raises(Exception, match="bad.parquet"):
+        landed.read_parts(spark, str(root), "year int, v bigint").count()
+    parts = landed.read_parts(spark, str(root), "year int, v bigint", leave_damaged=True)
     expected = spark.createDataFrame([(2019, 3), (2020, 5), (2021, 1)], "year int, rows_expected bigint")
     wanted = mg.expected_years(spark, 2018, 2021, [0]).join(expected, "year", "full")
     rec = mg.reconcile(landed.year_counts(parts), wanted)
     assert {r["year"]: r["status"] for r in rec.collect()} == {0: "missing", 2018: "missing", 2019: "ok", 2020: "mismatch", 2021: "missing"}
     rep = mg.completeness_report(rec).first()
     assert rep["years_missing"] == [0, 2018, 2021] and rep["years_mismatch"] == [2020] and not rep["complete"]
-    files = spark.createDataFrame([("bad.parquet",)], "file string")
-    assert landed.broken_parts(parts, files).count() == 1
+    whole = [r["file"] for r in parts.selectExpr("substring_index(part_file, '/', -1) as file").distinct().collect()]
+    files = spark.createDataFrame([("bad.parquet", 1), *[(f, None) for f in whole]], "file string, rows_expected bigint")
+    broken = landed.broken_parts(parts, files)
+    assert [tuple(r) for r in broken.collect()] == [("bad.parquet", 1, 0)]
+    short = landed.broken_parts(parts, spark.createDataFrame([(f, 9) for f in whole], "file string, rows_expected bigint"))
+    assert short.count() == len(whole)  # partly read files are named too
+    fine = mg.reconcile(landed.year_counts(parts), landed.year_counts(parts).withColumnRenamed("rows_read", "rows_expected"))
+    assert mg.completeness_report(fine).first()["complete"] and not mg.completeness_report(fine, broken).first()["complete"]
 
 
 def test_guards(spark):
@@ -104,9 +112,15 @@ def test_profiles(spark, tmp_path):
     assert d["s"]["null_share"] == 0.5 and d["v"]["v_max"] == 3.0 and d["v"]["distinct"] == 3
     assert pf.top_values(df, top=1).where("column = 'v'").first()["value"] == "3.0"
     df.write.parquet(str(tmp_path / "t"))
-    found, index = landed.profile_tables(spark, {"t": str(tmp_path / "t"), "k_isik": "x", "gone": str(tmp_path / "no")})
+    df.coalesce(1).write.parquet(str(tmp_path / "cut"))
+    part = next((tmp_path / "cut").glob("part*"))
+    raw = bytearray(part.read_bytes())
+    raw[4:60] = b"\xff" * 56  # the footer stays readable
+    part.write_bytes(raw)
+    next((tmp_path / "cut").glob(".part*.crc")).unlink()
+    found, index = landed.profile_tables(spark, {"t": str(tmp_path / "t"), "k_isik": "x", "gone": str(tmp_path / "no"), "cut": str(tmp_path / "cut")})
     assert set(found) == {"t"}
-    assert {r["table_name"]: r["status"].split(":")[0] for r in index.collect()} == {"t": "ok", "k_isik": "skipped", "gone": "failed"}
+    assert {r["table_name"]: r["status"].split(":")[0] for r in index.collect()} == {"t": "ok", "k_isik": "skipped", "gone": "failed", "cut": "failed"}
     big = spark.range(10000).withColumnRenamed("id", "k")
     sample = pf.even_sample(big, "k", 5, 40)
     assert sample.count() == 200 and sample.distinct().count() == 200

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ColumnLike, col, keyword_tags, let, ratio
 from tidemark.functions.ranks import top_rows
+from tidemark.operators.inventory import attribute_values, unescaped
 
 #: Caption lines, label sets and keyword rules.
 CAPTION = (
@@ -49,14 +50,15 @@ def lines(df: DataFrame, ident: Sequence[str], text: str) -> DataFrame:
     return df.select(*ident, F.posexplode(F.split(F.col(text), r"\r?\n")).alias("line_no", "line"))
 
 
-def captions(df: DataFrame, ident: Sequence[str], text: str, pattern: str = CAPTION, width: int = 160) -> DataFrame:
-    """Caption lines with their lower-case label and (as in a listing) the first ``width`` characters."""
+def captions(df: DataFrame, ident: Sequence[str], text: str, pattern: str = CAPTION, width: int | None = None) -> DataFrame:
+    """Caption lines with their lower-case label and whole text (a listing may ask for its first ``width`` characters)."""
     hit = lines(df, ident, text).where(F.col("line").rlike(pattern))
+    whole = F.regexp_extract("line", pattern, 2)
     return hit.select(
         *ident,
         "line_no",
         F.lower(F.regexp_extract("line", pattern, 1)).alias("label"),
-        F.substring(F.regexp_extract("line", pattern, 2), 1, width).alias("text"),
+        (whole if width is None else F.substring(whole, 1, width)).alias("text"),
     )
 
 
@@ -125,9 +127,9 @@ def keyword_context(
     pattern: str,
     before: int = 70,
     after: int = 90,
-    per_document: int | None = 40,
+    per_document: int | None = None,
 ) -> DataFrame:
-    """First hit per page with its surrounding characters; a listing of at most ``per_document`` per document."""
+    """First hit per page with its surrounding characters; a listing may ask for ``per_document`` at most."""
     flat = F.trim(F.regexp_replace(F.col(text), r"\s+", " "))
     rows = df.select(doc, page, flat.alias("__t")).where(F.col("__t").rlike(pattern))
     word = F.regexp_extract("__t", pattern, 0)
@@ -158,24 +160,24 @@ def matching_documents(df: DataFrame, keys: Sequence[str], text: str, pattern: s
 
 
 def strip_tags(html: ColumnLike) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(col(html), r"<[^>]*>", " "), r"\s+", " "))
+    return F.trim(F.regexp_replace(unescaped(F.regexp_replace(col(html), r"<[^>]*>", " ")), r"[\s ]+", " "))
 
 
 def page_outline(df: DataFrame, ident: str, html: str) -> DataFrame:
-    """Title and h1–h3 headings of a page, in order of level and position."""
+    """Title and h1–h3 headings of a page, in order of level and position; headings without text are left out."""
 
     def of_tag(tag: str) -> Column:
         hits = F.regexp_extract_all(F.col(html), F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), 1)
         return F.transform(hits, lambda s, i: F.struct(F.lit(tag).alias("tag"), i.alias("pos"), strip_tags(s).alias("text")))
 
     parts = F.flatten(F.array(*[of_tag(t) for t in ("title", "h1", "h2", "h3")]))
-    return df.select(ident, F.explode(parts).alias("x")).select(ident, "x.*")
+    named = df.select(ident, F.explode(parts).alias("x")).select(ident, "x.*")
+    return named.where((F.col("tag") == "title") | (F.col("text") != ""))
 
 
 def links_with_suffix(df: DataFrame, ident: str, html: str, suffix: str = ".pdf") -> DataFrame:
     """Distinct link targets whose path ends with a suffix."""
-    hrefs = F.regexp_extract_all(F.col(html), F.lit(r'(?i)<a\b[^>]*?\bhref="([^"]*)"'), 1)
-    out = df.select(ident, F.explode(F.array_distinct(hrefs)).alias("href"))
+    out = df.select(ident, F.explode(F.array_distinct(attribute_values(html, "a", "href"))).alias("href"))
     return out.where(F.lower(F.regexp_replace("href", r"[?#].*$", "")).endswith(suffix))
 
 

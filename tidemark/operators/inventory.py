@@ -91,22 +91,75 @@ def link_rows(links: DataFrame, page: str = "page_url", kind: str = "kind", src:
     )
 
 
-def page_links(pages: DataFrame, ident: str, html: str) -> DataFrame:
-    """``(ident, kind, src)`` of every link and embed in the page source."""
-    rules = {
-        "tableau-viz": r'<tableau-viz\b[^>]*?\bsrc="([^"]*)"',
-        "iframe": r'<iframe\b[^>]*?\bsrc="([^"]*)"',
-        "img": r'<img\b[^>]*?\bsrc="([^"]*)"',
-        "link": r'<a\b[^>]*?\bhref="([^"]*)"',
-        "script": r'<script\b[^>]*?\bsrc="([^"]*)"',
-    }
+def unescaped(text: ColumnLike) -> Column:
+    """Numbered and the common named character references as characters; others stay."""
+
+    def numbered(t: Column, pattern: str, base: int) -> Column:
+        def replaced(out: Column, ref: Column) -> Column:
+            code = F.conv(F.regexp_extract(ref, pattern, 2), base, 10).cast("bigint")
+            fits = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+            return F.when(fits, F.replace(out, ref, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))).otherwise(out)
+
+        return F.aggregate(F.array_distinct(F.regexp_extract_all(t, F.lit(pattern), 1)), t, replaced)
+
+    out = numbered(numbered(col(text), "(&#([0-9]{1,7});)", 10), "(&#[xX]([0-9a-fA-F]{1,6});)", 16)
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", " "), ("amp", "&")):
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
+    return out
+
+
+def attribute_values(html: ColumnLike, tag: str, name: str) -> Column:
+    """Non-blank values of an attribute in all tags of a kind: any case, quoted either way or not at all, unescaped."""
+    value = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    hits = F.regexp_extract_all(col(html), F.lit(rf"(?i)<{tag}\b[^>]*?\s{name}\s*=\s*{value}"), 1)
+    return F.filter(F.transform(hits, lambda s: F.trim(unescaped(F.regexp_replace(s, r"""^["']|["']$""", "")))), lambda s: s != "")
+
+
+def absolute(src: ColumnLike, base: ColumnLike) -> Column:
+    """A link target as the page at ``base`` means it; steps up and ``./`` are resolved."""
+    s, scheme, host, path = col(src), F.regexp_extract(col(base), URL, 1), host_of(base), path_of(base)
+    root = F.concat(scheme, F.lit("://"), host)
+    tail = F.regexp_extract(s, r"^[^?#]*(.*)$", 1)
+    joined = F.concat(F.regexp_replace(path, r"[^/]*$", ""), F.regexp_extract(s, r"^([^?#]*)", 1))
+    full = F.when(s.startswith("/"), F.regexp_extract(s, r"^([^?#]*)", 1)).otherwise(F.regexp_replace(joined, r"^(?!/)", "/"))
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.array_append(done, part))
+
+    # a last step that names a folder keeps its slash
+    parts = F.split(F.regexp_replace(full, r"/\.\.?$", "$0/"), "/")
+    clean = F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/")
+    return (
+        F.when(s.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), s)
+        .when(s.startswith("//"), F.concat(scheme, F.lit(":"), s))
+        .when(s.startswith("#"), F.concat(F.regexp_replace(col(base), r"#.*$", ""), s))
+        .when(s.startswith("?"), F.concat(root, path, s))
+        .otherwise(F.concat(root, clean, tail))
+    )
+
+
+def page_links(pages: DataFrame, ident: str, html: str, base: str | None = None) -> DataFrame:
+    """``(ident, kind, src)`` of every link and embed in the page source; lazy frames keep theirs in ``data-src``.
+
+    With ``base``, the column of the page's own URL, targets are absolute.
+    """
+    rules = (
+        ("tableau-viz", "tableau-viz", "src"),
+        ("iframe", "iframe", "src"),
+        ("iframe", "iframe", "data-src"),
+        ("img", "img", "src"),
+        ("link", "a", "href"),
+        ("script", "script", "src"),
+    )
 
-    def of_kind(name: str, rx: str) -> Column:
-        hits = F.regexp_extract_all(F.col(html), F.lit(rx), 1)
-        return F.transform(hits, lambda s: F.struct(F.lit(name).alias("kind"), s.alias("src")))
+    def of_kind(kind: str, tag: str, name: str) -> Column:
+        return F.transform(attribute_values(html, tag, name), lambda s: F.struct(F.lit(kind).alias("kind"), s.alias("src")))
 
-    found = F.flatten(F.array(*[of_kind(name, rx) for name, rx in rules.items()]))
-    return pages.select(ident, F.explode(found).alias("x")).select(ident, "x.kind", "x.src")
+    found = F.flatten(F.array(*[of_kind(*rule) for rule in rules]))
+    kept = [ident, *([base] if base and base != ident else [])]
+    rows = pages.select(*kept, F.explode(found).alias("x")).select(*kept, "x.kind", "x.src")
+    return rows.select(ident, "kind", (absolute("src", base) if base else F.col("src")).alias("src"))
 
 
 def match_key(page: ColumnLike, host: ColumnLike, workbook: ColumnLike, view: ColumnLike, placeholder: str) -> dict[str, Column]:

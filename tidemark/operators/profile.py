@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import all_of, distinct_with_null, ratio
+from tidemark.functions.columns import all_of, join_same, ratio
 from tidemark.functions.ranks import top_rows
 
 
@@ -48,20 +48,21 @@ def top_values(
     df: DataFrame,
     keys: Sequence[str] = (),
     columns: Sequence[str] | None = None,
-    max_distinct: int = 40,
+    max_distinct: int | None = None,
     top: int | None = None,
 ) -> DataFrame:
-    """Value counts of the columns with few distinct values (all of them, or the ``top`` largest)."""
-    counts = value_counts(df, keys, columns)
-    few = counts.groupBy(*keys, "column").agg(F.count(F.lit(1)).alias("__d")).where(F.col("__d") <= max_distinct)
-    kept = counts.join(few.drop("__d"), [*keys, "column"], "left_semi")
+    """Value counts of all columns, or of those with at most ``max_distinct`` values; all counts, or the ``top`` largest."""
+    kept = value_counts(df, keys, columns)
+    if max_distinct is not None:
+        few = kept.groupBy(*keys, "column").agg(F.count(F.lit(1)).alias("__d")).where(F.col("__d") <= max_distinct)
+        kept = join_same(kept, few.drop("__d"), [*keys, "column"], "left_semi")
     if top is None:
         return kept
     return top_rows(kept, [*keys, "column"], [F.desc("rows"), F.asc_nulls_first("value")], top)
 
 
-def counts(df: DataFrame, cols: Sequence[str], top: int | None = 40) -> DataFrame:
-    """Rows per column tuple, largest first."""
+def counts(df: DataFrame, cols: Sequence[str], top: int | None = None) -> DataFrame:
+    """Rows per column tuple; a listing may ask for the ``top`` largest."""
     g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("rows"))
     order = [F.desc("rows"), *[F.asc_nulls_first(c) for c in cols]]
     return g.orderBy(*order).limit(top) if top else g
@@ -110,15 +111,19 @@ def table_shapes(
 
 
 def shape_values(df: DataFrame, dims: Sequence[str], by: Sequence[str] = (), max_values: int = 40) -> DataFrame:
-    """Sorted values of every filled classifier per shape, when there are at most ``max_values``."""
+    """How many values every filled classifier has per shape, and a sorted list of them where they are at most ``max_values``.
+
+    Values are counted first; only lists that are short enough are gathered.
+    """
     shaped = df.select(
         *by, F.concat_ws("+", *[F.when(F.col(d).isNotNull(), F.lit(d)) for d in dims]).alias("shape"), *dims
     )
     vals = unpivot_text(shaped, [*by, "shape"]).where(F.col("value").isNotNull()).distinct()
-    return vals.groupBy(*by, "shape", "column").agg(
-        F.count(F.lit(1)).alias("distinct"),
-        F.when(F.count(F.lit(1)) <= max_values, F.array_sort(F.collect_list("value"))).alias("values"),
-    )
+    keys = [*by, "shape", "column"]
+    sized = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("distinct"))
+    short = join_same(vals, sized.where(F.col("distinct") <= max_values).select(*keys), keys, "left_semi")
+    lists = short.groupBy(*keys).agg(F.array_sort(F.collect_list("value")).alias("values"))
+    return join_same(sized, lists, keys, "left")
 
 
 def shape_examples(

@@ -29,9 +29,9 @@ def by_indicator(
     keys: Sequence[str] = (PROGRAMME, GROUP, CODE, NAME),
     unit: str = UNIT,
     species: str = SPECIES,
-    top: int | None = 400,
+    top: int | None = None,
 ) -> DataFrame:
-    """Largest indicators with years, sorted units, species, value range and negatives."""
+    """Indicators with years, sorted units, species, value range and negatives; a listing may ask for the ``top`` largest."""
     units = F.array_sort(F.collect_set(unit))  # the unit vocabulary of one indicator
     out = parts.groupBy(*keys).agg(
         F.sum("rows").alias("rows"),
@@ -55,11 +55,12 @@ def rows_by_group_and_year(parts: DataFrame, group: str = GROUP, year: str = "ye
     )
 
 
-def species_overview(parts: DataFrame, top: int = 60) -> tuple[DataFrame, DataFrame]:
+def species_overview(parts: DataFrame, top: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Species per year, and rows per species, programme and indicator (all, or a listing of the ``top`` largest)."""
     sp = parts.where(F.col(SPECIES).isNotNull())
     per_year = sp.groupBy("year").agg(F.sum("rows").alias("rows"), F.count_distinct(SPECIES).alias("species"))
-    pairs = catalogue_of(sp, [SPECIES, PROGRAMME, NAME]).orderBy(F.desc("rows"), SPECIES, PROGRAMME, NAME).limit(top)
-    return per_year, pairs
+    pairs = catalogue_of(sp, [SPECIES, PROGRAMME, NAME])
+    return per_year, pairs.orderBy(F.desc("rows"), SPECIES, PROGRAMME, NAME).limit(top) if top else pairs
 
 
 def group_coverage(by_group_year: DataFrame, group: str = GROUP, unknown: str = "unknown") -> DataFrame:
@@ -81,18 +82,16 @@ def catalogue(parts: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def coverage(sections: Mapping[str, DataFrame], first_year: int = 1990, top: int = 12) -> dict[str, DataFrame]:
+def coverage(sections: Mapping[str, DataFrame], first_year: int = 1990, top: int | None = None) -> dict[str, DataFrame]:
     """Reader-facing coverage: groups, rows and species per recent year, indicators counting many species."""
     grouped = sections["groups_by_year"]
     recent = F.col("year") >= first_year
+    many = sections["indicators"].where((F.col("species") >= 5) & F.lower(F.col(NAME)).contains("arv"))
     return {
         "groups": group_coverage(grouped.where(F.col("all_groups") == 0)),
         "rows_by_year": grouped.where((F.col("all_groups") == 1) & recent).select("year", "rows"),
         "species_per_year": sections["species_per_year"].where(recent),
-        "species_indicators": sections["indicators"]
-        .where((F.col("species") >= 5) & F.lower(F.col(NAME)).contains("arv"))
-        .orderBy(F.desc("rows"))
-        .limit(top),
+        "species_indicators": many.orderBy(F.desc("rows")).limit(top) if top else many,
     }
 
 

@@ -150,7 +150,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY rows DESC, val
 SELECT "column", value, rows FROM r WHERE rn <= 8""",
 )
 def top_values(spark, sf):
-    return pf.top_values(table(spark, sf, "lineitem"), columns=["l_returnflag", "l_linestatus", "l_linenumber", "l_orderkey"], top=8)
+    return pf.top_values(table(spark, sf, "lineitem"), columns=["l_returnflag", "l_linestatus", "l_linenumber", "l_orderkey"], max_distinct=40, top=8)
 
 
 @query(

@@ -127,7 +127,7 @@ REPS = 200
     f"""WITH {MONTHLY_SQL}, y AS (SELECT entity, year, sum(value) AS v FROM m GROUP BY 1, 2),
 e AS (SELECT entity, row_number() OVER (ORDER BY md5(CAST(entity AS VARCHAR)), entity) - 1 AS pos, count(*) OVER () AS n
       FROM (SELECT DISTINCT entity FROM y)),
-d AS (SELECT rep, ('0x' || substr(md5('5|' || rep || '|' || pos), 1, 8))::BIGINT % n AS hit FROM e, range(0, {REPS}) t(rep)),
+d AS (SELECT rep, ('0x' || substr(md5('5|' || rep || '|' || pos), 1, 15))::BIGINT % n AS hit FROM e, range(0, {REPS}) t(rep)),
 b AS (SELECT rep, year, avg(v) AS mean FROM d JOIN e ON e.pos = d.hit JOIN y ON y.entity = e.entity GROUP BY 1, 2)
 SELECT year, round(quantile_cont(mean, 0.025), 8) AS lo, round(quantile_cont(mean, 0.975), 8) AS hi FROM b GROUP BY 1""",
 )
@@ -166,7 +166,7 @@ def theil_sen_slope(spark, sf):
 p AS (SELECT *, row_number() OVER (PARTITION BY seg ORDER BY x) AS i, count(*) OVER (PARTITION BY seg) AS n FROM o),
 h AS (SELECT a.seg, 10 * median((b.y - a.y) / (b.x - a.x)) AS slope, max(a.n) AS n FROM p a JOIN p b ON a.seg = b.seg AND a.i < b.i GROUP BY 1),
 k AS (SELECT DISTINCT seg, n FROM p),
-bl AS (SELECT k.seg, n, rep, b, ('0x' || substr(md5('7|' || rep || '|' || b), 1, 8))::BIGINT % (n - 2) AS start
+bl AS (SELECT k.seg, n, rep, b, ('0x' || substr(md5('7|' || rep || '|' || b), 1, 15))::BIGINT % (n - 2) AS start
        FROM k, range(0, 60) t(rep), range(0, 100) u(b) WHERE b < ceil(n / 3.0)),
 s AS (SELECT bl.seg, rep, b * 3 + o AS at, p.x, p.y FROM bl, range(0, 3) v(o) JOIN p ON true WHERE p.seg = bl.seg AND p.i = start + o + 1 AND b * 3 + o < bl.n),
 r AS (SELECT a.seg, a.rep, 10 * median((c.y - a.y) / (c.x - a.x)) AS s FROM s a JOIN s c ON a.seg = c.seg AND a.rep = c.rep AND a.at < c.at AND a.x <> c.x GROUP BY 1, 2)
@@ -203,7 +203,7 @@ def spearman_rank(spark, sf):
 od AS (SELECT CAST(year(o_orderdate) * 4 + quarter(o_orderdate) AS INTEGER) AS t, count(*) AS y FROM orders GROUP BY 1),
 p AS (SELECT t, x, y, row_number() OVER (ORDER BY t) - 1 AS i, count(*) OVER () AS n FROM li JOIN od USING (t)),
 h AS (SELECT corr(rx, ry) AS rho, count(*) AS n FROM (SELECT row_number() OVER (ORDER BY x, i) AS rx, row_number() OVER (ORDER BY y, i) AS ry FROM p)),
-d AS (SELECT rep, p.i AS spot, ('0x' || substr(md5('11|' || rep || '|' || p.i), 1, 8))::BIGINT % n AS hit FROM p, range(0, 300) t(rep)),
+d AS (SELECT rep, p.i AS spot, ('0x' || substr(md5('11|' || rep || '|' || p.i), 1, 15))::BIGINT % n AS hit FROM p, range(0, 300) t(rep)),
 s AS (SELECT rep, spot, x, y FROM d JOIN p ON p.i = d.hit),
 b AS (SELECT rep, corr(rx, ry) AS rho FROM (SELECT rep, row_number() OVER (PARTITION BY rep ORDER BY x, spot) AS rx,
       row_number() OVER (PARTITION BY rep ORDER BY y, spot) AS ry FROM s) GROUP BY 1)
@@ -674,7 +674,7 @@ def chain_index(spark, sf):
     f"""WITH {BIRDS_SQL}, {LINKS_SQL}, {CHAIN_SQL},
 us AS (SELECT species FROM ch GROUP BY 1 HAVING bool_and(idx IS NOT NULL) AND NOT bool_or(coalesce(idx > 1000 OR idx < 10, false))),
 e AS (SELECT point, row_number() OVER (ORDER BY md5(CAST(point AS VARCHAR)), point) - 1 AS pos, count(*) OVER () AS n FROM (SELECT DISTINCT point FROM c)),
-w AS (SELECT rep, e2.point, count(*) AS wt FROM (SELECT rep, ('0x' || substr(md5('3|' || rep || '|' || pos), 1, 8))::BIGINT % n AS hit FROM e, range(0, 50) t(rep)) d JOIN e e2 ON e2.pos = d.hit GROUP BY 1, 2),
+w AS (SELECT rep, e2.point, count(*) AS wt FROM (SELECT rep, ('0x' || substr(md5('3|' || rep || '|' || pos), 1, 15))::BIGINT % n AS hit FROM e, range(0, 50) t(rep)) d JOIN e e2 ON e2.pos = d.hit GROUP BY 1, 2),
 bw AS (SELECT rep, bo.point, bo.step, wt FROM bo JOIN w ON w.point = bo.point),
 np2 AS (SELECT rep, step, count(*) AS points FROM bw GROUP BY 1, 2),
 ab2 AS (SELECT rep, species, bw.step, sum(CASE WHEN c.step = bw.step - 1 THEN v * wt ELSE 0 END) AS a, sum(CASE WHEN c.step = bw.step THEN v * wt ELSE 0 END) AS b

@@ -54,11 +54,14 @@ def workbook_view(spark, sf):
 @query(
     "page_links",
     "I09 I23",
-    r"""WITH l AS (SELECT page_id, 'link' AS kind, unnest(regexp_extract_all(html, '<a\b[^>]*?\bhref="([^"]*)"', 1)) AS src FROM pages
-UNION ALL SELECT page_id, 'img', unnest(regexp_extract_all(html, '<img\b[^>]*?\bsrc="([^"]*)"', 1)) FROM pages
-UNION ALL SELECT page_id, 'iframe', unnest(regexp_extract_all(html, '<iframe\b[^>]*?\bsrc="([^"]*)"', 1)) FROM pages
-UNION ALL SELECT page_id, 'script', unnest(regexp_extract_all(html, '<script\b[^>]*?\bsrc="([^"]*)"', 1)) FROM pages)
-SELECT page_id, kind, src, count(*) AS n FROM l GROUP BY 1, 2, 3""",
+    # whole tags first, then their attributes one by one
+    r"""WITH t AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<(?:a|img|iframe|script|tableau-viz)\s[^>]*>')) AS tag FROM pages),
+a AS (SELECT page_id, lower(regexp_extract(tag, '^<([A-Za-z-]+)', 1)) AS element, unnest(regexp_extract_all(tag, '(?is)\s(?:href|src|data-src)\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s"''>]+)')) AS pair FROM t),
+v AS (SELECT page_id, element, lower(regexp_extract(pair, '(?is)^\s([a-z-]+)', 1)) AS name, regexp_replace(regexp_replace(pair, '(?is)^\s[a-z-]+\s*=\s*', ''), '^["'']|["'']$', '', 'g') AS raw FROM a),
+l AS (SELECT page_id, CASE element WHEN 'a' THEN 'link' ELSE element END AS kind,
+      trim(replace(replace(replace(replace(replace(raw, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&')) AS src
+      FROM v WHERE (element = 'a') = (name = 'href') AND (name <> 'data-src' OR element = 'iframe'))
+SELECT page_id, kind, src, count(*) AS n FROM l WHERE src <> '' GROUP BY 1, 2, 3""",
 )
 def page_links(spark, sf):
     links = inv.page_links(table(spark, sf, "pages"), "page_id", "html")
@@ -68,13 +71,15 @@ def page_links(spark, sf):
 @query(
     "platform_links",
     "I08 I09",
-    r"""WITH l AS (SELECT page_id, 'https://viz.tableau.example' || unnest(regexp_extract_all(html, '<a\b[^>]*?\bhref="(/[^"]*)"', 1)) AS src FROM pages)
-SELECT DISTINCT page_id, 'link' AS kind, src, 'viz.tableau.example' AS host, '' AS workbook, '' AS view FROM l""",
+    # targets without a host belong to the page's, which is put on a platform
+    r"""WITH l AS (SELECT page_id, replace(unnest(regexp_extract_all(html, '(?i)<a\s(?:[^>]*?\s)?href\s*=\s*"([^"]*)"', 1)), '&amp;', '&') AS src FROM pages),
+f AS (SELECT page_id, CASE WHEN regexp_matches(src, '^[A-Za-z][A-Za-z0-9+.\-]*:') THEN src WHEN src LIKE '/%' THEN 'https://viz.tableau.example' || src WHEN src LIKE '#%' OR src LIKE '?%' THEN 'https://viz.tableau.example/p/' || page_id || src
+      ELSE 'https://viz.tableau.example/p/' || src END AS src FROM l WHERE src <> '')
+SELECT DISTINCT page_id, 'link' AS kind, src, 'viz.tableau.example' AS host, '' AS workbook, '' AS view FROM f WHERE src LIKE 'https://viz.tableau.example/%'""",
 )
 def platform_links(spark, sf):
-    links = inv.page_links(table(spark, sf, "pages"), "page_id", "html").where((F.col("kind") == "link") & F.col("src").startswith("/"))
-    absolute = links.withColumn("src", F.concat(F.lit("https://viz.tableau.example"), "src"))
-    return inv.link_rows(absolute, "page_id")
+    pages = table(spark, sf, "pages").withColumn("base", F.concat(F.lit("https://viz.tableau.example/p/"), F.col("page_id").cast("string")))
+    return inv.link_rows(inv.page_links(pages, "page_id", "html", "base").where("kind = 'link'"), "page_id")
 
 
 @query(
@@ -84,8 +89,10 @@ def platform_links(spark, sf):
 UNION ALL SELECT page_id, 'h1', regexp_extract_all(html, '(?is)<h1\b[^>]*>(.*?)</h1>', 1) FROM pages
 UNION ALL SELECT page_id, 'h2', regexp_extract_all(html, '(?is)<h2\b[^>]*>(.*?)</h2>', 1) FROM pages
 UNION ALL SELECT page_id, 'h3', regexp_extract_all(html, '(?is)<h3\b[^>]*>(.*?)</h3>', 1) FROM pages),
-e AS (SELECT page_id, tag, unnest(x) AS raw, unnest(range(0, len(x))) AS pos FROM t)
-SELECT page_id, tag, CAST(pos AS INTEGER) AS pos, trim(regexp_replace(regexp_replace(raw, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM e""",
+e AS (SELECT page_id, tag, unnest(x) AS raw, unnest(range(0, len(x))) AS pos FROM t),
+p AS (SELECT page_id, tag, CAST(pos AS INTEGER) AS pos, replace(replace(replace(replace(replace(replace(regexp_replace(raw, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&') AS raw FROM e),
+o AS (SELECT page_id, tag, pos, trim(regexp_replace(raw, '\s+', ' ', 'g')) AS text FROM p)
+SELECT * FROM o WHERE tag = 'title' OR text <> ''""",
 )
 def page_outline(spark, sf):
     return doc.page_outline(table(spark, sf, "pages"), "page_id", "html")
@@ -138,7 +145,7 @@ def caption_tags(spark, sf):
     "I22",
     r"""WITH l AS (SELECT doc_id, unnest(string_split_regex(text, '\r?\n')) AS line FROM documents)
 SELECT doc_id, count(*) AS lines, count(*) FILTER (regexp_matches(line, '^\s*(Der|The|Les|Los)\s+(.*)$')) AS captions,
-coalesce(max(CASE WHEN regexp_matches(line, '^\s*(Der|The|Les|Los)\s+(.*)$') THEN substr(regexp_extract(line, '^\s*(Der|The|Les|Los)\s+(.*)$', 2), 1, 160) END), '') AS last_text FROM l GROUP BY 1""",
+coalesce(max(CASE WHEN regexp_matches(line, '^\s*(Der|The|Les|Los)\s+(.*)$') THEN regexp_extract(line, '^\s*(Der|The|Les|Los)\s+(.*)$', 2) END), '') AS last_text FROM l GROUP BY 1""",
 )
 def caption_lines(spark, sf):
     d = table(spark, sf, "documents")

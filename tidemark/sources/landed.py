@@ -132,24 +132,35 @@ def year_counts(df: DataFrame, year: str | Column = "year") -> DataFrame:
     return df.groupBy(y.alias("year")).agg(F.count(F.lit(1)).alias("rows_read"))
 
 
-def read_parts(spark: SparkSession, root: str, schema: str, fmt: str = "parquet") -> DataFrame:
-    """All stored parts below a folder with their file name; unreadable files are skipped and show up as
-    missing in the reconciliation."""
-    reader = spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true")
+def read_parts(spark: SparkSession, root: str, schema: str, fmt: str = "parquet", leave_damaged: bool = False) -> DataFrame:
+    """All stored parts below a folder with their file name.
+
+    A damaged file fails the job.  With ``leave_damaged`` what can't be read of it is left out; then
+    :func:`broken_parts` has to name such files for the report.
+    """
+    reader = spark.read.schema(schema).option("ignoreCorruptFiles", str(leave_damaged).lower()).option("recursiveFileLookup", "true")
     return reader.format(fmt).load(root).withColumn("part_file", F.input_file_name())
 
 
 def broken_parts(parts: DataFrame, expected_files: DataFrame) -> DataFrame:
-    """Expected files from which nothing was read."""
-    seen = parts.select(F.substring_index("part_file", "/", -1).alias("file")).distinct()
-    return expected_files.join(seen, "file", "left_anti")
+    """Expected files ``(file, rows_expected)`` from which other rows than those were read, with ``rows_read``.
+
+    Without known row counts (null) a file is broken if nothing was read from it.
+    """
+    seen = parts.groupBy(F.substring_index("part_file", "/", -1).alias("file")).agg(F.count(F.lit(1)).alias("rows_read"))
+    both = expected_files.join(seen, "file", "left").withColumn("rows_read", F.coalesce("rows_read", F.lit(0)))
+    return both.where(F.coalesce(F.col("rows_read") != F.col("rows_expected"), F.col("rows_read") == 0))
 
 
 def profile_tables(
     spark: SparkSession, tables: Mapping[str, str], skip_suffixes: Sequence[str] = ("_isik",), fmt: str = "parquet"
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Profile per table and an index; tables with a person-data suffix are skipped, failures are listed."""
+    """Profile per table and an index; tables with a person-data suffix are skipped, failures are listed.
+
+    Each profile is written at once, so that a table that can't be read fails here and not in a later job.
+    """
     from tidemark.operators.profile import describe
+    from tidemark.sources.staging import staged
 
     found: dict[str, DataFrame] = {}
     index: list[tuple[str, int | None, str]] = []
@@ -159,7 +170,7 @@ def profile_tables(
             continue
         try:
             df = read_table(spark, path, fmt)
-            found[name] = describe(df, empty_is_null=True)
+            found[name] = staged(describe(df, empty_is_null=True))
             index.append((name, len(df.columns), "ok"))
         except Exception as exc:  # noqa: BLE001 - one unreadable table must not stop the others
             index.append((name, None, f"failed: {type(exc).__name__}"))
