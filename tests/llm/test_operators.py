@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import random
 import re
 import zipfile
 import zlib
@@ -235,3 +236,28 @@ def test_url_rules(spark):
     want = [None, None, "example.com/en/", "www.example.com/en/", "com/", None, "net/es/", "com/", "x.org/ads/banner.gi"]
     for block in (100, 2):
         assert [r.rule for r in url_rules.judge(frame, rules, block_rules=block).orderBy("page_id").collect()] == want
+
+
+def test_chat_history_of_long_and_uneven_turns(spark):
+    rng = random.Random(5)
+    sizes = (1, 3, 20, 90, 100, 200, 500, 800, 3000)
+    talk = [(1, 0, "system", "s" * 80), (1, 1, "user", "q" * 400), (1, 2, "assistant", "a" * 3200)]
+    for conv, step in ((2, 1), (3, 1), (4, 100), (5, 300), (None, 300)):
+        talk += [(conv, k * step, "system" if k == 0 and conv != 3 else ("user", "assistant")[k % 2], f"{conv} {k} " + "x" * 4 * rng.choice(sizes)) for k in range(60)]
+    frame = spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")
+    want = {}
+    for conv in {t[0] for t in talk}:
+        at, turns = 0, []
+        for _, _, role, text in sorted(t for t in talk if t[0] == conv):
+            turns.append((at, at + (len(text) + 3) // 4 + 4, f"<|im_start|>{role}\n{text}<|im_end|>\n", role))
+            at = turns[-1][1]
+        lead = turns[0][3] == "system"
+        for window in {(t[1] - 1) // 768 for t in turns}:
+            own = [k for k, t in enumerate(turns) if (t[1] - 1) // 768 == window]
+            back = own[0]
+            while back > lead and turns[own[0]][0] - turns[back - 1][0] <= 256:
+                back -= 1
+            head = [turns[0][2]] if lead and own[0] > 0 else []
+            want[conv, window] = ("".join(head + [t[2] for t in turns[back : own[-1] + 1]]), len(head) + own[0] - back)
+    got = {(r.conv_id, r.window): (r.text, r.n_repeated) for r in chat_format.format_windows(frame, budget=2048).collect()}
+    assert got == want and got[1, 1][1] == 2

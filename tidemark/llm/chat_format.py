@@ -47,8 +47,9 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, tokens: Column | None
     its marks.  Prefix sums over a conversation put every turn in the window that its end falls in, three eighths of
     the budget wide, so windows hold whole turns, each turn in one window, and no turn is cut: one longer than that
     makes its window longer.  A later window begins with the system turn, if the conversation has one in front, and
-    with the last turns before it, an eighth of the budget at most; ``n_repeated`` counts those.  ``loss`` has the
-    character ranges (first, end) of the assistant texts that are not repeats, so each is learned once.
+    with the longest run of whole turns that ends where its first own turn begins and costs an eighth of the budget at
+    most; ``n_repeated`` counts those.  ``loss`` has the character ranges (first, end) of the assistant texts that are
+    not repeats, so each is learned once.
 
     Conversations of any length are summed in chunks of turns.  Rows are ordered by turn, then role and text; a null
     turn comes first, a null role or text is empty; rows with a null conversation are one conversation; repeated rows
@@ -56,26 +57,37 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, tokens: Column | None
     """
     width, history = max(1, 3 * budget // 8), budget // 8
     rows = pick(turns, conv_id=conv_id, turn=turn, role=role, text=text).withColumns({"role": F.coalesce("role", F.lit("")), "text": F.coalesce("text", F.lit(""))})
-    rows = rows.withColumns({"cost": ((rough_tokens(F.col("text")) if tokens is None else tokens) + 4).cast("long"), "chunk": F.expr(f"floor(coalesce(turn, 0) / {CHUNK})")})
+    # inside a struct nulls are equal, so that joins use the exchange of the windows
+    rows = rows.withColumns({"conv": F.struct("conv_id"), "cost": ((rough_tokens(F.col("text")) if tokens is None else tokens) + 4).cast("long"), "chunk": F.expr(f"floor(coalesce(turn, 0) / {CHUNK})")})
     order = ["turn", "role", "text"]
-    inside = Window.partitionBy("conv_id", "chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    sums = rows.groupBy("conv_id", "chunk").agg(F.sum("cost").alias("total"), F.min(F.struct(*order)).alias("head"))
-    along = Window.partitionBy("conv_id").orderBy("chunk")
+    inside = Window.partitionBy("conv", "chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    sums = rows.groupBy("conv", "chunk").agg(F.sum("cost").alias("total"), F.min(F.struct(*order)).alias("head"))
+    along = Window.partitionBy("conv").orderBy("chunk")
     # a row per chunk of turns
-    starts = sums.select("conv_id", "chunk", F.coalesce(F.sum("total").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"), F.first("head").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("head"))
-    ends = rows.withColumn("own", F.sum("cost").over(inside)).alias("r").join(starts.alias("s"), F.expr("r.conv_id <=> s.conv_id and r.chunk = s.chunk"))
-    placed = ends.select("r.conv_id", "turn", "role", "text", "head", "cost", (F.col("before") + F.col("own")).alias("end"), F.expr("before + own = cost and head.role = 'system'").alias("leads"))
-    placed = placed.withColumn("window", F.expr(f"(end - 1) div {width}"))
-    # a turn that begins and ends in the last stretch of its window is history of the next one
-    again = placed.where(F.expr(f"not leads and end - cost >= (window + 1) * {width} - {history}")).withColumns({"window": F.col("window") + 1, "repeat": F.lit(True)})
-    members = placed.withColumn("repeat", F.lit(False)).unionByName(again)
+    starts = sums.select("conv", "chunk", "total", F.coalesce(F.sum("total").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"), F.first("head").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("head"))
+    ends = rows.withColumn("own", F.sum("cost").over(inside)).join(starts, ["conv", "chunk"])
+    placed = ends.select("conv", "conv_id", "chunk", "turn", "role", "text", "head", "cost", "before", "total", (F.col("before") + F.col("own")).alias("end"), F.expr("before + own = cost and head.role = 'system'").alias("leads"))
+    placed = placed.withColumns({"begin": F.col("end") - F.col("cost"), "window": F.expr(f"(end - 1) div {width}")})
+    # the first turn of a window begins where the turn before it ends: in an earlier window
+    placed = placed.withColumn("first", F.expr(f"begin > 0 and (begin - 1) div {width} < window"))
+    # a turn is history of the windows whose first turn begins after it, within the history's width of its own beginning
+    near = Window.partitionBy("conv", "chunk").orderBy("begin").rangeBetween(1, max(1, history))
+    placed = placed.withColumn("later", F.collect_list(F.when(F.col("first"), F.col("window"))).over(near))
+    kept = ["conv_id", "role", "text", "head", "cost", "end", "leads"]
+    to = F.expr("concat(array(struct(window, false as repeat)), transform(filter(later, w -> not leads), w -> struct(w as window, true as repeat)))")
+    members = placed.withColumn("to", F.explode(to)).select(*kept, "to.*")
+    # the same for windows that begin in a later chunk
+    cell = max(1, history)
+    tails = placed.where(f"not leads and begin + {history} >= before + total").select(*kept, "conv", "chunk", "begin", F.explode(F.expr(f"array(begin div {cell}, begin div {cell} + 1)")).alias("cell"))
+    marks = placed.where(f"first and before > 0 and begin - before <= {history}").select("conv", F.col("chunk").alias("home"), F.col("begin").alias("at"), "window", F.expr(f"begin div {cell}").alias("cell"))
+    across = tails.join(marks, ["conv", "cell"]).where(f"home > chunk and at <= begin + {history}")
+    members = members.unionByName(across.select(*kept, "window", F.lit(True).alias("repeat")))
     piece = F.concat(F.lit(BEGIN), F.url_encode("role"), F.lit("\n"), escaped(F.col("text")), F.lit(END))
     bounded = members.groupBy("conv_id", "window").agg(
         F.sort_array(F.collect_list(F.struct("end", "repeat", "role", piece.alias("piece"), F.length(F.url_encode("role")).alias("skip")))).alias("turns"),
-        F.bool_or(~F.col("repeat")).alias("filled"),
         F.bool_or("leads").alias("leads"),
         F.first("head").alias("head"),
-    ).where("filled")
+    )
     lead = F.when(~F.col("leads") & (F.col("head.role") == "system"), F.concat(F.lit(f"{BEGIN}system\n"), escaped(F.col("head.text")), F.lit(END))).otherwise("")
     built = bounded.withColumn("lead", lead).withColumn(
         "parts",
