@@ -6,6 +6,7 @@ import random
 import re
 import zipfile
 import zlib
+from fractions import Fraction
 from pathlib import Path
 
 import duckdb
@@ -149,6 +150,14 @@ def test_jaccard_odd_rows(spark, odd):
     assert jaccard_join.link_groups(odd.where("doc_id = -1")).count() == 0
 
 
+def test_jaccard_last_round_counts_shared_elements_of_equal_halves(spark):
+    # nine elements each, eight shared, two of them with the same upper half: exactly 0.8
+    near = [5 << 32 | 1, 5 << 32 | 2, 6 << 32 | 1]
+    sets = spark.createDataFrame([(1, [1 << 32, *near]), (2, [2 << 32, *near]), (3, [3 << 32, near[0], 7 << 32, 8 << 32])], "doc_id long, prefix array<long>")
+    here = spark.createDataFrame([(near[0], d, 9, 1, d) for d in (1, 2, 3)], "token long, d long, n int, p int, component long")
+    assert [(r.a, r.b) for r in jaccard_join._all_pairs(here, sets, Fraction("0.8")).collect()] == [(1, 2)]
+
+
 def test_decontamination(spark, odd):
     bench = spark.createDataFrame([(1, "One two THREE four five six seven eight nine ten eleven"), (2, "short item"), (3, None), (4, "...")], "item_id long, text string")
     texts = ["x. One, two three-four five six seven eight nine ten! y", "a Short ITEM b short item", "one two three", None]

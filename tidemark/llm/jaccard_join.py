@@ -301,15 +301,18 @@ def _all_pairs(here: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
     # a little wider than the sizes allow: rounding of logarithms can't part a pair
     wide = F.floor(F.log(F.col("n")) / F.log(F.lit(q / p if q > p else 2.0)) * 0.999)
     short = F.transform("prefix", lambda x: F.shiftright(x, 32).cast("int"))
-    rows = here.join(sets.select(F.col("doc_id").alias("d"), short.alias("prefix")), "d").withColumn("size", wide)
-    left = rows.select("token", "size", F.col("component").alias("ca"), F.col("d").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"), F.col("prefix").alias("prefix_a"))
+    # an intersection of halves counts equal halves once: so many elements of a set can be missing from it
+    alike = F.size("prefix") - F.size(F.array_distinct(short))
+    rows = here.join(sets.select(F.col("doc_id").alias("d"), short.alias("prefix"), alike.alias("alike")), "d").withColumn("size", wide)
+    left = rows.select("token", "size", F.col("component").alias("ca"), F.col("d").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"), F.col("prefix").alias("prefix_a"), F.col("alike").alias("alike_a"))
     near = F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1))
-    right = rows.select("token", near.alias("size"), F.col("component").alias("cb"), F.col("d").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"), F.col("prefix").alias("prefix_b"))
+    right = rows.select("token", near.alias("size"), F.col("component").alias("cb"), F.col("d").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"), F.col("prefix").alias("prefix_b"), F.col("alike").alias("alike_b"))
     early = F.expr(f"case when na <= nb then pa <= na - ({2 * p} * na + {p + q - 1}) div {p + q} else pb <= nb - ({2 * p} * nb + {p + q - 1}) div {p + q} end")
     met = _possible(left.join(right, ["token", "size"]).where("a < b and ca <> cb"), share).where(early)
-    # what is shared beyond the prefixes lies in the rest of one of them; halves of hashes can only count too much
+    # what is shared beyond the prefixes lies in the rest of one of them; with what equal halves hide, either set's
+    # bound, halves of hashes can only count too much
     rest = F.greatest(F.col("na") - F.size("prefix_a"), F.col("nb") - F.size("prefix_b"))
-    return met.where(F.size(F.array_intersect("prefix_a", "prefix_b")) + rest >= _needed(share)).select("a", "b", "na", "nb", "pa", "pb")
+    return met.where(F.size(F.array_intersect("prefix_a", "prefix_b")) + F.least("alike_a", "alike_b") + rest >= _needed(share)).select("a", "b", "na", "nb", "pa", "pb")
 
 
 def _apart() -> Column:
