@@ -1,7 +1,9 @@
 """Training-data operators against brute force, the tokenizers library, round trips and SQL, with the odd rows."""
 
+import gzip
 import hashlib
 import io
+import json
 import random
 import re
 import zipfile
@@ -217,6 +219,34 @@ def test_packages_of_pages(spark, tmp_path):
     assert sorted(read, key=str) == sorted([("1", "revisit", 1200, "2"), ("2", "response", 1200, None), ("2", "response", 1200, None), ("3", "response", 5, None), ("4", "response", 5, None), ("5", "response", 0, None), (None, "response", 1200, None)], key=str)
 
 
+def test_packages_of_other_writers(spark, tmp_path):
+    def put(file, members, packed=()):
+        with zipfile.ZipFile(tmp_path / file, "w") as z:
+            for name, data in members:
+                z.writestr(name, data, zipfile.ZIP_DEFLATED if name in packed else zipfile.ZIP_STORED)
+
+    def archive(names):
+        records = [gzip.compress(warc_zip.record("response", n, n.encode(), {"X-Payload-Length": str(len(n)), "WARC-Payload-Digest": "sha1:x"})) for n in names]
+        lines = [json.dumps({"offset": sum(map(len, records[:k])), "length": len(r)}) for k, r in enumerate(records)]
+        return b"".join(records), "\n".join(lines)
+
+    (a, at), (b, bt) = archive(["1", "22"]), archive(["333"])
+    both = [("archive/crawl-a.warc.gz", a), ("indexes/crawl-a.jsonl", at), ("archive/b.warc.gz", b), ("indexes/b.idx", bt), ("datapackage.json", "{}")]
+    put("two.zip", both)
+    files = lambda *names: spark.createDataFrame([(n,) for n in names], "file string")
+    places = warc_zip.locate(str(tmp_path), files("two.zip"))
+    assert {r.member for r in places.collect()} == {"archive/crawl-a.warc.gz", "archive/b.warc.gz"}
+    assert sorted((r.record_id, bytes(r.payload)) for r in warc_zip.read_records(str(tmp_path), places).collect()) == [("1", b"1"), ("22", b"22"), ("333", b"333")]
+    put("one.zip", [("archive/data.warc.gz", b), ("indexes/index.jsonl", bt)])
+    assert [r.member for r in warc_zip.locate(str(tmp_path), files("one.zip")).collect()] == ["archive/data.warc.gz"]
+    put("packed.zip", both, packed={"archive/b.warc.gz"})
+    put("bare.zip", both[:3])
+    put("none.zip", both[4:])
+    for name, why in (("packed.zip", "archive/b.warc.gz is compressed"), ("bare.zip", "archive/b.warc.gz has no index"), ("none.zip", "no archive members")):
+        with pytest.raises(Exception, match=f"{name}: {why}"):
+            warc_zip.locate(str(tmp_path), files(name)).collect()
+
+
 def test_toxicity_learns_marker_words(spark):
     rng = np.random.default_rng(1)
     docs = []

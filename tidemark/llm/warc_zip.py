@@ -4,12 +4,16 @@ A package is a ZIP file with stored members only: ``archive/records.warc.gz``, a
 record with its offset and length in the archive member.  The reader looks at the end of the file, follows the ZIP64
 locator where there is one, reads the central directory and the local header of a member, and then asks for single
 ranges: nothing is extracted.
+
+Packages of other writers may hold any archive members below ``archive/`` and indexes below ``indexes/``, paired by
+the name without folder and suffixes (a single one of each is a pair under any names); what can't be read by ranges is named in an error, not passed over.
 """
 
 from __future__ import annotations
 
 import gzip
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -67,8 +71,16 @@ class PackageWriter:
         self._put(END + struct.pack("<HHHHIIH", FULL16, FULL16, FULL16, FULL16, FULL32, FULL32, 0))
 
 
+def stem(member: str) -> str:
+    """What an index and its archive member have in common: the path below the first folder, without suffixes."""
+    return re.sub(r"(\.(warc|gz|jsonl|json|cdxj|cdx|idx))+$", "", member.partition("/")[2])
+
+
 class Package:
-    """A ZIP file read by ranges: ``members`` maps names to (offset of the data, size)."""
+    """A ZIP file read by ranges: ``members`` maps names to (offset of the data, size).
+
+    ``unread`` names members that are compressed or encrypted and so have no ranges; ``twice`` names that occur again.
+    """
 
     def __init__(self, source):
         self.source = source
@@ -88,7 +100,39 @@ class Package:
                 if record[:4] != END64:
                     raise ValueError("no ZIP64 end record")
                 count, length, begin = struct.unpack_from("<QQQ", record, 32)
-        self.members = dict(self._directory(self.read(begin, length), count))
+        self.members, self.unread, self.twice = {}, [], []
+        for name, place in self._directory(self.read(begin, length), count):
+            if name in self.members or name in self.unread:
+                self.twice.append(name)
+            if place is None:
+                self.unread.append(name)
+            else:
+                self.members[name] = place
+
+    def pairs(self) -> list[tuple[str, str]]:
+        """Indexes with their archive members; an error names all that is missing, compressed, double or without its other half."""
+        inside = lambda names, folder: sorted(n for n in names if n.startswith(folder) and not n.endswith("/"))
+        archives, indexes = inside(self.members, "archive/"), inside(self.members, "indexes/")
+        wrong = [f"{n} is compressed or encrypted" for f in ("archive/", "indexes/") for n in inside(self.unread, f)]
+        wrong += [f"{n} occurs again" for f in ("archive/", "indexes/") for n in inside(self.twice, f)]
+        if not wrong and len(archives) == len(indexes) == 1:
+            return [(indexes[0], archives[0])]
+        unread = {f: {stem(n) for n in inside(self.unread, f)} for f in ("archive/", "indexes/")}
+        by_stem: dict[str, list[str]] = {}
+        for n in archives:
+            by_stem.setdefault(stem(n), []).append(n)
+        found, used = [], set()
+        for n in indexes:
+            mine = by_stem.get(stem(n), [])
+            if len(mine) == 1 and mine[0] not in used:
+                found.append((n, mine[0]))
+                used.add(mine[0])
+            elif stem(n) not in unread["archive/"]:
+                wrong.append(f"{n} has no archive member of its own")
+        wrong += [f"{n} has no index" for n in archives if n not in used and stem(n) not in unread["indexes/"]]
+        if wrong or not found:
+            raise ValueError("; ".join(wrong) or "no archive members and indexes")
+        return found
 
     def read(self, at: int, size: int) -> bytes:
         self.source.seek(at)
@@ -97,7 +141,7 @@ class Package:
             raise ValueError("file is cut short")
         return data
 
-    def _directory(self, raw: bytes, count: int) -> Iterator[tuple[str, tuple[int, int]]]:
+    def _directory(self, raw: bytes, count: int) -> Iterator[tuple[str, tuple[int, int] | None]]:
         at = 0
         for _ in range(count):
             if raw[at : at + 4] != CENTRAL:
@@ -107,9 +151,11 @@ class Package:
             name, at = raw[at + 46 : at + 46 + n_name], at + 46 + n_name
             packed, size, offset = self._wide(raw[at : at + n_extra], packed, size, offset)
             at += n_extra + n_note
+            place = None
             if method == 0 and not flags & 1:  # stored and plain: only such members have ranges to read
                 n_name, n_extra = struct.unpack_from("<HH", self.read(offset, 30), 26)
-                yield name.decode("utf-8" if flags & 0x800 else "cp437"), (offset + 30 + n_name + n_extra, size)
+                place = offset + 30 + n_name + n_extra, size
+            yield name.decode("utf-8" if flags & 0x800 else "cp437"), place
 
     @staticmethod
     def _wide(extra: bytes, packed: int, size: int, offset: int) -> tuple[int, int, int]:
@@ -218,27 +264,36 @@ def write_packages(pages: DataFrame, folder: str | None = None, package_bytes: i
 
 
 def locate(folder: str, files: DataFrame) -> DataFrame:
-    """Records of packages from their directories and indexes: ``(file, offset, length)``."""
+    """Records of packages from their directories and all their indexes: ``(file, member, offset, length)``.
+
+    A package whose members can't all be read stops the job; the error names the file and the members.
+    """
 
     def make():
         source = open_folder(folder)
 
         def work(batch: pa.RecordBatch) -> dict:
-            out: dict[str, list] = {"file": [], "offset": [], "length": []}
+            out: dict[str, list] = {"file": [], "member": [], "offset": [], "length": []}
             for file in batch.column("file").to_pylist():
                 with source.open(file) as raw:
                     package = Package(raw)
-                    for line in package.range(INDEX, 0, package.members[INDEX][1]).splitlines():
-                        entry = json.loads(line)
-                        out["file"].append(file)
-                        out["offset"].append(entry["offset"])
-                        out["length"].append(entry["length"])
+                    try:
+                        pairs = package.pairs()
+                    except ValueError as why:
+                        raise ValueError(f"{file}: {why}") from None
+                    for index, member in pairs:
+                        for line in package.range(index, 0, package.members[index][1]).splitlines():
+                            entry = json.loads(line)
+                            out["file"].append(file)
+                            out["member"].append(member)
+                            out["offset"].append(entry["offset"])
+                            out["length"].append(entry["length"])
             return out
 
         return work
 
     # a task per package: the list's own size says nothing of the work
-    return map_arrow(files.select("file").repartition(max(1, files.count()), "file"), make, "file string, offset long, length long")
+    return map_arrow(files.select("file").repartition(max(1, files.count()), "file"), make, "file string, member string, offset long, length long")
 
 
 def read_records(folder: str, places: DataFrame) -> DataFrame:
@@ -248,18 +303,18 @@ def read_records(folder: str, places: DataFrame) -> DataFrame:
     def make():
         source, held = open_folder(folder), [None, None, None]
 
-        def one(file: str, offset: int, length: int) -> tuple:
+        def one(file: str, member: str, offset: int, length: int) -> tuple:
             if held[0] != file:
                 if held[1] is not None:
                     held[1].close()
                 held[1] = source.open(file)
                 held[0], held[2] = file, Package(held[1])
-            fields, payload = parse_record(gzip.decompress(held[2].range(ARCHIVE, offset, length)))
+            fields, payload = parse_record(gzip.decompress(held[2].range(member, offset, length)))
             name = lambda key: fields[key].removeprefix("<urn:x-page:").removesuffix(">") or None if key in fields else None
             return name("warc-record-id"), fields["warc-type"], payload, int(fields["x-payload-length"]), fields["warc-payload-digest"].removeprefix("sha1:"), name("warc-refers-to"), fields.get("warc-target-uri")
 
         def work(batch: pa.RecordBatch) -> dict:
-            rows = [one(*r) for r in zip(*(batch.column(c).to_pylist() for c in ("file", "offset", "length")))]
+            rows = [one(*r) for r in zip(*(batch.column(c).to_pylist() for c in ("file", "member", "offset", "length")))]
             return dict(zip(columns, zip(*rows)))
 
         return work
