@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat_format, decontaminate, jaccard_join, order_minhash, token_counts, token_files, toxicity, url_rules, warc_zip
+from tidemark.llm import bpe, chat_format, decontaminate, jaccard_join, order_minhash, periodic_runs, token_counts, token_files, toxicity, url_rules, warc_zip
 from tidemark.llm._common import staged
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -174,8 +174,9 @@ p AS (SELECT *, sum(cost) OVER (PARTITION BY conv_id ORDER BY turn, role, text R
              row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS place FROM c),
 w AS (SELECT *, (until - 1) // 768 AS win FROM p),
 h AS (SELECT conv_id, size FROM w WHERE place = 1 AND role = 'system'),
-own AS (SELECT conv_id, win, sum(size) AS size, min(place) AS place FROM w GROUP BY 1, 2),
-old AS (SELECT conv_id, win + 1 AS win, sum(size) AS size FROM w WHERE until - cost >= (win + 1) * 768 - 256 AND NOT (place = 1 AND role = 'system') GROUP BY 1, 2),
+own AS (SELECT conv_id, win, sum(size) AS size, min(place) AS place, min(until - cost) AS at FROM w GROUP BY 1, 2),
+old AS (SELECT own.conv_id, own.win, sum(w.size) AS size FROM own JOIN w ON w.conv_id = own.conv_id AND w.place < own.place AND w.until - w.cost >= own.at - 256
+        WHERE NOT (w.place = 1 AND w.role = 'system') GROUP BY 1, 2),
 f AS (SELECT own.conv_id, CAST(sum(own.size + coalesce(old.size, 0) + CASE WHEN own.place > 1 THEN coalesce(h.size, 0) ELSE 0 END) AS BIGINT) AS formatted_chars
       FROM own LEFT JOIN old USING (conv_id, win) LEFT JOIN h USING (conv_id) GROUP BY 1)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
@@ -211,3 +212,38 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("kind").alias("record_type"),
         F.col("refers_to").cast("long").alias("refers_to"),
     )
+
+
+def crc32_sql(text: str) -> str:
+    """The checksum of an ASCII text in DuckDB: a byte goes in, eight steps of the shift register follow."""
+    steps = f"list_concat([4294967295], flatten(list_transform(range(1, length({text}) + 1), lambda i: [unicode(substr({text}, i, 1)), -1, -1, -1, -1, -1, -1, -1, -1])))"
+    return f"xor(list_reduce({steps}, lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) END), 4294967295)"
+
+
+OP13_SQL = rf"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws, {crc32_sql("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+c AS (SELECT doc_id, ws, h % 10 = 0 AND len(ws) > 0 AS hit, (h // 10) % greatest(len(ws), 1) AS a, (h // 10) % 8 AS g FROM d),
+e AS (SELECT doc_id, CASE WHEN hit THEN list_transform(range(0, len(ws)), lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(ws) - a) // (3 + g)) END]) ELSE ws END AS ws FROM c),
+w AS (SELECT doc_id, len(ws) AS n, unnest(range(0, len(ws))) AS i, unnest(ws) AS word FROM e),
+m AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM w x JOIN w y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+k AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM m),
+s AS (SELECT doc_id, min(i) AS start, count(*) + q AS length, q AS period FROM k GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+r AS (SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM s t WHERE t.doc_id = s.doc_id AND t.period < s.period AND t.start <= s.start AND s.start + s.length <= t.start + t.length)),
+o AS (SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS listed, min({{'l': -length, 's': start, 'p': period}}) AS best FROM r GROUP BY 1),
+x AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+l AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS collapsed FROM w ANTI JOIN x USING (doc_id, i) GROUP BY 1)
+SELECT e.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(-best.l AS BIGINT) AS length, CAST(best.p AS BIGINT) AS period,
+       CAST(1000 * -best.l // best.p AS BIGINT) AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM e LEFT JOIN o USING (doc_id) LEFT JOIN l USING (doc_id)"""
+
+
+@query("op13_periodic_runs", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated stretches of all documents, a tenth of them made to repeat."""
+    found = periodic_runs.find_runs(periodic_runs.with_cycles(table(spark, sf_dir, "documents")))
+    best = periodic_runs.longest()
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", (-F.col("best.length")).alias("length"), "best.period",
+        F.floor(-1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
