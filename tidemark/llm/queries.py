@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat_format, decontaminate, jaccard_join, order_minhash, periodic_runs, token_counts, token_files, toxicity, url_rules, warc_zip
+from tidemark.llm import bpe, chat_format, decontaminate, jaccard_join, order_minhash, periodic_runs, simhash_cover, token_counts, token_files, toxicity, turn_repair, url_rules, warc_zip
 from tidemark.llm._common import staged
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -247,3 +247,49 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", (-F.col("best.length")).alias("length"), "best.period",
         F.floor(-1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+OP12_SQL = rf"""
+WITH RECURSIVE d AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                            {crc32_sql("concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS kind FROM conversations),
+x AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy FROM d WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+             rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM x),
+f AS (SELECT *, bare = '' AS blank, bare <> '' AND seen AS duplicate, bare <> '' AND NOT seen AND right(bare, 1) NOT IN ('.', '!', '?') AS cut,
+             left(role, 1) AS r, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+-- states: 0 nothing said, 1 after system, 2 after user, 3 after assistant; an insertion may come before a turn
+st(q, pre, pq, pre_cost, pre_out) AS (VALUES (0, '', 0, 0, []), (1, '', 1, 0, []), (2, '', 2, 0, []), (3, '', 3, 0, []),
+                                             (0, 'I', 2, 2, ['user:']), (1, 'I', 2, 2, ['user:']), (3, 'I', 2, 2, ['user:']), (2, 'I', 3, 2, ['assistant:'])),
+p AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, 0 AS q, {{'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': CAST([] AS VARCHAR[])}} AS best FROM f
+      UNION ALL
+      SELECT conv_id, i, q, min(best) FROM (
+        SELECT f.conv_id, f.i, e.q, {{'cost': p.best.cost + e.cost, 'audit': p.best.audit || e.audit, 'lines': list_concat(p.best.lines, e.lines)}} AS best
+        FROM p JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1,
+        LATERAL (SELECT p.q AS q, CAST(3 AS BIGINT) AS cost, 'D' AS audit, CAST([] AS VARCHAR[]) AS lines
+                 UNION ALL SELECT CASE WHEN f.r = 's' THEN 1 WHEN f.r = 'u' THEN 2 ELSE 3 END, st.pre_cost + CASE WHEN f.cut THEN 1 ELSE 0 END, st.pre || 'K', list_append(st.pre_out, f.role || ':' || f.text)
+                           FROM st WHERE st.q = p.q AND NOT f.blank AND NOT f.duplicate AND ((f.r = 's' AND st.pq = 0) OR (f.r = 'u' AND st.pq IN (0, 1, 3)) OR (f.r = 'a' AND st.pq = 2))
+                 UNION ALL SELECT CASE WHEN st.pq = 2 THEN 3 ELSE 2 END, st.pre_cost + 2 + CASE WHEN f.cut THEN 1 ELSE 0 END, st.pre || 'R', list_append(st.pre_out, CASE WHEN st.pq = 2 THEN 'assistant:' ELSE 'user:' END || f.text)
+                           FROM st WHERE st.q = p.q AND NOT f.blank AND NOT f.duplicate AND f.r <> CASE WHEN st.pq = 2 THEN 'a' ELSE 'u' END) e) GROUP BY 1, 2, 3),
+z AS (SELECT conv_id, CASE q WHEN 1 THEN {{'cost': best.cost + 4, 'audit': best.audit || 'II', 'lines': list_concat(best.lines, ['user:', 'assistant:'])}}
+                             WHEN 2 THEN {{'cost': best.cost + 2, 'audit': best.audit || 'I', 'lines': list_append(best.lines, 'assistant:')}} ELSE best END AS best,
+             i, max(i) OVER (PARTITION BY conv_id) AS n FROM p),
+y AS (SELECT conv_id, min(best) AS best FROM z WHERE i = n GROUP BY 1),
+c AS (SELECT conv_id, CASE WHEN count(turn) = 0 THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+             count(*) FILTER (WHERE cut) AS truncated, count(*) FILTER (WHERE i > 1 AND before || r NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY 1)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(y.best.cost, 0) AS BIGINT) AS cost, coalesce(y.best.audit, '') AS audit, sha256(coalesce(array_to_string(y.best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN y ON y.conv_id IS NOT DISTINCT FROM a.conv_id"""
+
+
+@query("op12_turn_repair", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by checksum and repaired at the least cost."""
+    talk = table(spark, sf_dir, "conversations")
+    return turn_repair.of_all(talk, turn_repair.summaries(turn_repair.repair(turn_repair.damaged(talk))))
+
+
+@query("op11_simhash_cover")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near fingerprints among all documents."""
+    return simhash_cover.link_groups(table(spark, sf_dir, "documents"))
