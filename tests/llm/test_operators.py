@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import io
+import itertools
 import json
 import random
 import re
@@ -123,11 +124,10 @@ def jaccard_groups(texts, size, share):
         w = [x for x in re.split(r"[\x20\x09-\x0D]+", (t or "").translate({c: c + 32 for c in range(65, 91)})) if x]
         sets[k] = {tuple(w[i : i + size]) for i in range(max(len(w) - size + 1, 1))} if w else set()
     top = {k: k for k in texts}
+    links = [(a, b) for a, b in itertools.combinations(sorted(texts), 2) if sets[a] and sets[b] and len(sets[a] & sets[b]) >= share * len(sets[a] | sets[b]) - 1e-9]
     for _ in texts:
-        for a in texts:
-            for b in texts:
-                if a < b and sets[a] and sets[b] and len(sets[a] & sets[b]) >= share * len(sets[a] | sets[b]) - 1e-9:
-                    top[a] = top[b] = min(top[a], top[b])
+        for a, b in links:
+            top[a] = top[b] = min(top[a], top[b])
     return {k: (len(sets[k]), top[k]) for k in texts}
 
 
@@ -152,12 +152,44 @@ def test_jaccard_odd_rows(spark, odd):
     assert jaccard_join.link_groups(odd.where("doc_id = -1")).count() == 0
 
 
-def test_jaccard_last_round_counts_shared_elements_of_equal_halves(spark):
-    # nine elements each, eight shared, two of them with the same upper half: exactly 0.8
-    near = [5 << 32 | 1, 5 << 32 | 2, 6 << 32 | 1]
-    sets = spark.createDataFrame([(1, [1 << 32, *near]), (2, [2 << 32, *near]), (3, [3 << 32, near[0], 7 << 32, 8 << 32])], "doc_id long, prefix array<long>")
-    here = spark.createDataFrame([(near[0], d, 9, 1, d) for d in (1, 2, 3)], "token long, d long, n int, p int, component long")
-    assert [(r.a, r.b) for r in jaccard_join._all_pairs(here, sets, Fraction("0.8")).collect()] == [(1, 2)]
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_jaccard_near_misses_and_long_chains(spark, monkeypatch, rounds):
+    # copies of one text that miss the threshold with most others, and a chain whose ends are unlike
+    monkeypatch.setattr(jaccard_join, "ROUNDS", rounds)
+    rng = random.Random(4)
+    base, texts = [f"t{k}" for k in range(120)], {}
+    for k in range(150):
+        words = list(base)
+        for at in rng.sample(range(120), rng.randint(0, 5)):
+            words[at] = f"n{k}x{at}"
+        texts[k] = " ".join(words[: rng.randint(112, 120)])
+    chain = [f"c{k}" for k in range(100)]
+    for k in range(150, 180):
+        texts[k] = " ".join(chain)
+        chain = [*chain[2:], f"e{k}", f"f{k}"]
+    frame = spark.createDataFrame([*texts.items()], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.link_groups(frame, 3, "0.9").collect()}
+    assert got == jaccard_groups(texts, 3, 0.9)
+
+
+def test_jaccard_pairs_of_the_last_round_grow_with_the_links_only(spark):
+    def pairs(count):
+        rng = random.Random(9)
+        texts = []
+        for k in range(count):
+            words = [f"t{x}" for x in range(400)]
+            for at in rng.sample(range(400), rng.randint(4, 6)):
+                words[at] = f"n{k}x{at}"
+            texts.append((k, " ".join(words)))
+        share = Fraction("0.9")
+        rows = spark.createDataFrame(texts, "doc_id long, text string")
+        table = spark.sparkContext.broadcast(jaccard_join._count_table(rows, 3))
+        sets = jaccard_join._sets(rows, 3, share, table)
+        here = sets.select(F.col("doc_id").alias("d"), F.col("n").cast("int"), F.posexplode("prefix").alias("p", "token"), F.col("doc_id").alias("component"))
+        return jaccard_join._all_pairs(here, sets, share).count(), sum(len(a & b) >= 0.9 * len(a | b) for a, b in itertools.combinations([{*zip(w, w[1:], w[2:])} for w in (t.split() for _, t in texts)], 2))
+
+    made, linked = pairs(100)
+    assert linked <= made <= 1.05 * linked + 100
 
 
 def test_decontamination(spark, odd):

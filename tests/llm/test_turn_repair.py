@@ -42,7 +42,7 @@ def expected(rows):
         fault = "blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else None
         seen.add((role, text))
         counts |= {fault: counts[fault] + 1} if fault else {}
-        turns.append((role[:1], fault in ("blank", "duplicate"), int(fault == "truncated")))
+        turns.append((role[:1] or " ", fault in ("blank", "duplicate"), int(fault == "truncated")))
     cost, audit, out = cheapest(turns)
     names, said, at = {"u": "user", "a": "assistant"}, [], 0
     for mark in audit:

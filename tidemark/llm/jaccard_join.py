@@ -5,10 +5,13 @@ representative.  All shingles are counted into a table of fixed size, which orde
 the work, never the result).  Two sets of the wanted similarity share a shingle among the first ``n - ceil(t n) + 1``
 of each, so representatives meet on those.
 
-A class of thousands of near copies would meet in all pairs.  So the links are found in rounds: first every
-representative meets a few centres of each shared shingle, and takes the likeliest centre only; components of
-the verified links follow; then only candidate pairs between different components are left, which are verified
-one and all.  A pair is skipped only if its ends are known to be in one component already.
+A class of thousands of near copies would meet in all pairs.  So the links are found in rounds: every representative
+meets a few centres of each shared shingle, and takes the likeliest centre only; components of the verified links
+follow, and further rounds as long as links are found.  Then only candidate pairs between different components are
+left, which are verified one and all.  A pair is skipped only if its ends are known to be in one component already.
+
+Pairs that only look alike are dropped inside the join that makes them: each set comes as 1,024 parity bits of its
+elements' places, and two sets differ in as many elements as in bits, or more.
 """
 
 from __future__ import annotations
@@ -26,14 +29,16 @@ from pyspark.sql import functions as F
 from tidemark.llm._common import map_arrow, pick, sent, slices, staged, texts_of
 
 #: places of the table of shingle counts: bounded, whatever the number of shingles
-TABLE = 1 << 23
+TABLE = 1 << 22
 #: sets that are compared with one copy of a centre
 CENTRE_SHARE = 500
-PARTS = 16
+#: parity bits of a set, as longs of 64
+WORDS = 16
+BITS = [f"b{k}" for k in range(WORDS)]
 #: pairs whose ids are broadcast at most
 BROADCAST_PAIRS = 500_000
-#: rounds of centres before all remaining pairs between components are verified
-ROUNDS = 3
+#: rounds of centres at most before all remaining pairs between components are verified
+ROUNDS = 6
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -92,7 +97,7 @@ def _count_table(rows: DataFrame, size: int) -> np.ndarray:
 
 
 def _sets(rows: DataFrame, size: int, share: Fraction, table) -> DataFrame:
-    """Per document: size and digest of its set, the counts of its parts for the suffix filter, its prefix rare first."""
+    """Per document: size and digest of its set, its parity bits for the suffix filter, its prefix rare first."""
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def make():
@@ -101,19 +106,19 @@ def _sets(rows: DataFrame, size: int, share: Fraction, table) -> DataFrame:
         def one(text: str) -> tuple:
             s = shingles(text, size, hashes)
             if not len(s):
-                return 0, None, None, []
+                return 0, None, np.zeros(WORDS, np.int64), []
             ranks = order[(s % np.uint64(TABLE)).astype(np.int64)]
             first = s[np.lexsort((s * M2, ranks))[: int(prefix_length(len(s), share))]]
-            parts = np.minimum(np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=PARTS), 0xFFFF)
-            return len(s), xxhash.xxh3_128_digest(s.tobytes()), parts.astype(np.int32), first.view(np.int64)
+            odd = np.bincount((s * M3 >> np.uint64(54)).astype(np.int64), minlength=64 * WORDS) & 1
+            return len(s), xxhash.xxh3_128_digest(s.tobytes()), np.packbits(odd.astype(np.uint8)).view(np.int64), first.view(np.int64)
 
         def work(batch: pa.RecordBatch) -> dict:
-            n, digest, parts, prefix = zip(*map(one, texts_of(batch, "text")))
-            return {"doc_id": batch.column("doc_id"), "n": n, "digest": digest, "parts": parts, "prefix": prefix}
+            n, digest, bits, prefix = zip(*map(one, texts_of(batch, "text")))
+            return {"doc_id": batch.column("doc_id"), "n": n, "digest": digest, "prefix": prefix} | dict(zip(BITS, np.array(bits).T))
 
         return work
 
-    return map_arrow(rows, make, f"doc_id {kind}, n long, digest binary, parts array<int>, prefix array<long>", cut_by="text")
+    return map_arrow(rows, make, f"doc_id {kind}, n long, digest binary, prefix array<long>, " + ", ".join(f"{b} long" for b in BITS), cut_by="text")
 
 
 def _needed(share: Fraction) -> Column:
@@ -132,16 +137,22 @@ def _possible(pairs: DataFrame, share: Fraction) -> DataFrame:
     return pairs.where(F.expr(f"na * {p} <= nb * {q} and nb * {p} <= na * {q}") & (bound >= _needed(share)))
 
 
-def _once(pairs: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
-    """Each pair once, if it passes the suffix filter.
+def _apart(a: str, b: str) -> Column:
+    """Elements in which two sets differ at least: their parity bits that differ."""
+    return F.expr(" + ".join(f"bit_count({a}{k} ^ {b}{k})" for k in BITS))
 
-    The suffix filter cuts both sets into sixteen parts by hash: elements in which they differ are at least the sum of
-    the parts' differences in size.
-    """
+
+def _close(share: Fraction, a: str = "a_", b: str = "b_") -> Column:
+    """The suffix filter: sets that share what is needed differ in no more than the rest of both."""
+    return _apart(a, b) <= F.col("na") + F.col("nb") - 2 * _needed(share)
+
+
+def _once(pairs: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
+    """Each pair once, if it passes the suffix filter, with the number of prefix elements it was met on."""
     once = pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count(F.lit(1)).alias("shared"))
-    parts = sets.select("doc_id", "parts")
-    with_parts = once.join(parts.select(F.col("doc_id").alias("a"), F.col("parts").alias("parts_a")), "a").join(parts.select(F.col("doc_id").alias("b"), F.col("parts").alias("parts_b")), "b")
-    return with_parts.where(_apart() <= F.col("na") + F.col("nb") - 2 * _needed(share)).select("a", "b", "shared")
+    for side in "ab":
+        once = once.join(sets.select(F.col("doc_id").alias(side), *[F.col(k).alias(f"{side}_{k}") for k in BITS]), side)
+    return once.where(_close(share)).select("a", "b", "shared")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, size: int, share: Fraction) -> DataFrame:
@@ -243,15 +254,21 @@ def link_groups(docs: DataFrame, size: int = 5, threshold: str = "0.8", id_col:
     many = spread.groupBy("token").agg(F.count("n").alias("many"), F.max("d").alias("d"), F.max("p").alias("p")).where("many > 1").select("token")
     meeting = staged(spread.join(many, "token").select("token", "d", "n", "p"))
     links = tried = None
-    for turn in range(ROUNDS + 1):
+    turn, more = 0, True
+    while more:
+        last = turn == ROUNDS or (turn > 1 and not made)
         here = _labelled(meeting, links)
-        mixed = here.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-        here = staged(here.join(mixed, "token"))
-        pairs = _all_pairs(here, sets, share) if turn == ROUNDS else _possible(_centre_pairs(here, turn), share)
+        if last:
+            pairs = _all_pairs(here, sets, share)
+        else:
+            mixed = here.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
+            pairs = _possible(_centre_pairs(staged(here.join(mixed, "token")), turn), share)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        found = _once(pairs, sets, share)
-        if turn < ROUNDS:
+        if last:
+            found = pairs
+        else:
+            found = _once(pairs, sets, share)
             # the likeliest partner of either end
             ends = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
             found = ends.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best")).select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
@@ -259,6 +276,7 @@ def link_groups(docs: DataFrame, size: int = 5, threshold: str = "0.8", id_col:
         checked = staged(_verified(found, rows, size, share))
         tried = found if tried is None else tried.unionByName(found)
         links = checked if links is None else links.unionByName(checked)
+        made, more, turn = checked.count(), not last, turn + 1
     # every set's component, then every row's smallest id in it
     top = F.coalesce("component", "rep")
     placed = classes.join(components(links).withColumnRenamed("node", "rep"), "rep", "left").select("digest", top.alias("component_id"))
@@ -291,33 +309,27 @@ def _centre_pairs(here: DataFrame, turn: int) -> DataFrame:
 
 
 def _all_pairs(here: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
-    """Possible pairs of different components on an element, by element and class of size.
+    """Pairs ``(a, b)`` of different components that share an element and pass all filters, each once.
 
-    Sizes of a pair differ by one class at most.  The first element that a pair shares stands in the shorter set before
-    the part that alone could hold the needed overlap, so only such elements of the shorter set count.  Both prefixes
-    come along, and the join itself drops pairs that share too little of them.
+    The shorter set of a pair meets the longer one, whose class of size is the same or the next.  The first element
+    that a pair shares stands in the shorter set before the part that alone could hold the needed overlap, so only such
+    elements of the shorter set count.  Where most sets of an element are in one component already, those don't meet
+    each other: rows of that component meet the others only.  All filters are part of the join.
     """
     p, q = share.numerator, share.denominator
     # a little wider than the sizes allow: rounding of logarithms can't part a pair
     wide = F.floor(F.log(F.col("n")) / F.log(F.lit(q / p if q > p else 2.0)) * 0.999)
-    short = F.transform("prefix", lambda x: F.shiftright(x, 32).cast("int"))
-    # an intersection of halves counts equal halves once: so many elements of a set can be missing from it
-    alike = F.size("prefix") - F.size(F.array_distinct(short))
-    rows = here.join(sets.select(F.col("doc_id").alias("d"), short.alias("prefix"), alike.alias("alike")), "d").withColumn("size", wide)
-    left = rows.select("token", "size", F.col("component").alias("ca"), F.col("d").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"), F.col("prefix").alias("prefix_a"), F.col("alike").alias("alike_a"))
-    near = F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1))
-    right = rows.select("token", near.alias("size"), F.col("component").alias("cb"), F.col("d").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"), F.col("prefix").alias("prefix_b"), F.col("alike").alias("alike_b"))
-    early = F.expr(f"case when na <= nb then pa <= na - ({2 * p} * na + {p + q - 1}) div {p + q} else pb <= nb - ({2 * p} * nb + {p + q - 1}) div {p + q} end")
-    met = _possible(left.join(right, ["token", "size"]).where("a < b and ca <> cb"), share).where(early)
-    # what is shared beyond the prefixes lies in the rest of one of them; with what equal halves hide, either set's
-    # bound, halves of hashes can only count too much
-    rest = F.greatest(F.col("na") - F.size("prefix_a"), F.col("nb") - F.size("prefix_b"))
-    return met.where(F.size(F.array_intersect("prefix_a", "prefix_b")) + F.least("alike_a", "alike_b") + rest >= _needed(share)).select("a", "b", "na", "nb", "pa", "pb")
-
-
-def _apart() -> Column:
-    """Elements in which two sets differ at least: the sum of their parts' differences in size."""
-    return F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda n, x: n + x)
+    held = here.groupBy("token", "component").agg(F.count(F.lit(1)).alias("held"))
+    main = held.groupBy("token").agg(F.max_by("component", "held").alias("main"), F.count(F.lit(1)).alias("components")).where("components > 1").select("token", "main")
+    rows = here.join(main, "token").join(sets.select(F.col("doc_id").alias("d"), *BITS), "d").withColumns({"size": wide, "in_main": F.col("component") == F.col("main")})
+    first = rows.where(F.expr(f"p <= n - ({2 * p} * n + {p + q - 1}) div {p + q}"))
+    left = first.select(
+        "token", F.explode(F.array(F.col("size"), F.col("size") + 1)).alias("size"), F.col("component").alias("ca"), F.col("d").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"),
+        F.when(F.col("in_main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True))).alias("sides"), *[F.col(k).alias(f"a_{k}") for k in BITS],
+    ).withColumn("side", F.explode("sides")).drop("sides")
+    right = rows.select("token", "size", F.col("in_main").alias("side"), F.col("component").alias("cb"), F.col("d").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"), *[F.col(k).alias(f"b_{k}") for k in BITS])
+    met = left.join(right, ["token", "size", "side"]).where("ca <> cb and (na < nb or na = nb and a < b)")
+    return _possible(met, share).where(_close(share)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def keep_one(docs: DataFrame, size: int = 5, threshold: str = "0.8", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

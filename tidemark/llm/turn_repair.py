@@ -167,7 +167,7 @@ def _parts(turns: DataFrame) -> DataFrame:
     sizes = staged(sizes.withColumns({"opens": F.col("block") == F.min("block").over(along), "closes": F.col("block") == F.max("block").over(along)}).withColumn("hot", F.col("n") > MOST))
     few = sizes.count() <= BROADCAST_PARTS
     rows = rows.join(F.broadcast(sizes) if few else sizes, ["conv", "block"])
-    digits = F.expr(f"cast(ceil(log(16, n / {MOST // 4})) as int)")
+    digits = F.expr(f"cast(ceil(log(16, n / {max(1, MOST // 4)})) as int)")
     rows = rows.withColumn("part", F.struct("block", F.when(F.col("hot"), F.col("at")).alias("at"), F.when(F.col("hot"), F.substring(F.hex("digest"), F.lit(1), digits)).alias("lead")))
     listed = F.struct("at", "digest", "role", "text", "copies", "new", "blank", "cut")
     return rows.groupBy("conv", "block", "part").agg(F.sort_array(F.collect_list(listed)).alias("rows"), *[F.first(c).alias(c) for c in ("opens", "closes", "hot")])
