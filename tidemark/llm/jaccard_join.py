@@ -38,7 +38,9 @@ BITS = [f"b{k}" for k in range(WORDS)]
 #: pairs whose ids are broadcast at most
 BROADCAST_PAIRS = 500_000
 #: rounds of centres at most before all remaining pairs between components are verified
-ROUNDS = 6
+ROUNDS = 3
+#: centres go on while a round adds this part of all links
+FEW = 20
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -254,9 +256,10 @@ def link_groups(docs: DataFrame, size: int = 5, threshold: str = "0.8", id_col:
     many = spread.groupBy("token").agg(F.count("n").alias("many"), F.max("d").alias("d"), F.max("p").alias("p")).where("many > 1").select("token")
     meeting = staged(spread.join(many, "token").select("token", "d", "n", "p"))
     links = tried = None
-    turn, more = 0, True
+    turn, total, more = 0, 0, True
     while more:
-        last = turn == ROUNDS or (turn > 1 and not made)
+        # a round that adds few links leaves the rest to the last one
+        last = turn == ROUNDS or (turn > 0 and FEW * made <= total)
         here = _labelled(meeting, links)
         if last:
             pairs = _all_pairs(here, sets, share)
@@ -277,6 +280,7 @@ def link_groups(docs: DataFrame, size: int = 5, threshold: str = "0.8", id_col:
         tried = found if tried is None else tried.unionByName(found)
         links = checked if links is None else links.unionByName(checked)
         made, more, turn = checked.count(), not last, turn + 1
+        total += made
     # every set's component, then every row's smallest id in it
     top = F.coalesce("component", "rep")
     placed = classes.join(components(links).withColumnRenamed("node", "rep"), "rep", "left").select("digest", top.alias("component_id"))
