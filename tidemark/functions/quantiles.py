@@ -2,8 +2,8 @@
 
 ``linear`` interpolates between neighbours; ``nearest`` returns an observed value.  Aggregates that keep
 one group in one buffer are used only where the calendar bounds the group (years, months or days of one
-entity).  :func:`group_quantiles` is exact for groups of any size: no task ever holds more than one value
-bucket of a group, so a group with a third of all rows is spread over the cluster.
+entity).  :func:`group_quantiles` is exact for groups of any size: no task ever holds more than one range of
+values of a group, so a group with a third of all rows is spread over the cluster.
 """
 
 from __future__ import annotations
@@ -41,8 +41,20 @@ def array_median(values: Column) -> Column:
     return let(F.sort_array(values), middle)
 
 
-#: A group with more distinct values than this is ordered bucket by bucket instead of in one task.
-HOT_VALUES = 1_000_000
+#: Ranges of values between a number and its double; fixed, so that ranges need no pass over the data.
+RANGES = 4096
+
+
+def value_range(v: str) -> str:
+    """Number of the range of a double: sign, exponent and leading digits, in the order of the values.
+
+    The logarithm never falls as its argument grows, so ranges follow the values even where it rounds.
+    """
+    size = f"cast(floor({RANGES} * (log2(abs({v})) + 1075)) as bigint) + 1"
+    return (
+        f"case when isnan({v}) then {1 << 40} when {v} = 0 then 0 when abs({v}) = double('infinity') then {(1 << 40) - 1} * cast(sign({v}) as bigint) "
+        f"else cast(sign({v}) as bigint) * ({size}) end"
+    )
 
 
 def _ranks(q: float, flavour: str, n: str) -> list[str]:
@@ -73,57 +85,36 @@ def group_quantiles(
     keys: Sequence[str],
     value: str,
     probs: Mapping[str, tuple[float, str]],
-    hot: int = HOT_VALUES,
-    buckets: int = 64,
     weight: str | None = None,
     unique: bool = False,
 ) -> DataFrame:
     """Exact quantiles per group, one column per entry of ``probs`` (``name -> (q, flavour)``).
 
     With ``weight`` a row stands for that many equal values; ``unique`` says that every value already occurs
-    once per group, so counting is skipped.
+    once per group, so counting is skipped.  Null values are left out.
 
-    Equal values are counted first (spread by key *and* value, combined before the shuffle).  Groups with at
-    most ``hot`` distinct values are then ordered by one window each.  Larger groups take another way:
+    One way for groups of every size, all groups at once:
 
-    1. approximate cut points of their counted values, one mergeable sketch of bounded size, define buckets
-       that hold at most about ``1 / buckets`` of those values each;
-    2. bucket totals (at most ``buckets`` rows per group) tell which bucket holds each wanted rank;
-    3. only those buckets are ordered, each on its own.
+    1. equal values are counted, spread by key *and* value and combined before the shuffle;
+    2. counts per group and range of values (:func:`value_range`) tell which ranges hold the wanted ranks;
+    3. only the values of those ranges are ordered, each range on its own.
 
-    The list of large groups is broadcast: there is at most one per ``hot`` counted values.  When there is
-    none, adaptive execution drops the whole second way.
+    A large group is spread over its ranges, so its size meets no task; what is summed per group is its
+    ranges, however many rows it has.
     """
     keys = list(keys)
     whole = not keys
     if whole:
         keys, df = ["__all"], df.withColumn("__all", F.lit(1))
     part = ", ".join(f"`{k}`" for k in keys)
+    names = [f"`{k}`" for k in keys]
     rows = df.where(F.col(value).isNotNull())
     v = F.col(value).cast("double").alias("__v")
     if unique:
         counted = rows.select(*keys, v, (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("__c"))
     else:
         counted = rows.groupBy(*keys, v).agg(F.expr(f"sum(`{weight}`)" if weight else "count(*)").alias("__c"))
-    names = [f"`{k}`" for k in keys]
-    # the sum keeps the counts alive here too, so this reads the very exchange the ways below read
-    large = counted.groupBy(*keys).agg(F.expr("count(*)").alias("__k"), F.expr("sum(__c)").alias("__s")).where(f"__k > {hot} and __s > 0")
-    marked = F.broadcast(large.select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.lit(True).alias("__hot")))
-    is_large = F.expr(" and ".join(f"`{k}` <=> `__h_{k}`" for k in keys))
-    # an outer join with a flag: unlike an anti join it is not pushed below the counting
-    small = counted.join(marked, is_large, "left").where("__hot is null").selectExpr(
-        *names,
-        "__v",
-        "__c",
-        f"sum(__c) over (partition by {part} order by __v) as __hi",
-        f"sum(__c) over (partition by {part}) as __n",
-    )
-
-    big = counted.join(marked, is_large).selectExpr(*names, "__v", "__c")
-    cuts = ", ".join(repr(i / buckets) + "D" for i in range(1, buckets))
-    # one row with ``buckets - 1`` numbers
-    edges = big.agg(F.expr(f"percentile_approx(__v, array({cuts}), {100 * buckets})").alias("__edges"))
-    placed = attach(big, edges).selectExpr(*names, "__v", "__c", "size(filter(__edges, e -> e < __v)) as __b")
+    placed = counted.selectExpr(*names, "__v", "__c", f"{value_range('__v')} as __b")
     totals = placed.groupBy(*keys, "__b").agg(F.expr("sum(__c)").alias("__m")).selectExpr(
         *names, "__b", "__m", f"sum(__m) over (partition by {part}) as __n", f"sum(__m) over (partition by {part} order by __b) as __end"
     )
@@ -135,7 +126,7 @@ def group_quantiles(
     ordered = join_same(placed, needed, [*keys, "__b"]).selectExpr(
         *names, "__v", "__c", f"__start + sum(__c) over ({inside}) as __hi", "__n"
     )
-    out = _pick(keys, small, probs).unionByName(_pick(keys, ordered, probs))
+    out = _pick(keys, ordered, probs)
     return out.drop("__all") if whole else out
 
 

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("flows", "series", "status", "links", "texts", "landing")
+MODULES = ("flows", "series", "status", "links", "texts", "landing", "ordered")
 
 
 def load_all():
