@@ -41,6 +41,8 @@ BROADCAST_PAIRS = 500_000
 ROUNDS = 3
 #: centres go on while a round adds this part of all links
 FEW = 20
+#: sets of one component on an element from which they are kept from meeting each other
+MAIN = 8
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -111,7 +113,7 @@ def _sets(rows: DataFrame, size: int, share: Fraction, table) -> DataFrame:
                 return 0, None, np.zeros(WORDS, np.int64), []
             ranks = order[(s % np.uint64(TABLE)).astype(np.int64)]
             first = s[np.lexsort((s * M2, ranks))[: int(prefix_length(len(s), share))]]
-            odd = np.bincount((s * M3 >> np.uint64(54)).astype(np.int64), minlength=64 * WORDS) & 1
+            odd = np.bincount(((s * M3 >> np.uint64(32)) % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) & 1
             return len(s), xxhash.xxh3_128_digest(s.tobytes()), np.packbits(odd.astype(np.uint8)).view(np.int64), first.view(np.int64)
 
         def work(batch: pa.RecordBatch) -> dict:
@@ -246,6 +248,7 @@ def link_groups(docs: DataFrame, size: int = 5, threshold: str = "0.8", id_col:
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(_count_table(rows, size))
     sets = staged(_sets(rows, size, share, table))
+    table.destroy()
     known = sets.where("doc_id is not null and n > 0")
     # one row per id and one representative per set
     named = known.groupBy("doc_id").agg(F.min("digest").alias("digest"))
@@ -324,12 +327,14 @@ def _all_pairs(here: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
     # a little wider than the sizes allow: rounding of logarithms can't part a pair
     wide = F.floor(F.log(F.col("n")) / F.log(F.lit(q / p if q > p else 2.0)) * 0.999)
     held = here.groupBy("token", "component").agg(F.count(F.lit(1)).alias("held"))
-    main = held.groupBy("token").agg(F.max_by("component", "held").alias("main"), F.count(F.lit(1)).alias("components")).where("components > 1").select("token", "main")
-    rows = here.join(main, "token").join(sets.select(F.col("doc_id").alias("d"), *BITS), "d").withColumns({"size": wide, "in_main": F.col("component") == F.col("main")})
+    main = held.groupBy("token").agg(F.max_by("component", "held").alias("main"), F.max("held").alias("most"), F.count(F.lit(1)).alias("components"))
+    # a small component is not worth a second copy of the others
+    main = main.where("components > 1").select("token", F.when(F.col("most") >= MAIN, F.col("main")).alias("main"))
+    rows = here.join(main, "token").join(sets.select(F.col("doc_id").alias("d"), *BITS), "d").withColumns({"size": wide, "in_main": F.coalesce(F.col("component") == F.col("main"), F.lit(False))})
     first = rows.where(F.expr(f"p <= n - ({2 * p} * n + {p + q - 1}) div {p + q}"))
     left = first.select(
         "token", F.explode(F.array(F.col("size"), F.col("size") + 1)).alias("size"), F.col("component").alias("ca"), F.col("d").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"),
-        F.when(F.col("in_main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True))).alias("sides"), *[F.col(k).alias(f"a_{k}") for k in BITS],
+        F.when(F.col("in_main") | F.col("main").isNull(), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True))).alias("sides"), *[F.col(k).alias(f"a_{k}") for k in BITS],
     ).withColumn("side", F.explode("sides")).drop("sides")
     right = rows.select("token", "size", F.col("in_main").alias("side"), F.col("component").alias("cb"), F.col("d").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"), *[F.col(k).alias(f"b_{k}") for k in BITS])
     met = left.join(right, ["token", "size", "side"]).where("ca <> cb and (na < nb or na = nb and a < b)")
