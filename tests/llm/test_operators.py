@@ -292,6 +292,8 @@ def test_toxicity_learns_marker_words(spark):
     got = {r.doc_id: r.score for r in toxicity.score(frame, model).collect()}
     assert np.mean([(got[k] >= 0.5) == (k % 4 == 0) for k in range(300, 400)]) > 0.95
     kept = toxicity.keep_clean(frame, model).collect()
+    clash = toxicity.keep_clean(frame.withColumn("__cut", F.lit("x")), model)
+    assert clash.columns == [*frame.columns, "__cut"] and clash.count() == len(kept) and toxicity.keep_clean(frame.where("doc_id < 0"), model).count() == 0
     assert kept[0].asDict().keys() == {"doc_id", "text", "lang", "toxic"} and np.mean([r.toxic for r in kept]) < 0.03
     long = spark.createDataFrame([(1, "w1 " * 120_000 + "vile"), (2, None), (3, "")], "doc_id long, text string")
     found = {r.doc_id: r.score for r in toxicity.score(long, model).collect()}
