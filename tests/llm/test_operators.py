@@ -334,3 +334,18 @@ def test_chat_history_of_long_and_uneven_turns(spark):
             want[conv, window] = ("".join(head + [t[2] for t in turns[back : own[-1] + 1]]), len(head) + own[0] - back)
     got = {(r.conv_id, r.window): (r.text, r.n_repeated) for r in chat_format.format_windows(frame, budget=2048).collect()}
     assert got == want and got[1, 1][1] == 2
+
+
+def test_token_queries_equal_the_library(spark, library):
+    docs = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
+    ids = {k: library.encode(t, add_special_tokens=False).ids for k, t in docs}
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    run = {name: {r.doc_id: r for r in queries.QUERIES[name](spark, SF).collect()} for name in ("op6_token_counts", "op7_bpe_codec", "op9_token_files")}
+    assert all(len(found) == len(docs) for found in run.values())
+    start = 0
+    for k, text in docs:
+        six, seven, nine = (found[k] for found in run.values())
+        assert (six.n_bytes, six.n_tokens, six.over_limit) == (len(text.encode()), len(ids[k]), len(ids[k]) > 512)
+        assert (seven.n_tokens, seven.ids_sha256, seven.decoded_sha256) == (len(ids[k]), sha(",".join(map(str, ids[k]))), sha(library.decode(ids[k], skip_special_tokens=False)))
+        assert (nine.start, nine.n_tokens, nine.ids_crc32) == (start, len(ids[k]) + 1, zlib.crc32(np.array([*ids[k], 0], "<u4").tobytes()))
+        start += len(ids[k]) + 1
