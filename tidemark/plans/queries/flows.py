@@ -364,7 +364,7 @@ def grouped_rows_by_year(spark, sf):
     """
 WITH p AS (SELECT CASE WHEN event_type <> 'error' THEN event_type END AS g, CAST(day(ts) AS INTEGER) AS y, count(*) AS r FROM events GROUP BY 1, 2)
 SELECT coalesce(g, 'unknown') AS name, CAST(sum(r) AS BIGINT) AS rows, min(y) AS first_year, max(y) AS last_year,
-       count(DISTINCT y) AS years FROM p WHERE y >= 5 GROUP BY 1""",
+       count(DISTINCT y) AS years FROM p GROUP BY 1""",
 )
 def group_coverage(spark, sf):
     from tidemark.plans.monitoring import group_coverage as coverage
@@ -373,7 +373,7 @@ def group_coverage(spark, sf):
         F.when(F.col("event_type") != "error", F.col("event_type")).alias("g"), F.dayofmonth("ts").alias("year")
     )
     parts = ev.groupBy("g", "year").agg(F.count(F.lit(1)).alias("rows"))
-    return coverage(parts.where(F.col("year") >= 5), "g")
+    return coverage(parts, "g")
 
 
 @query(

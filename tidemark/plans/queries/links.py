@@ -71,7 +71,7 @@ def registry_report(spark, sf):
 
 
 UNITS_SQL = """
-bh AS (SELECT l_suppkey AS link, CAST(l_partkey % 7 AS BIGINT) AS unit FROM lineitem WHERE l_quantity > 48.5 AND l_returnflag = 'R' AND l_linestatus = 'F'),
+bh AS (SELECT l_suppkey AS link, CAST(CASE WHEN l_suppkey % 3 = 0 THEN l_partkey % 7 ELSE l_suppkey // 4 END AS BIGINT) AS unit FROM lineitem),
 pid AS (SELECT link, count(DISTINCT unit) AS units, min(unit) AS unit FROM bh GROUP BY 1),
 k AS (SELECT s_suppkey AS id, upper(trim(' n' || CAST(s_suppkey // 2 AS VARCHAR))) AS code FROM supplier),
 ib AS (SELECT code, count(*) AS entries, coalesce(max(units), 0) AS units, min(unit) AS unit,
@@ -82,9 +82,9 @@ al AS (SELECT ab.*, ib.unit, CASE WHEN coalesce(unit_n, 0) = 0 THEN 'none' WHEN
 
 def allocated(spark, sf):
     li, s = table(spark, sf, "lineitem"), table(spark, sf, "supplier")
-    bores = li.where((F.col("l_quantity") > 48.5) & (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")).select(
-        F.col("l_suppkey").alias("link"), (F.col("l_partkey") % 7).alias("unit")
-    )
+    # every third supplier draws from several units
+    unit = F.when(F.col("l_suppkey") % 3 == 0, F.col("l_partkey") % 7).otherwise(F.floor(F.col("l_suppkey") / 4))
+    bores = li.select(F.col("l_suppkey").alias("link"), unit.alias("unit"))
     half = F.floor(F.col("s_suppkey") / 2).cast("string")
     reg = s.select(F.col("s_suppkey").alias("id"), F.concat(F.lit(" n"), half).alias("kkr"))
     units = lk.code_units(reg, bores, "kkr", "id", "link", "unit")
@@ -124,7 +124,7 @@ def intake_types(spark, sf):
 
 
 BALANCE_SQL = """
-a AS (SELECT o_custkey % 40 + 5 AS body, sum(CAST(round(o_totalprice) AS BIGINT)) AS m, count(DISTINCT o_custkey) AS intakes FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
+a AS (SELECT o_custkey % 40 + 5 AS body, sum(CAST(round(o_totalprice) AS BIGINT)) AS m, count(DISTINCT o_custkey) AS intakes FROM orders GROUP BY 1),
 r AS (SELECT c_custkey % 40 AS body, count(*) AS deposits, coalesce(sum(CAST(round(c_acctbal) AS BIGINT) * 30), 0) AS reserve, count(*) AS n_with_reserve FROM customer GROUP BY 1),
 j AS (SELECT coalesce(a.body, r.body) AS body, m / 365.0 AS per_day, intakes, deposits, reserve,
       CASE WHEN m / 365.0 > 0 AND reserve > 0 THEN m / 365.0 / reserve END AS ratio FROM a FULL JOIN r ON a.body = r.body)"""
@@ -132,7 +132,7 @@ j AS (SELECT coalesce(a.body, r.body) AS body, m / 365.0 AS per_day, intakes, de
 
 def balance(spark, sf):
     o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
-    amounts = o.where(F.col("o_orderstatus") == "F").select(
+    amounts = o.select(
         (F.col("o_custkey") % 40 + 5).alias("body"), F.col("o_custkey").alias("code"), F.round("o_totalprice").cast("bigint").alias("m")
     )
     res = c.select((F.col("c_custkey") % 40).alias("body"), (F.round("c_acctbal").cast("bigint") * 30).alias("v"))
@@ -239,12 +239,12 @@ def server_listing(spark, sf):
 @query(
     "topic_views",
     "I16 I24",
-    """WITH t AS (SELECT n_name AS slug, n_nationkey AS grp FROM nation WHERE n_regionkey <> 4), i AS (SELECT c_nationkey AS grp, c_mktsegment AS host, count(*) AS n FROM customer GROUP BY 1, 2)
+    """WITH t AS (SELECT n_name AS slug, n_nationkey AS grp FROM nation), i AS (SELECT c_nationkey AS grp, c_mktsegment AS host, count(*) AS n FROM customer GROUP BY 1, 2)
 SELECT slug, CAST(coalesce(n, 0) AS BIGINT) AS views FROM t LEFT JOIN i ON t.grp = i.grp AND host = 'BUILDING'""",
 )
 def topic_views(spark, sf):
     n, c = table(spark, sf, "nation"), table(spark, sf, "customer")
-    topics = n.where(F.col("n_regionkey") != 4).select(
+    topics = n.select(
         F.col("n_name").alias("slug"), F.col("n_nationkey").cast("string").alias("group"), F.array("n_name").alias("related")
     )
     items = c.groupBy(F.col("c_nationkey").cast("string").alias("group"), F.col("c_mktsegment").alias("host")).agg(F.count(F.lit(1)).alias("views"))

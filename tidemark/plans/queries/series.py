@@ -620,8 +620,7 @@ def labelled_activity(spark, sf):
 
 
 BIRDS_SQL = """
-c0 AS (SELECT p_brand AS species, l_suppkey AS point, CAST(year(l_shipdate) AS INTEGER) AS year, max(l_quantity) AS v FROM lineitem JOIN part ON l_partkey = p_partkey
-       WHERE l_quantity > 10 GROUP BY 1, 2, 3),
+c0 AS (SELECT p_brand AS species, l_suppkey AS point, CAST(year(l_shipdate) AS INTEGER) AS year, max(l_quantity) AS v FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3),
 st AS (SELECT year, row_number() OVER (ORDER BY year) - 1 AS step, count(*) OVER () AS steps FROM (SELECT DISTINCT year FROM c0)),
 c AS (SELECT c0.*, step, steps FROM c0 JOIN st USING (year)),
 sv AS (SELECT DISTINCT point, step FROM c),
@@ -642,7 +641,7 @@ lk AS (SELECT species, step, points, a AS base, CASE WHEN a + b >= 10 AND a > 0
 
 def bird_rows(spark, sf):
     li, p = table(spark, sf, "lineitem"), table(spark, sf, "part").select("p_partkey", "p_brand")
-    return li.where(F.col("l_quantity") > 10).join(p, li.l_partkey == p.p_partkey).select(
+    return li.join(p, li.l_partkey == p.p_partkey).select(
         "p_brand", "l_suppkey", F.year("l_shipdate").alias("year"), "l_quantity"
     )
 

@@ -132,10 +132,10 @@ def share_with_condition(spark, sf):
     "entities_by_attribute",
     "V09 K07",
     """SELECT nullif(o_orderpriority, '5-LOW') AS name, count(DISTINCT o_custkey) AS bodies, count(*) AS pressures FROM orders
-WHERE o_orderstatus = 'F' AND o_orderpriority <> '5-LOW' GROUP BY 1""",
+WHERE o_orderpriority <> '5-LOW' GROUP BY 1""",
 )
 def entities_by_attribute(spark, sf):
-    o = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F").withColumn("pr", F.nullif("o_orderpriority", F.lit("5-LOW")))
+    o = table(spark, sf, "orders").withColumn("pr", F.nullif("o_orderpriority", F.lit("5-LOW")))
     return tr.by_attribute(o, "pr", "o_custkey")
 
 
@@ -356,10 +356,10 @@ def target_unit_only(spark, sf):
 @query(
     "reporting_effort",
     "N10 N11 N12",
-    """SELECT l_returnflag, CAST(year(l_shipdate) AS INTEGER) AS year, count(DISTINCT l_suppkey) AS districts, count(*) AS observations FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1, 2""",
+    """SELECT l_returnflag, CAST(year(l_shipdate) AS INTEGER) AS year, count(DISTINCT l_suppkey) AS districts, count(*) AS observations FROM lineitem GROUP BY 1, 2""",
 )
 def reporting_effort(spark, sf):
-    li = table(spark, sf, "lineitem").where(F.col("l_linestatus") == "F").withColumn("year", F.year("l_shipdate"))
+    li = table(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate"))
     return species.effort(li, ["l_returnflag", "year"], "l_suppkey")
 
 
