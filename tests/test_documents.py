@@ -158,3 +158,25 @@ def test_api_descriptions(spark):
     cols = {r["column"]: r for r in doc.api_columns(tables, "api").collect()}
     assert cols["a"]["required"] and cols["a"]["description"] == "x y" and not cols["b"]["required"] and cols["b"]["format"] == "date"
     assert [tuple(r) for r in doc.api_operations(df, "api", "doc").collect()] == [("2", "GET", "/t", "s", "o")]
+
+
+def test_links_are_read_tag_by_tag(spark):
+    html = (
+        "<a title='a>b' href='y'>1</a><!-- <a href=x> --><script>var s = '<a href=\"no\">'; if (a < b) {}</script><a data-x=\" href='no' \" href=plain/z>"
+        "<STYLE>a:after{content:'<a href=css>'}</STYLE><A\nHREF = \"up\"  href='second'><a title=it's href='q'><abbr href='no'><script src='s.js'>x</script>"
+        "<a href><a =href=odd><a href=\"&#38;lt;&amp;gt;&lt;&#x41;&nope;&\"><img alt=\"<a href='no'>\" src=i.png><a href='open>z<!-- <a href='cut'>"
+    )
+    pages = spark.createDataFrame([(1, html), (2, None), (3, ""), (4, "<a " + "x='1' " * 50_000 + "href='far'>" + "&amp;" * 50_000)], "page int, html string")
+    got = {}
+    for r in inv.page_links(pages, "page", "html").collect():
+        got.setdefault(r["page"], []).append((r["kind"], r["src"]))
+    # a name may begin with a sign; the value left open runs to the next quote, as a browser reads it
+    assert [s for k, s in got[1] if k == "link"] == ["y", "plain/z", "up", "q", "&lt;&gt;<A&nope;&", "open>z<!-- <a href="]
+    assert ("script", "s.js") in got[1] and ("img", "i.png") in got[1] and not {"no", "x", "css", "second"} & {s for _, s in got[1]}
+    assert got[4] == [("link", "far")] and set(got) == {1, 4}
+
+
+def test_references_are_decoded_once(spark):
+    rows = [("&#38;lt;", "&lt;"), ("&amp;amp;", "&amp;"), ("a&b;&#0;&#xD800;", "a&b;&#0;&#xD800;"), ("&#228;&#xE4;&lt;p&gt;", "ää<p>"), ("&;&&lt;", "&;&<"), (None, None), ("", "")]
+    df = spark.createDataFrame(rows, "t string, want string")
+    assert df.where(~inv.unescaped("t").eqNullSafe(df["want"])).count() == 0

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import ColumnLike, any_of, col
+from tidemark.functions.columns import ColumnLike, any_of, col, let
 from tidemark.functions.ranks import earliest
 
 #: Platform hosts (a part of the host name) and their labels, first match wins.
@@ -91,28 +91,56 @@ def link_rows(links: DataFrame, page: str = "page_url", kind: str = "kind", src:
     )
 
 
+#: one quoted or plain value; possessive, so that long values need no stack
+VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
+#: comments with what they hold, and start tags; what scripts and styles hold goes with their tag (group 3 is empty and marks them)
+MARKUP = (
+    r"(?is)<!--.*?(?:-->|\z)"
+    rf"|(<(?:(script|style)(?=[\s/>])()|[a-z][^\s/>]*+)(?:[^>=]*+=\s*+{VALUE})*+[^>=]*+>)(?:\3.*?(?:</\2|\z))?+"
+)
+REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-z]{2,4});|[^&]++|&"
+#: Named character references.
+NAMED = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\xa0", "amp": "&"}
+
+
 def unescaped(text: ColumnLike) -> Column:
-    """Numbered and the common named character references as characters; others stay."""
+    """Numbered and the common named character references as characters; others stay.  What a reference gives is not read again."""
 
-    def numbered(t: Column, pattern: str, base: int) -> Column:
-        def replaced(out: Column, ref: Column) -> Column:
-            code = F.conv(F.regexp_extract(ref, pattern, 2), base, 10).cast("bigint")
-            fits = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-            return F.when(fits, F.replace(out, ref, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))).otherwise(out)
+    def character(ref: Column) -> Column:
+        body = F.substring(ref, F.lit(2), F.length(ref) - 2)
+        out = F.when(body.rlike("^#[0-9]"), F.conv(F.substr(body, F.lit(2)), 10, 10)).otherwise(F.conv(F.substr(body, F.lit(3)), 16, 10))
+        code = out.cast("bigint")
+        fits = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        plain = F.when(body.startswith("#") & fits, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        for name, char in NAMED.items():
+            plain = plain.when(body == name, char)
+        return F.when((F.length(ref) > 3) & ref.startswith("&") & ref.endswith(";"), plain.otherwise(ref)).otherwise(ref)
 
-        return F.aggregate(F.array_distinct(F.regexp_extract_all(t, F.lit(pattern), 1)), t, replaced)
+    t = col(text)
+    pieces = F.regexp_extract_all(t, F.lit(f"({REFERENCE})"), 1)
+    return F.when(t.contains("&"), F.array_join(F.transform(pieces, character), "")).otherwise(t)
 
-    out = numbered(numbered(col(text), "(&#([0-9]{1,7});)", 10), "(&#[xX]([0-9a-fA-F]{1,6});)", 16)
-    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", " "), ("amp", "&")):
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
-    return out
+
+def start_tags(html: ColumnLike) -> Column:
+    """All start tags of a page in order, whole: quoted values may hold ``>``; comments, scripts and styles hold no tags."""
+    return F.filter(F.regexp_extract_all(col(html), F.lit(MARKUP), 1), lambda t: t != "")
+
+
+def tag_values(tags: Column, tag: str, name: str) -> Column:
+    """Non-blank values of an attribute in the start tags of a kind, unescaped; the first of a tag counts.
+
+    Attributes are read one after another from the tag's beginning, so a name inside another's value is none.
+    """
+    step = rf"(?is)\G[\s/]*+(?:{name}(?=[\s=])\s*+=\s*+({VALUE})|[^\s/>][^\s/>=]*+(?:\s*+=\s*+{VALUE})?+)"
+    of_kind = F.filter(tags, lambda t: t.rlike(rf"(?i)^<{tag}[\s/>]"))
+    first = F.transform(of_kind, lambda t: F.try_element_at(F.filter(F.regexp_extract_all(t, F.lit(step), 1), lambda v: v != ""), F.lit(1)))
+    plain = F.transform(first, lambda v: F.trim(unescaped(F.regexp_replace(v, r"""(?s)^(["'])(.*)\1$|^["']""", "$2"))))
+    return F.filter(plain, lambda v: v != "")
 
 
 def attribute_values(html: ColumnLike, tag: str, name: str) -> Column:
     """Non-blank values of an attribute in all tags of a kind: any case, quoted either way or not at all, unescaped."""
-    value = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    hits = F.regexp_extract_all(col(html), F.lit(rf"(?i)<{tag}\b[^>]*?\s{name}\s*=\s*{value}"), 1)
-    return F.filter(F.transform(hits, lambda s: F.trim(unescaped(F.regexp_replace(s, r"""^["']|["']$""", "")))), lambda s: s != "")
+    return tag_values(start_tags(html), tag, name)
 
 
 def absolute(src: ColumnLike, base: ColumnLike) -> Column:
@@ -153,10 +181,11 @@ def page_links(pages: DataFrame, ident: str, html: str, base: str | None = None)
         ("script", "script", "src"),
     )
 
-    def of_kind(kind: str, tag: str, name: str) -> Column:
-        return F.transform(attribute_values(html, tag, name), lambda s: F.struct(F.lit(kind).alias("kind"), s.alias("src")))
+    def of_kind(tags: Column, kind: str, tag: str, name: str) -> Column:
+        return F.transform(tag_values(tags, tag, name), lambda s: F.struct(F.lit(kind).alias("kind"), s.alias("src")))
 
-    found = F.flatten(F.array(*[of_kind(*rule) for rule in rules]))
+    # tags are found once for all kinds
+    found = let(start_tags(html), lambda tags: F.flatten(F.array(*[of_kind(tags, *rule) for rule in rules])))
     kept = [ident, *([base] if base and base != ident else [])]
     rows = pages.select(*kept, F.explode(found).alias("x")).select(*kept, "x.kind", "x.src")
     return rows.select(ident, "kind", (absolute("src", base) if base else F.col("src")).alias("src"))
