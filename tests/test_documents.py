@@ -180,3 +180,30 @@ def test_references_are_decoded_once(spark):
     rows = [("&#38;lt;", "&lt;"), ("&amp;amp;", "&amp;"), ("a&b;&#0;&#xD800;", "a&b;&#0;&#xD800;"), ("&#228;&#xE4;&lt;p&gt;", "ää<p>"), ("&;&&lt;", "&;&<"), (None, None), ("", "")]
     df = spark.createDataFrame(rows, "t string, want string")
     assert df.where(~inv.unescaped("t").eqNullSafe(df["want"])).count() == 0
+
+
+def holders(node, key):
+    """Objects that hold a key, by walking the parsed document."""
+    kids = list(node.values()) if isinstance(node, dict) else node if isinstance(node, list) else []
+    return ([node] if isinstance(node, dict) and key in node else []) + [h for k in kids for h in holders(k, key)]
+
+
+def test_records_with_key_at_any_depth(spark):
+    deep = {"repo": 0}
+    for i in range(1, 90):
+        deep = {"repo": i, "in": [deep, {"no": "} ] {"}]} if i % 2 else [{"x": "\\\"repo\\\": {", "y": deep}, []]
+    wide = {"items": [{"repo": i, "s": "a\\" * (i % 3), "t": {"repo": None} if i % 7 == 0 else i} for i in range(2_000)]}
+    long = {"a": {"repo": "\"[{" * 60_000}}
+    docs = [deep, wide, long, {"re": {"po": 1}}, ["repo", {"k": "repo"}], {"repo": {"repo": {"repo": []}}}, {}, [], 7, "repo"]
+    rows = [(i, json.dumps(d, indent=1 if i % 2 else None)) for i, d in enumerate(docs)]
+    rows += [(90, None), (91, ""), (92, '{"repo": 1'), (93, '"repo": 1}'), (94, '{"r\\u0065po" : 1}'), (95, '{"repo":1,"repo":2}'), (5, rows[5][1])]
+    df = spark.createDataFrame(rows, "id int, js string")
+    out = doc.records_with_key(df, "id", "js", "repo")
+    got = {}
+    for r in out.collect():
+        got.setdefault(r["id"], []).append(json.dumps(json.loads(r["record"])))
+    for i, d in enumerate(docs):
+        want = [json.dumps(h) for h in holders(d, "repo")] * (2 if i == 5 else 1)
+        assert sorted(got.get(i, [])) == sorted(want), i
+    assert {i: len(g) for i, g in got.items() if i >= 90} == {94: 1, 95: 1}
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()

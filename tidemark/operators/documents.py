@@ -185,7 +185,7 @@ def nested_values(df: DataFrame, ident: str, json: str, fields: Mapping[str, str
     """Distinct non-blank text values of given keys anywhere in nested JSON: ``(ident, kind, name)``."""
 
     def of_key(key: str, kind: str) -> Column:
-        hits = F.regexp_extract_all(F.col(json), F.lit(rf'"{key}"\s*:\s*"((?:[^"\\]|\\.)*)"'), 1)
+        hits = F.regexp_extract_all(F.col(json), F.lit(rf'"{key}"\s*:\s*"((?:[^"\\]++|\\.)*+)"'), 1)
         text = lambda s: F.get_json_object(F.concat(F.lit('{"v":"'), s, F.lit('"}')), "$.v")
         return F.transform(hits, lambda s: F.struct(F.lit(kind).alias("kind"), F.trim(text(s)).alias("name")))
 
@@ -199,21 +199,67 @@ def exploded(df: DataFrame, column: str) -> DataFrame:
     return df.lateralJoin(df.sparkSession.tvf.variant_explode(F.col(column).outer()))
 
 
-def records_with_key(df: DataFrame, ident: str, json: str, key: str, max_depth: int = 12) -> DataFrame:
-    """Objects holding a key anywhere in nested JSON, as JSON text; deeper nesting than allowed fails the job."""
-    level = df.select(ident, F.parse_json(F.col(json)).alias("__v"))
-    out = None
-    for depth in range(max_depth + 1):
-        kind = F.schema_of_variant("__v")
-        nested = level.where(kind.startswith("OBJECT") | kind.startswith("ARRAY"))
-        if depth == max_depth:
-            guard = nested.select(ident, F.raise_error(F.lit("JSON nested deeper than max_depth")).cast("string").alias("record"))
-            return out.unionByName(guard)
-        found = nested.where(F.try_variant_get("__v", f"$.{key}", "string").isNotNull() | F.try_variant_get("__v", f"$.{key}", "variant").isNotNull())
-        found = found.where(F.schema_of_variant("__v").startswith("OBJECT")).select(ident, F.to_json("__v").alias("record"))
-        out = found if out is None else out.unionByName(found)
-        level = exploded(nested, "__v").select(ident, F.col("value").alias("__v"))
-    return out
+#: strings (keys with their colon), brackets, and all between; possessive, so that long strings need no stack
+JSON_PIECE = r'(?s)("(?:[^"\\]++|\\.)*+"\s*+:?|[{}\[\]]|[^"{}\[\]]++|")'
+#: brackets whose depths are summed in one array
+CHUNK = 512
+
+
+def _depths(events: Column) -> Column:
+    """Running sum of ``step`` over the events of a document: within chunks first, then with the chunks' own sums."""
+    last = lambda sums: F.coalesce(F.try_element_at(sums, F.lit(-1)), F.lit(0))
+    none = F.array().cast("array<int>")
+    starts = F.sequence(F.lit(1), F.greatest(F.size(events), F.lit(1)), F.lit(CHUNK))
+    inside = F.transform(starts, lambda at: F.aggregate(F.slice(events, at, F.lit(CHUNK)), none, lambda sums, e: F.array_append(sums, last(sums) + e["step"])))
+
+    def whole(parts: Column) -> Column:
+        before = F.aggregate(parts, F.array(F.lit(0)), lambda sums, part: F.array_append(sums, last(sums) + last(part)))
+        return let(before, lambda b: F.flatten(F.transform(parts, lambda part, k: F.transform(part, lambda d: d + F.get(b, k)))))
+
+    return let(inside, whole)
+
+
+def objects_with_key(json: ColumnLike, key: str) -> Column:
+    """Texts of the objects, at any depth, that hold a key themselves, in no particular order.
+
+    Brackets and hits of the key are put in order of depth and place: there an object's hit follows its opening
+    bracket, and its closing bracket is next.  Text whose brackets don't close gives none; null gives null.
+    """
+    text = lambda piece: F.regexp_extract(piece, r"(?s)^(.*?)\s*+:$", 1)
+    plain = lambda name: F.when(name.contains("\\"), F.get_json_object(F.concat(F.lit('{"v":'), name, F.lit("}")), "$.v")).otherwise(F.substring(name, F.lit(2), F.length(name) - 2))
+    hit = lambda piece: piece.startswith('"') & piece.endswith(":") & (plain(text(piece)) == key)
+
+    def event(piece: Column, at: Column) -> Column:
+        step = F.when(piece.isin("{", "["), 1).when(piece.isin("}", "]"), -1).when(hit(piece), 0)
+        return F.struct(step.alias("step"), at.alias("at"), (piece.isin("{", "}")).alias("of_object"))
+
+    def spans(events: Column, depths: Column) -> Column:
+        level = lambda e, i: F.get(depths, i) + F.when(e["step"] < 0, 1).otherwise(0)
+        ordered = F.array_sort(F.transform(events, lambda e, i: F.struct(level(e, i).alias("level"), e["at"].alias("at"), e["step"].alias("step"), e["of_object"].alias("of_object"))))
+
+        def pairs(o: Column) -> Column:
+            # a repeated key counts once
+            once = F.filter(o, lambda e, i: (e["step"] != 0) | (F.coalesce(F.get(o, i - 1)["step"], F.lit(-1)) != 0))
+            found = let(once, lambda c: F.transform(c, lambda e, i: F.when((e["step"] == 0) & (F.get(c, i - 1)["step"] == 1) & F.get(c, i - 1)["of_object"] & F.get(c, i + 1)["of_object"], F.struct(F.get(c, i - 1)["at"].alias("a"), F.get(c, i + 1)["at"].alias("b")))))
+            return F.filter(found, lambda s: s.isNotNull())
+
+        closed = (F.try_element_at(depths, F.lit(-1)) == 0) & (F.array_min(depths) >= 0)
+        return F.when(closed, let(ordered, pairs))
+
+    def objects(pieces: Column) -> Column:
+        events = F.filter(F.transform(pieces, event), lambda e: e["step"].isNotNull())
+        found = let(events, lambda ev: let(_depths(ev), lambda d: spans(ev, d)))
+        return F.transform(found, lambda s: F.array_join(F.slice(pieces, s["a"] + 1, s["b"] - s["a"] + 1), ""))
+
+    return let(F.regexp_extract_all(col(json), F.lit(JSON_PIECE), 1), objects)
+
+
+def records_with_key(df: DataFrame, ident: str, json: str, key: str) -> DataFrame:
+    """``(ident, record)``: objects holding a key anywhere in nested JSON, as they stand in the text, at any depth.
+
+    Rows with null, empty or unbalanced text give no records; repeated rows give theirs each.
+    """
+    return df.select(ident, F.explode(objects_with_key(json, key)).alias("record"))
 
 
 #: JSON type names of the listing.

@@ -212,7 +212,7 @@ def records_with_key(spark, sf):
     rec = F.struct(F.col("user_id").alias("repo"), F.col("value").alias("v"))
     js = F.to_json(F.struct(F.array(rec, F.when(F.col("event_type") == "click", rec)).alias("items"), F.lit(1).alias("z")))
     ev = table(spark, sf, "events").select("event_id", js.alias("j"))
-    return doc.records_with_key(ev, "event_id", "j", "repo", 6).groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+    return doc.records_with_key(ev, "event_id", "j", "repo").groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
