@@ -207,3 +207,14 @@ def test_records_with_key_at_any_depth(spark):
         assert sorted(got.get(i, [])) == sorted(want), i
     assert {i: len(g) for i, g in got.items() if i >= 90} == {94: 1, 95: 1}
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_xml_fields_with_character_data_and_signs_in_values(spark):
+    xml = (
+        "<!DOCTYPE r><r v='<!--'><rec k='a>b c=\"1\"' õ:d = \"it's <![CDATA[\"><a t='/>'>1 &gt; 0</a><![CDATA[</rec><no/>]]><b/><!-- <c/> --></rec><rec/><?pi <d/> ?></r>"
+    )
+    rows = [("x", xml), ("n", None), ("e", ""), ("t", "no tags > here <"), ("o", "<r/>"), ("l", "<r><rec><z>" + "<![CDATA[<]]>" * 20_000 + "</z></rec></r>")]
+    got = {}
+    for r in doc.xml_fields(spark.createDataFrame(rows, "id string, xml string"), "id", "xml").collect():
+        got.setdefault(r["id"], set()).add(r["field"])
+    assert got == {"x": {"@k", "@õ:d", "a", "b"}, "l": {"z"}}

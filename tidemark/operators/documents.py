@@ -299,13 +299,21 @@ def json_fields(df: DataFrame, ident: Sequence[str], json: str) -> DataFrame:
     return rows.select(*ident, F.col("e.key").alias("field"), json_type(F.schema_of_variant("e.value")).alias("type"))
 
 
+#: comments, character data and declarations with what they hold; tags, whose quoted values may hold ``>``
+XML_PIECE = (
+    r"(?s)<!--.*?(?:-->|\z)|<!\[CDATA\[.*?(?:\]\]>|\z)|<\?.*?(?:\?>|\z)|<![^>]*+>"
+    r"""|(<[^\s<>!?](?:[^>"']++|"[^"]*+"|'[^']*+')*+>)"""
+)
+#: the tag's name, then its attributes one after another
+XML_ATTRIBUTE = r"""(?s)\G(?:<[^\s/>]++|\s*+([^\s=/>]++)\s*+=\s*+(?:"[^"]*+"|'[^']*+'))"""
+
+
 def xml_fields(df: DataFrame, ident: str, xml: str) -> DataFrame:
     """``(ident, field, type)`` of the first record: the most repeated child element of the document root.
 
     Tags become rows; a running count of opened and closed tags within a document gives their depth.
     """
-    plain = F.regexp_replace(F.col(xml), r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
-    tags = F.regexp_extract_all(plain, F.lit(r"(<[^!?][^>]*>)"), 1)
+    tags = F.filter(F.regexp_extract_all(F.col(xml), F.lit(XML_PIECE), 1), lambda t: t != "")
     t = df.select(ident, F.posexplode(tags).alias("pos", "tag"))
     closing, single = F.col("tag").startswith("</"), F.col("tag").endswith("/>")
     w = Window.partitionBy(ident).orderBy("pos")
@@ -325,7 +333,7 @@ def xml_fields(df: DataFrame, ident: str, xml: str) -> DataFrame:
     elements = marked.where((F.col("depth") == 2) & (F.col("parent") == F.col("record"))).select(
         ident, F.col("name").alias("field"), F.lit("element").alias("type")
     )
-    attrs = F.regexp_extract_all(F.col("tag"), F.lit(r"\s([\w:.\-]+)\s*="), 1)
+    attrs = F.filter(F.regexp_extract_all(F.col("tag"), F.lit(XML_ATTRIBUTE), 1), lambda a: a != "")
     attributes = marked.where(F.col("pos") == F.col("record")).select(ident, F.explode(attrs).alias("a")).select(
         ident, F.concat(F.lit("@"), "a").alias("field"), F.lit("attribute").alias("type")
     )

@@ -33,22 +33,20 @@ def url_parts(spark, sf):
 @query(
     "workbook_view",
     "I07",
-    r"""WITH p AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'https://x.org/views/Book' || page_id || '/My%20Sheet?a=1' WHEN 1 THEN 'https://x.org/static/images/ab/Bk' || page_id || '/V/1.png'
-WHEN 2 THEN 'https://x.org/shared/ID' || page_id ELSE url END AS link FROM pages)
-SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'Book' || page_id WHEN 1 THEN 'Bk' || page_id WHEN 2 THEN 'ID' || page_id ELSE '' END AS workbook,
-CASE page_id % 4 WHEN 0 THEN 'My Sheet' WHEN 1 THEN 'V' ELSE '' END AS view FROM p""",
+    r"""WITH p AS (SELECT p_partkey, p_size % 4 AS kind, lower(p_type) || p_size AS book, p_name AS name FROM part)
+SELECT p_partkey, CASE kind WHEN 2 THEN upper(book) WHEN 3 THEN '' ELSE book END AS workbook, CASE WHEN kind < 2 THEN name ELSE '' END AS view FROM p""",
 )
 def workbook_view(spark, sf):
-    i = F.col("page_id").cast("string")
-    kind = F.col("page_id") % 4
+    kind, site = F.col("p_size") % 4, F.concat(F.lit("https://"), F.lower("p_type"), F.lit(".org"))
+    book, name = F.concat(F.lower("p_type"), F.col("p_size").cast("string")), F.replace("p_name", F.lit(" "), F.lit("%20"))
     link = (
-        F.when(kind == 0, F.concat(F.lit("https://x.org/views/Book"), i, F.lit("/My%20Sheet?a=1")))
-        .when(kind == 1, F.concat(F.lit("https://x.org/static/images/ab/Bk"), i, F.lit("/V/1.png")))
-        .when(kind == 2, F.concat(F.lit("https://x.org/shared/ID"), i))
-        .otherwise(F.col("url"))
+        F.when(kind == 0, F.concat(site, F.lit("/views/"), book, F.lit("/"), name, F.lit("?a="), "p_partkey"))
+        .when(kind == 1, F.concat(site, F.lit("/static/images/"), F.right("p_brand", F.lit(1)), F.lit("x/"), book, F.lit("/"), name, F.lit("/1.png")))
+        .when(kind == 2, F.concat(site, F.lit("/shared/"), F.upper(book)))
+        .otherwise(F.concat(site, F.lit("/"), name, F.lit("?to=/views/a/b")))
     )
     book, view = inv.workbook_view("link")
-    return table(spark, sf, "pages").select("page_id", link.alias("link")).select("page_id", book.alias("workbook"), view.alias("view"))
+    return table(spark, sf, "part").select("p_partkey", link.alias("link")).select("p_partkey", book.alias("workbook"), view.alias("view"))
 
 
 @query(
@@ -218,42 +216,61 @@ def records_with_key(spark, sf):
 @query(
     "xml_fields",
     "I25",
-    """SELECT page_id, unnest(['title', 'lang']) AS field, 'element' AS type FROM pages UNION ALL SELECT page_id, '@id', 'attribute' FROM pages""",
+    """WITH e AS (SELECT event_id, event_type, value, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)
+SELECT event_id, '@id' AS field, 'attribute' AS type FROM e UNION ALL SELECT event_id, '@note', 'attribute' FROM e WHERE value > 10
+UNION ALL SELECT event_id, event_type, 'element' FROM e UNION ALL SELECT event_id, 'props', 'element' FROM e WHERE k % 2 = 0""",
 )
 def xml_fields(spark, sf):
-    i = F.col("page_id").cast("string")
-    lang = F.regexp_extract("html", '<html lang="([a-z]*)"', 1)
-    rec = F.concat(F.lit('<rec id="'), i, F.lit('"><title>t</title><lang>'), lang, F.lit("</lang></rec>"))
-    xml = F.concat(F.lit("<root><head>h</head>"), rec, rec, F.lit("</root>"))
-    return doc.xml_fields(table(spark, sf, "pages").select("page_id", xml.alias("x")), "page_id", "x")
+    ident, k = F.col("event_id").cast("string"), F.get_json_object("props", "$.k").cast("bigint")
+    note = F.when(F.col("value") > 10, F.concat(F.lit(" note='props=\"0\" > "), F.col("value").cast("string"), F.lit("'")))
+    child = F.concat(F.lit("<"), "event_type", F.lit(' of="a>b">&lt;'), F.col("user_id").cast("string"), F.lit("</"), "event_type", F.lit(">"))
+    props = F.when(k % 2 == 0, F.concat(F.lit("<props><![CDATA[</event><x>"), "props", F.lit("]]></props>")))
+    rec = F.concat(F.lit('<event id="'), ident, F.lit('"'), F.coalesce(note, F.lit("")), F.lit(">"), child, F.coalesce(props, F.lit("")), F.lit("<!-- <y/> --></event>"))
+    xml = F.concat(F.lit('<?xml version="1.0"?><log><head/>'), rec, rec, F.lit("</log>"))
+    return doc.xml_fields(table(spark, sf, "events").select("event_id", xml.alias("x")), "event_id", "x")
 
 
-API = """CASE WHEN page_id % 2 = 0 THEN 'v2' ELSE 'v3' END"""
+def api_documents(spark, sf):
+    """A description per brand, of version 2 or 3 by turns: tables, columns and operations are those of its parts."""
+    part = table(spark, sf, "part")
+    n, hi = F.col("n") % 3, F.col("hi").cast("string")
+    column = F.struct(
+        F.when(n == 0, "integer").when(n == 1, "string").alias("type"),
+        F.when(n == 1, F.concat(F.lit("size"), hi)).alias("format"),
+        F.when(F.col("hi") > 20, F.concat("p_name", F.lit("\nup to "), hi)).alias("description"),
+    )
+    cols = part.groupBy("p_brand", "p_type", "p_name").agg(F.count(F.lit(1)).alias("n"), F.max("p_size").alias("hi"), F.min("p_size").alias("lo"))
+    tables = cols.groupBy("p_brand", "p_type").agg(
+        F.collect_list(F.when(F.col("lo") <= 10, F.col("p_name"))).alias("required"), F.map_from_entries(F.collect_list(F.struct("p_name", column.alias("c")))).alias("properties")
+    )
+    schemas = tables.groupBy("p_brand").agg(F.map_from_entries(F.collect_list(F.struct("p_type", F.struct("required", "properties").alias("t")))).alias("schemas"))
+    method = F.element_at(F.array(*map(F.lit, ("get", "post", "PUT", "patch", "delete", "head", "parameters", "trace"))), F.col("p_size") % 8 + 1)
+    ops = part.groupBy("p_brand", "p_type", method.alias("method")).agg(F.min("p_name").alias("summary"), F.count(F.lit(1)).alias("n"), F.max("p_partkey").cast("string").alias("k"))
+    op = F.struct("summary", F.when(F.col("n") > 2, F.concat(F.lit("op"), "k")).alias("operationId"))
+    paths = ops.groupBy("p_brand", F.concat(F.lit("/"), "p_type").alias("path")).agg(F.map_from_entries(F.collect_list(F.struct("method", op.alias("o")))).alias("m"))
+    paths = paths.groupBy("p_brand").agg(F.map_from_entries(F.collect_list(F.struct("path", "m"))).alias("paths"))
+    both = schemas.join(paths, "p_brand")
+    v2 = F.to_json(F.struct(F.col("schemas").alias("definitions"), "paths"))
+    v3 = F.to_json(F.struct(F.struct("schemas").alias("components"), "paths"))
+    return both.select(F.col("p_brand").alias("api"), F.when(F.length("p_brand") % 2 == 0, v2).otherwise(v3).alias("doc"))
 
 
 @query(
     "api_columns",
     "I12 I13",
-    """SELECT CAST(page_id AS VARCHAR) AS api, 'pages' AS "table", c AS "column", CASE c WHEN 'url' THEN 'string' ELSE 'integer' END AS type, '' AS format, c = 'id' AS required, '' AS description
-FROM pages, (SELECT unnest(['id', 'url', 'size']) AS c)""",
+    """WITH c AS (SELECT p_brand AS api, p_type AS "table", p_name AS "column", count(*) % 3 AS n, max(p_size) AS hi, min(p_size) AS lo FROM part GROUP BY 1, 2, 3)
+SELECT api, "table", "column", CASE n WHEN 0 THEN 'integer' WHEN 1 THEN 'string' ELSE '' END AS type, CASE WHEN n = 1 THEN 'size' || hi ELSE '' END AS format,
+lo <= 10 AS required, CASE WHEN hi > 20 THEN "column" || ' up to ' || hi ELSE '' END AS description FROM c""",
 )
 def api_columns(spark, sf):
     return doc.api_columns(doc.api_schemas(api_documents(spark, sf), "api", "doc"), "api")
 
 
-def api_documents(spark, sf):
-    props = '{"pages": {"required": ["id"], "properties": {"id": {"type": "integer"}, "url": {"type": "string"}, "size": {"type": "integer"}}}}'
-    paths = '"paths": {"/pages": {"get": {"summary": "list", "operationId": "a"}, "post": {"summary": ""}, "parameters": [1]}}'
-    v2 = F.lit(f'{{"definitions": {props}, {paths}}}')
-    v3 = F.lit(f'{{"components": {{"schemas": {props}}}, {paths}}}')
-    return table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("api"), F.when(F.col("page_id") % 2 == 0, v2).otherwise(v3).alias("doc"))
-
-
 @query(
     "api_operations",
     "I14",
-    """SELECT CAST(page_id AS VARCHAR) AS api, m AS method, '/pages' AS path, CASE m WHEN 'GET' THEN 'list' ELSE '' END AS summary, CASE m WHEN 'GET' THEN 'a' ELSE '' END AS operation_id
-FROM pages, (SELECT unnest(['GET', 'POST']) AS m)""",
+    """WITH o AS (SELECT p_brand AS api, '/' || p_type AS path, p_size % 8 AS m, min(p_name) AS summary, count(*) AS n, max(p_partkey) AS k FROM part GROUP BY 1, 2, 3)
+SELECT api, ['GET', 'POST', 'PUT', 'PATCH', 'DELETE', 'HEAD'][m + 1] AS method, path, summary, CASE WHEN n > 2 THEN 'op' || k ELSE '' END AS operation_id FROM o WHERE m < 6""",
 )
 def api_operations(spark, sf):
     return doc.api_operations(api_documents(spark, sf), "api", "doc")
