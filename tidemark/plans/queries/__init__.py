@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("flows", "series", "status", "links", "texts", "landing", "ordered")
+MODULES = ("flows", "series", "status", "links", "texts", "landing", "ordered", "themes")
 
 
 def load_all():
