@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
 from tidemark.functions.quantiles import LINEAR, NEAREST, array_median, bounded_nearest, column_quantiles, group_quantiles
-from tidemark.functions.ranks import earliest, hash_positions, latest
+from tidemark.functions.ranks import earliest, hash_positions, latest, value_positions
+from tidemark.operators.resample import spearman
 
 
 def linear(xs, q):
@@ -110,3 +111,23 @@ def test_null_rules(spark):
     assert [x[0] for x in df.select(c.clean_round("v")).collect()] == [1.0, None, None]
     joined = c.join_same(df, df.select("k", F.lit(5).alias("z")).distinct(), ["k"])
     assert joined.count() == 3
+
+
+def test_value_positions_part_ties_and_place_nulls_first(spark):
+    rows = [(None if i % 50 == 0 else i % 3, (i * 7919) % 4_001) for i in range(4_001)]
+    df = spark.createDataFrame(rows, "v int, t int")
+    got = {(r["v"], r["t"]): r["pos"] for r in value_positions(df, ["v", "t"]).collect()}
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert got == {r: i for i, r in enumerate(want)}
+    assert value_positions(df.where("t < 0"), ["v", "t"]).count() == 0
+
+
+def test_rank_correlation_of_a_million_pairs_has_no_single_task(spark):
+    df = spark.range(1_000_000).select(F.col("id"), F.pmod(F.xxhash64("id"), F.lit(1000)).alias("x"), (F.pmod(F.xxhash64("id"), F.lit(1000)) + F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000))).alias("y"))
+    out = spearman(df, [], "id", "x", "y", reps=0)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number()" in plan and all("[__part" in line for line in plan.splitlines() if "row_number()" in line)
+    p = df.toPandas().sort_values("id")
+    want = p["x"].rank(method="first").corr(p["y"].rank(method="first"))
+    got = out.first()
+    assert got["n"] == 1_000_000 and abs(got["rho"] - want) < 1e-9

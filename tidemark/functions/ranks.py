@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import join_same
+from tidemark.sources.staging import staged
 
 
 def hash_positions(df: DataFrame, ident: str, by: Sequence[str] = (), pos: str = "pos", n: str = "n") -> DataFrame:
@@ -34,6 +35,24 @@ def hash_positions(df: DataFrame, ident: str, by: Sequence[str] = (), pos: str =
     )
 
 
+def value_positions(df: DataFrame, order: Sequence[str], pos: str = "pos", n: str = "n") -> DataFrame:
+    """Dense positions ``0..n-1`` of all rows in the order of columns (null first), without ordering them in one task.
+
+    Rows are cut into even ranges of the whole order, so ties of the first column part at the next ones; a row's
+    position is the offset of its range plus its place in it.  The ranges are written once, as their edges come from
+    samples.  Rows that are equal in all of ``order`` are placed in any order among themselves and stay in one range.
+    """
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = staged(df.repartitionByRange(ranges, *[F.col(c) for c in order]).withColumn("__part", F.spark_partition_id()))
+    sizes = cut.groupBy("__part").agg(F.count(F.lit(1)).alias("__m"))
+    # a row per range
+    all_ranges = Window.partitionBy(F.lit(1))
+    offsets = sizes.select("__part", F.sum("__m").over(all_ranges).alias(n), (F.sum("__m").over(all_ranges.orderBy("__part")) - F.col("__m")).alias("__o"))
+    place = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    return cut.withColumn(pos, place).join(F.broadcast(offsets), "__part").withColumn(pos, F.col("__o") + F.col(pos) - 1).drop("__part", "__o")
+
+
 def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None) -> DataFrame:
     """First ``n`` rows per group; Spark trims every partition to ``n`` rows before the shuffle."""
     if not keys and rank is None:

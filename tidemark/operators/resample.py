@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import attach, join_same
 from tidemark.functions.draws import draw
 from tidemark.functions.quantiles import LINEAR, array_median, with_quantiles
-from tidemark.functions.ranks import hash_positions
+from tidemark.functions.ranks import hash_positions, value_positions
+from tidemark.sources.staging import staged
 
 REPS = 1000
 BLOCK = 3
@@ -165,6 +166,10 @@ def _rank_corr(df: DataFrame, keys: Sequence[str], x: str, y: str, tie: str) ->
         F.row_number().over(w.orderBy(x, tie)).alias("rx"),
         F.row_number().over(w.orderBy(y, tie)).alias("ry"),
     )
+    return _corr_of_ranks(ranked, keys)
+
+
+def _corr_of_ranks(ranked: DataFrame, keys: Sequence[str]) -> DataFrame:
     return ranked.groupBy(*keys).agg(
         F.corr(F.col("rx").cast("double"), F.col("ry").cast("double")).alias("rho"), F.count(F.lit(1)).alias("n")
     )
@@ -182,22 +187,25 @@ def spearman(
 ) -> DataFrame:
     """Rank correlation (ordinal ranks, ties by position) per series with a pairs bootstrap interval.
 
-    ``position`` orders the pairs of one series (a year or month), which bounds a group by the calendar.
+    ``position`` orders the pairs of one series (a year or month), which bounds a group by the calendar.  Without keys
+    the whole table is one series of any length, whose ranks come from ranges of values.
     """
     keys = list(keys)
     whole = not keys
-    if whole:
-        keys, df = ["__one"], df.withColumn("__one", F.lit(1))
     ok = F.col(x).isNotNull() & F.col(y).isNotNull()
-    w = Window.partitionBy(*keys)
-    pairs = df.where(ok).select(
-        *keys,
-        (F.row_number().over(w.orderBy(position)) - 1).cast("bigint").alias("i"),
-        F.count(F.lit(1)).over(w).alias("n"),
-        F.col(x).cast("double").alias("x"),
-        F.col(y).cast("double").alias("y"),
-    )
-    head = _rank_corr(pairs, keys, "x", "y", "i").withColumn("rho", F.when(F.col("n") >= min_points, F.col("rho")))
+    values = [F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")]
+    if whole:
+        keys = ["__one"]
+        placed = value_positions(df.where(ok).select(F.lit(1).alias("__one"), F.col(position).alias("__at"), *values), ["__at"], "i")
+        pairs = staged(placed.drop("__at"))
+        ranked = value_positions(value_positions(pairs, ["x", "i"], "rx", "__n").drop("__n"), ["y", "i"], "ry", "__n")
+        head = _corr_of_ranks(ranked, keys)
+    else:
+        w = Window.partitionBy(*keys)
+        number = (F.row_number().over(w.orderBy(position)) - 1).cast("bigint").alias("i")
+        pairs = df.where(ok).select(*keys, number, F.count(F.lit(1)).over(w).alias("n"), *values)
+        head = _rank_corr(pairs, keys, "x", "y", "i")
+    head = head.withColumn("rho", F.when(F.col("n") >= min_points, F.col("rho")))
     if reps:
         draws = (
             pairs.where(F.col("n") >= min_points)
