@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
+#: Spark gives back the shuffle files of a statement as soon as it has ended
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def staging_dir(spark: SparkSession) -> str:
@@ -24,8 +26,17 @@ def staging_dir(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """Write an aggregate that later steps read several times, and read it back."""
+    """Write an aggregate that later steps read several times, and read it back.
+
+    Shuffle files of the write are given back at its end: nothing reads them again, and a job of many steps would
+    otherwise keep those of every step until the driver happens to collect its garbage.
+    """
     spark = df.sparkSession
     path = f"{staging_dir(spark)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_RELEASE, "false")
+    spark.conf.set(_RELEASE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_RELEASE, before)
     return spark.read.schema(df.schema).parquet(path)
