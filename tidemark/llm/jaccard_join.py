@@ -95,7 +95,7 @@ def _count_table(rows: DataFrame, size: int) -> np.ndarray:
 
     parts = sent(rows.select("text")).mapInArrow(run, "slot int, counts binary").groupBy("slot").applyInArrow(add, "slot int, counts binary")
     out = np.zeros(TABLE, np.uint8)
-    for row in parts.toLocalIterator():  # a row per slot
+    for row in staged(parts).toLocalIterator():  # a row per slot
         out[row.slot * width : (row.slot + 1) * width] = np.frombuffer(row.counts, np.uint8)
     return out
 
