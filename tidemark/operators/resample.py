@@ -9,13 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tidemark.functions.columns import attach, join_same
 from tidemark.functions.draws import draw
 from tidemark.functions.quantiles import LINEAR, array_median, with_quantiles
 from tidemark.functions.ranks import hash_positions, value_positions
+from tidemark.functions.slopes import median_pairwise_slope
 from tidemark.sources.staging import staged
 
 REPS = 1000
@@ -52,6 +55,29 @@ def theil_sen(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     )
 
 
+def theil_sen_long(df: DataFrame, keys: Sequence[str], x: str, y: str, min_points: int = 3) -> DataFrame:
+    """Median of pairwise slopes per series for series of many points: n log n, no list of pairs.
+
+    Returns ``(keys…, n, slope)`` as :func:`theil_sen` does, which holds every pair of a series at once and is meant for
+    years and months.  Here a task holds the points of one series, which the calendar bounds (a century of days is 36 525).
+    Rows without ``x`` or ``y`` are left out, null keys form a series, fewer than ``min_points`` points or equal ``x``
+    only give null, and an empty table gives no rows.
+    """
+    ok = F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(F.col(x).cast("double")) & ~F.isnan(F.col(y).cast("double"))
+    names = [f"__k{i}" for i in range(len(keys))]
+    rows = df.where(ok).select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y"))
+    out = StructType([rows.schema[n] for n in names] + [StructField("n", LongType()), StructField("slope", DoubleType())])
+
+    def fit(key: tuple, series: pa.Table) -> pa.Table:
+        px, py = (series.column(c).to_numpy() for c in ("__x", "__y"))
+        slope = median_pairwise_slope(px, py) if len(px) >= min_points else None
+        held = {n: pa.array([k.as_py()], k.type) for n, k in zip(names, key)}
+        return pa.table(held | {"n": pa.array([len(px)], pa.int64()), "slope": pa.array([slope], pa.float64())})
+
+    found = rows.groupBy(*names).applyInArrow(fit, out)
+    return found.select(*[F.col(n).alias(k) for k, n in zip(keys, names)], "n", "slope")
+
+
 def trend(
     df: DataFrame,
     keys: Sequence[str],

@@ -159,6 +159,21 @@ def theil_sen_slope(spark, sf):
     return rounded(rs.theil_sen(orders_by_segment(spark, sf), ["seg"], "x", "y"))
 
 
+@query(
+    "theil_sen_days",
+    "C07 C16",
+    """WITH o AS (SELECT l_returnflag AS flag, date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE)) AS x, sum(l_quantity) AS y FROM lineitem GROUP BY 1, 2),
+s AS (SELECT a.flag, median((b.y - a.y) / (b.x - a.x)) AS slope FROM o a JOIN o b ON a.flag = b.flag AND a.x < b.x GROUP BY 1),
+n AS (SELECT flag, count(*) AS n FROM o GROUP BY 1)
+SELECT n.flag, n.n, round(s.slope, 6) AS slope FROM n LEFT JOIN s ON n.flag = s.flag""",
+)
+def theil_sen_days(spark, sf):
+    """Trend of daily quantities: millions of pairs a series, none of them listed."""
+    li = table(spark, sf, "lineitem")
+    days = li.groupBy(F.col("l_returnflag").alias("flag"), F.date_diff(F.col("l_shipdate").cast("date"), F.lit("1990-01-01").cast("date")).alias("x")).agg(F.sum("l_quantity").alias("y"))
+    return rounded(rs.theil_sen_long(days, ["flag"], "x", "y"))
+
+
 @query(
     "block_bootstrap_trend",
     "C08 B02",
