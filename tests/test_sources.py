@@ -91,6 +91,22 @@ def test_jsonstat(spark):
     assert jsonstat.cells(m, "k", "doc").first()["cells"] == 2
 
 
+def test_sparse_cube_of_many_cells(spark):
+    side = 300
+    codes = [f"c{k}" for k in range(side)]
+    dimension = {d: {"category": {"index": codes}} for d in "AB"}
+    filled = {str(k): k / 4 for k in range(0, side * side, 3)} | {"x": 1, "90000": 2, "-1": 3, "07": 4}
+    docs = [("s", {"value": filled, "status": {"4": "e"}}), ("none", {"value": {}}), ("short", {"value": [5]}), ("null", {})]
+    df = spark.createDataFrame([(k, json.dumps({"dimension": dimension} | d)) for k, d in docs], "k string, doc string")
+    cells = jsonstat.flatten(df, "doc", ["A", "B"], ["k"])
+    got = {r["k"]: r for r in cells.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("filled"), F.sum("value").alias("total"), F.count("status").alias("states")).collect()}
+    assert {k: r["n"] for k, r in got.items()} == dict.fromkeys(("s", "none", "short", "null"), side * side)
+    assert got["s"]["filled"] == side * side // 3 and got["s"]["total"] == sum(range(0, side * side, 3)) / 4 and got["s"]["states"] == 1
+    assert got["none"]["filled"] == got["null"]["filled"] == 0 and got["short"]["filled"] == 1
+    some = cells.where("k = 's' and A = 'c2'").where(F.col("B").isin("c0", "c3", "c4")).orderBy("B").collect()
+    assert [(r["B"], r["value"]) for r in some] == [("c0", 150.0), ("c3", 150.75), ("c4", None)]
+
+
 def test_csv_and_documents(spark, tmp_path):
     df = spark.createDataFrame([("a", None, 1), ("b", "q", 2)], "x string, y string, z int")
     sinks.write_csv(df, str(tmp_path / "c"), ["y", "x", "w"])

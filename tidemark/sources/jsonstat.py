@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import let
+
 META = "struct<title:string,variables:array<struct<code:string,text:string,elimination:boolean,time:boolean,values:array<string>,valueTexts:array<string>>>>"
 
 
@@ -44,8 +46,6 @@ def _codes(doc: str, dim: str) -> Column:
     return F.when(F.trim(text).startswith("["), F.from_json(text, "array<string>")).otherwise(ordered)
 
 
-
-
 def dimension_labels(df: DataFrame, ident: str, doc: str, dims: Sequence[str]) -> DataFrame:
     """``(ident, dim, code, label)`` of the given dimensions."""
     parts = [
@@ -56,32 +56,55 @@ def dimension_labels(df: DataFrame, ident: str, doc: str, dims: Sequence[str]) -
     return rows.select(ident, "dim", F.col("e.key").alias("code"), F.col("e.value").alias("label"))
 
 
+def _in_order(text: Column, kind: str, n: Column) -> Column:
+    """Values of a list, or of a map from cell number to value, as an array in cell order; gaps are null.
+
+    Map entries are ordered once and the gaps between neighbours filled, so the work grows with cells and entries and no
+    cell searches the map.  Entries that name no cell are left out.
+    """
+    entries = F.transform(
+        F.map_entries(F.from_json(F.when(F.trim(text).startswith("{"), text), f"map<string,{kind}>")),
+        lambda e: F.struct(e["key"].try_cast("bigint").alias("i"), e["key"].alias("k"), e["value"].alias("v")),
+    )
+    named = F.filter(entries, lambda e: (e["i"].cast("string") == e["k"]) & (e["i"] >= 0) & (e["i"] < n))
+
+    def filled(ordered: Column) -> Column:
+        def piece(e: Column, k: Column) -> Column:
+            gap = e["i"] - F.coalesce(F.get(ordered, k - 1)["i"], F.lit(-1)) - 1
+            return F.concat(F.array_repeat(F.lit(None).cast(kind), gap.cast("int")), F.array(e["v"]))
+
+        return F.flatten(F.transform(ordered, piece))
+
+    listed = F.from_json(F.when(F.trim(text).startswith("["), text), f"array<{kind}>")
+    return F.slice(F.coalesce(listed, let(F.array_sort(named), filled), F.array().cast(f"array<{kind}>")), F.lit(1), n.cast("int"))
+
+
 def flatten(df: DataFrame, doc: str, dims: Sequence[str], ident: Sequence[str] = ()) -> DataFrame:
     """One row per cell with its dimension codes, value and status; dense and sparse values alike.
 
     The last dimension varies fastest, so a cell number is split by division and remainder instead of
-    crossing the dimensions.  ``dims`` is the cube's ``id`` list, in order.
+    crossing the dimensions.  ``dims`` is the cube's ``id`` list, in order.  Cells without a value or status have null,
+    a cube with an empty dimension has no cells.
     """
-    v, st = F.get_json_object(doc, "$.value"), F.get_json_object(doc, "$.status")
     base = df.select(
         *ident,
         *[_codes(doc, d).alias(f"__d{i}") for i, d in enumerate(dims)],
-        F.from_json(F.when(F.trim(v).startswith("["), v), "array<double>").alias("__dense"),
-        F.from_json(F.when(F.trim(v).startswith("{"), v), "map<string,double>").alias("__sparse"),
-        F.from_json(F.when(F.trim(st).startswith("{"), st), "map<string,string>").alias("__status"),
+        F.get_json_object(doc, "$.value").alias("__value"),
+        F.get_json_object(doc, "$.status").alias("__status"),
     )
     sizes = [F.size(f"__d{i}").cast("bigint") for i in range(len(dims))]
     total = F.lit(1).cast("bigint")
     for s in sizes:
         total = total * s
-    cell = base.withColumn("__n", total).where(F.col("__n") > 0).withColumn(
-        "__i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__n") - 1))
+    n = F.col("__n")
+    numbers = F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), n - 1))
+    values, states = _in_order(F.col("__value"), "double", n), _in_order(F.col("__status"), "string", n)
+    cell = base.withColumn("__n", total).where(n > 0).withColumn(
+        "__c", F.explode(F.arrays_zip(numbers.alias("i"), values.alias("v"), states.alias("s")))
     )
     out, stride = [], F.lit(1).cast("bigint")
     for i in reversed(range(len(dims))):
-        at = (F.floor(F.col("__i") / stride) % sizes[i] + 1).cast("int")
+        at = (F.floor(F.col("__c.i") / stride) % sizes[i] + 1).cast("int")
         out.insert(0, F.element_at(f"__d{i}", at).alias(dims[i].replace("\u00a0", " ")))
         stride = stride * sizes[i]
-    key = F.col("__i").cast("string")
-    value = F.coalesce(F.try_element_at("__dense", (F.col("__i") + 1).cast("int")), F.try_element_at("__sparse", key))
-    return cell.select(*ident, *out, value.alias("value"), F.try_element_at("__status", key).alias("status"))
+    return cell.select(*ident, *out, F.col("__c.v").alias("value"), F.col("__c.s").alias("status"))
