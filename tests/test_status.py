@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import composition as comp
 from tidemark.operators import linkage as lk
 from tidemark.operators import transition as tr
 from tidemark.plans import water
@@ -143,3 +144,11 @@ def test_paired_ends_gates(spark):
     assert (r["first_from"], r["first_to"], r["last_from"], r["last_to"]) == (2010, 2012, 2013, 2015)
     assert tr.paired_ends(df.where("y < 2015"), ["k"], "s", "y", "v").count() == 0
     assert tr.paired_ends(df.where("s < 'c'"), ["k"], "s", "y", "v").count() == 0
+
+
+def test_null_member_among_the_largest(spark):
+    df = spark.createDataFrame([(1, None, 9.0), (1, "a", 5.0), (2, None, 1.0), (2, "b", 2.0), (2, "c", 1.0)], "y int, m string, v double")
+    got = {(r["y"], r["m"]): r["total"] for r in comp.fold_rest(df, ["y"], "m", "v", 2).collect()}
+    assert got == {(1, None): 9.0, (1, "a"): 5.0, (2, None): 1.0, (2, "other"): 3.0}
+    named = {(r["y"], r["m"]): r["total"] for r in comp.fold_rest(df, ["y"], "m", "v", 1, missing="unknown").collect()}
+    assert named == {(1, "unknown"): 9.0, (1, "other"): 5.0, (2, "unknown"): 1.0, (2, "other"): 3.0}

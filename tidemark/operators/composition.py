@@ -59,7 +59,8 @@ def fold_rest(
 ) -> DataFrame:
     """Series of the ``n`` largest members, everything else folded into ``other``.
 
-    Rows are summed per key and member first; the ranking and the fold work on that aggregate.
+    Rows are summed per key and member first; the ranking and the fold work on that aggregate.  A null member is a member
+    like any other (or ``missing``, where that is given); one of the name ``other`` is counted with the rest.
     """
     m = F.coalesce(F.col(member), F.lit(missing)) if missing else F.col(member)
     sums = df.groupBy(*keys, m.alias("__member")).agg(sum0(value).alias("total"))
@@ -67,7 +68,7 @@ def fold_rest(
     if positive_only:
         ranked = ranked.where(F.col("__t") > 0)
     top = ranked.orderBy(F.desc("__t"), F.asc("__member")).limit(n).select("__member", F.lit(True).alias("__keep"))
-    named = sums.join(F.broadcast(top), "__member", "left").withColumn(
+    named = join_same(sums, F.broadcast(top), ["__member"], "left").withColumn(
         member, F.when(F.col("__keep"), F.col("__member")).otherwise(other)
     )
     return named.groupBy(*keys, member).agg(F.sum("total").alias("total"))
