@@ -6,6 +6,7 @@ import random
 import pytest
 
 from tidemark.operators import ordered_joins as oj
+from tidemark.plans.queries import load_all
 
 
 @pytest.mark.parametrize("strict", [False, True])
@@ -45,3 +46,15 @@ def test_range_join(spark):
     assert sorted((r.id, r.span) for r in joined.collect()) == want and want
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert "BroadcastExchange" not in plan
+
+
+def test_orders_open_at_broadcasts_no_orders(spark, tmp_path):
+    day = lambda k: datetime.datetime(2024, 1, k)
+    orders = [(1, 7, "F", day(1)), (2, 7, "O", day(3)), (3, 7, "F", day(9)), (4, 8, "F", day(2)), (5, None, "F", day(2))]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, day(4)), (1, day(2)), (3, day(9)), (9, day(1))], "l_orderkey long, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = load_all()["orders_open_at"].run(spark, str(tmp_path))
+    # order 1 is open on days 1 to 4, order 2 from day 3 on, order 3 on day 9; order 4 has no lines and stays open
+    assert {r.o_custkey: (r.pairs, r.still_open, r.orders) for r in found.collect()} == {7: (5, 2, 3), 8: (1, 1, 1)}
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()

@@ -76,7 +76,9 @@ def range_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str], at:
     match nothing.  Columns other than the keys must have unlike names.
 
     An interval of length up to ``2 ** level`` lies in one or two cells of that width, and a point in one cell of each
-    level that occurs (at most 63, typically few): an equi join on key, level and cell, then the exact test.
+    level that occurs (at most 63, typically few): an equi join on key, level and cell, then the exact test.  The join
+    is a sort-merge join whatever the planner expects: it takes the size of compressed files for the size of their rows,
+    and a broadcast of all intervals would fill the driver.
     """
     keys = list(keys)
     lo = F.coalesce(_number(intervals, start), F.lit(-FAR))
@@ -91,7 +93,7 @@ def range_join(points: DataFrame, intervals: DataFrame, keys: Sequence[str], at:
     own = points.withColumn("__t", _number(points, at))
     probes = attach(own, levels).withColumn("__level", F.explode("__levels")).withColumn("__cell", F.expr("shiftright(__t, __level)")).drop("__levels", "__t")
     same = [F.col(k) == F.col(f"__k_{k}") for k in keys]
-    p, i = probes.alias("p"), dealt.alias("i")
+    p, i = probes.alias("p"), dealt.hint("merge").alias("i")
     cond = (F.col("p.__level") == F.col("i.__level")) & (F.col("p.__cell") == F.col("i.__cell"))
     for s in same:
         cond = cond & s

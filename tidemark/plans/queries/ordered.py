@@ -37,7 +37,8 @@ def orders_open_at(spark, sf):
     """Orders of a customer that are open on the day of each order; an unfinished order has no last day."""
     ends = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.to_date(F.max("l_shipdate")).alias("end"))
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("day"))
-    spans = orders.join(ends, "o_orderkey", "left").select(
+    # as many rows as there are orders: not for a broadcast, however small their files
+    spans = orders.join(ends.hint("merge"), "o_orderkey", "left").select(
         "o_custkey", F.col("o_orderkey").alias("open_order"), F.col("day").alias("first"), F.when(F.col("o_orderstatus") != "O", F.col("end")).alias("last")
     )
     met = oj.range_join(orders.select("o_custkey", "o_orderkey", "day"), spans, ["o_custkey"], "day", "first", "last")
