@@ -1,3 +1,5 @@
+import collections
+import hashlib
 import random
 import statistics
 
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import columns as c
 from tidemark.functions.quantiles import LINEAR, NEAREST, array_median, bounded_nearest, column_quantiles, group_quantiles
 from tidemark.functions.ranks import earliest, hash_positions, latest, value_positions
+from tidemark.operators import resample as rs
 from tidemark.operators.resample import spearman
 
 
@@ -131,3 +134,20 @@ def test_rank_correlation_of_a_million_pairs_has_no_single_task(spark):
     want = p["x"].rank(method="first").corr(p["y"].rank(method="first"))
     got = out.first()
     assert got["n"] == 1_000_000 and abs(got["rho"] - want) < 1e-9
+
+
+def test_draws_of_a_bootstrap_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(rs, "TASK_DRAWS", 1_000)
+    entities = [None, *range(1, 200)]
+    rows = spark.createDataFrame([(e, y) for e in entities for y in (1, 2)], "e long, y int")
+    found = rs.entity_weights(rows, [], "e", 100, 3).withColumn("task", F.spark_partition_id()).collect()
+    # 20 000 draws: no task holds more than a few thousand of them
+    held = collections.Counter()
+    for r in found:
+        held[r.task] += r.weight
+    assert len(held) >= 15 and max(held.values()) <= 4_000
+    # null has no md5 and comes first
+    order = sorted(entities, key=lambda e: (e is not None, hashlib.md5(str(e).encode()).hexdigest()))
+    drawn = collections.Counter((rep, order[int(hashlib.md5(f"3|{rep}|{p}".encode()).hexdigest()[:15], 16) % 200]) for rep in range(100) for p in range(200))
+    want = {k: v for k, v in drawn.items() if k[1] is not None}
+    assert {(r.rep, r.e): r.weight for r in found if r.e is not None} == want

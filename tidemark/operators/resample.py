@@ -23,6 +23,8 @@ from tidemark.sources.staging import staged
 
 REPS = 1000
 BLOCK = 3
+#: draws of a bootstrap over entities that one task makes or counts, about
+TASK_DRAWS = 500_000
 NATIONAL_SEED, TREND_SEED, RANK_SEED = 20260205, 7, 11
 
 
@@ -126,22 +128,42 @@ def trend(
     return join_same(head, reps_slopes.groupBy(*keys).agg(*band), keys, "left")
 
 
+def _placed(df: DataFrame, by: Sequence[str], entity: str) -> DataFrame:
+    """Positions of the entities, written once: the draws and what is drawn both read them."""
+    return staged(hash_positions(df.select(*by, entity).distinct(), entity, by))
+
+
+def _drawn(placed: DataFrame, by: Sequence[str], reps: int, seed: int) -> DataFrame:
+    """``(by…, rep, pos, weight)``: how often each position is drawn in each replicate.
+
+    The few bytes of an entity become ``reps`` draws, which the planner does not foresee: tasks are numbered by draws,
+    ``TASK_DRAWS`` each, when positions are dealt and again when draws are counted.
+    """
+    tasks = max(int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-placed.count() * reps // TASK_DRAWS))
+    return (
+        placed.select(*by, "pos", "n")
+        .repartition(tasks, *by, "pos")
+        .withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
+        .select(*by, "rep", draw(seed, "rep", "pos", "n").alias("pos"))
+        .repartition(tasks, *by, "pos")
+        .groupBy(*by, "rep", "pos")
+        .agg(F.count(F.lit(1)).alias("weight"))
+    )
+
+
+def _at_positions(drawn: DataFrame, rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Draws with the rows at their positions; without ``by`` the draws stay in the tasks that counted them."""
+    return join_same(drawn, rows, [*by, "pos"]) if by else drawn.join(rows.hint("merge"), "pos")
+
+
 def entity_weights(df: DataFrame, by: Sequence[str], entity: str, reps: int, seed: int) -> DataFrame:
     """``(by…, rep, entity, weight)``: how often each entity is drawn in each replicate.
 
     Position ``p`` emits draw number ``p`` of every replicate, so draws are spread like the entities and are
-    combined before the shuffle; nothing grows with the square of the number of entities.
+    counted by the position they hit; nothing grows with the square of the number of entities.
     """
-    placed = hash_positions(df.select(*by, entity).distinct(), entity, by)
-    drawn = (
-        placed.select(*by, "pos", "n", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"))
-        .withColumn("__hit", draw(seed, "rep", "pos", "n"))
-        .groupBy(*by, "rep", "__hit")
-        .agg(F.count(F.lit(1)).alias("weight"))
-    )
-    return join_same(
-        drawn.withColumnRenamed("__hit", "pos"), placed.select(*by, "pos", entity), [*by, "pos"]
-    ).drop("pos")
+    placed = _placed(df, by, entity)
+    return _at_positions(_drawn(placed, by, reps, seed), placed.select(*by, "pos", entity), by).select(*by, "rep", "weight", entity)
 
 
 def entity_bootstrap(
@@ -149,9 +171,11 @@ def entity_bootstrap(
 ) -> DataFrame:
     """95 % interval of the mean over entities per period, entities resampled as a whole."""
     rows = df.where(F.col(value).isNotNull())
-    weights = entity_weights(rows, by, entity, reps, seed)
+    placed = _placed(rows, by, entity)
+    # rows go to their entity's position, so that the draws, which are many more, are not dealt again by entity
+    own = join_same(rows.select(*by, entity, period, value), placed.select(*by, entity, "pos"), [*by, entity])
     means = (
-        join_same(rows.select(*by, entity, period, value), weights, [*by, entity])
+        _at_positions(_drawn(placed, by, reps, seed), own.select(*by, "pos", period, value), by)
         .groupBy(*by, period, "rep")
         .agg((F.sum(F.col("weight") * F.col(value)) / F.sum("weight")).alias("m"))
     )
