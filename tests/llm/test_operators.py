@@ -302,6 +302,32 @@ def test_toxicity_learns_marker_words(spark):
     assert len({r.score for r in toxicity.score(frame, alone).collect()}) == 1
 
 
+def test_toxicity_uses_every_labelled_row(spark, monkeypatch):
+    """Each shard's rows and words of any place in a text count, and so do rows beyond any number."""
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 40)
+    monkeypatch.setattr(toxicity, "SHARD_LEAST", 10)
+    monkeypatch.setattr(toxicity, "STEPS", 200)
+    rng = np.random.default_rng(3)
+    docs = [(k, " ".join(f"w{x}" for x in rng.integers(0, 50, 30)) + (" vile" if k % 6 == 0 else ""), "en", int(k % 6 == 0)) for k in range(300)]
+    # the only texts with the second marker are longer than a sample's rows were
+    docs += [(k, "w1 " * 21_000 + "foul", "en", 1) for k in range(300, 316)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, toxic int")
+    ids = frame.selectExpr("doc_id", "toxic as label")
+    rows = toxicity.labelled_words(frame.drop("toxic"), ids.where("doc_id % 2 = 0").unionByName(ids.where("doc_id = 4"))).cache()
+    assert rows.count() == 159 and sorted(len(r.words) // 4 for r in rows.collect()) == sorted(len(t.split()) for k, t, *_ in [*docs, docs[4]] if k % 2 == 0)
+    learn = toxicity.labelled_words(frame.drop("toxic"), ids).where("not held").cache()
+    sizes = [learn.where(f"label = {c}").count() for c in (0, 1)]
+    known = toxicity.vocabulary(learn, 4)
+    assert {zlib.crc32(w) for w in (b"vile", b"foul", b"w1")} <= set(known.tolist())
+    packed = toxicity.shards(learn, known, sizes, 0).collect()
+    assert len(packed) == -(-sizes[0] // 40) and sum(r.labels.count(0) for r in packed) == sizes[0]
+    assert all(r.labels.count(1) and len(r.labels) == len(r.sizes) // 8 and sum(np.frombuffer(r.sizes, np.int64)) == len(r.words) // 4 for r in packed)
+    short = frame.where("doc_id < 300")
+    model = toxicity.train(short, short, F.lit(True))
+    got = {r.doc_id: r.score for r in toxicity.score(short, model).collect()}
+    assert np.mean([(got[k] >= 0.5) == bool(y) for k, _, _, y in docs[:300]]) > 0.95
+
+
 def test_url_rules(spark):
     urls = [None, "nothing", "http://x.example.com/en/a?b", "http://WWW.Example.com/en/", "https://badexample.com/en/", "http://a.net/es", "http://a.net/es/#x", "http://com/x", "http://x.org/ads/banner.gif"]
     frame = spark.createDataFrame([(k, u, "x") for k, u in enumerate(urls)], "page_id long, url string, rule string")

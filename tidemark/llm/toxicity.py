@@ -1,28 +1,38 @@
-"""Toxicity (8): hashed word embeddings, filters of several widths, max pooling; trained in numpy, thresholds by language."""
+"""Toxicity (8): hashed word embeddings, filters of several widths, max pooling; thresholds by language.
+
+Training reads every usable label.  Rows are dealt into shards of a bounded size; in each round every shard takes the
+common weights some steps further in its own task, and their mean is where the next round begins.
+"""
 
 from __future__ import annotations
 
+import copy
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import map_arrow, pick, texts_of
+from tidemark.llm._common import map_arrow, pick, staged, texts_of
 
 WIDTHS = (1, 2, 3)
 EMBEDDING = 16
 FILTERS = 12
-#: labelled rows that training reads at most (by a hash of the id) of label 1 and of label 0, and the words of one such row
-SAMPLE_ROWS = 2_000
-REST_ROWS = 4 * SAMPLE_ROWS
-SAMPLE_WORDS = 20_000
+#: rows of a class and words that a shard holds, about, and the least rows of the rarer class, which is dealt into fewer parts
+SHARD_ROWS, SHARD_WORDS, SHARD_LEAST = 6_000, 4_000_000, 500
+#: labelled ids go into a bitmap of this many places, so that other documents are not moved
+PLACES = 1 << 25
 #: words that are scored at one time; longer texts are cut into overlapping pieces whose maxima are joined
 PIECE_WORDS = 50_000
 STEPS, BATCH, RATE = 1000, 64, 0.005
+#: times that the shards' weights are joined, numbers of the weights that one row holds on the way
+ROUNDS, CHUNK = 8, 4_096
+#: scores are counted in cells of this share of a unit of their logit
+CELLS = 1_024
 EMBEDDING_RATE, DECAY = 1.0, 0.001
 #: a word gets an embedding from so many texts on, as a share of the smaller class
 LEAST_SHARE = 0.01
@@ -111,14 +121,10 @@ class Model:
 
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:
         """Scores of whole texts from 0 to 1; pieces of long texts overlap by the widest filter."""
-        owner, pieces = [], []
-        for k, t in enumerate(texts):
-            for at in range(0, max(len(t) - GAP, 1), PIECE_WORDS):
-                owner.append(k)
-                pieces.append(t[at : at + PIECE_WORDS + GAP])
+        owner, pieces = _pieces(texts)
         best = np.full((len(texts), len(self.out)), -np.inf, np.float32)
         for group in _groups(pieces):
-            np.maximum.at(best, np.array(owner)[group], self.pooled([pieces[k] for k in group])[0])
+            np.maximum.at(best, owner[group], self.pooled([pieces[k] for k in group])[0])
         return 1 / (1 + np.exp(-np.clip(self.logits(best), -30, 30)))
 
 
@@ -134,130 +140,300 @@ def _groups(pieces: list[np.ndarray]) -> Iterator[list[int]]:
         yield held
 
 
-class _Adam:
-    """Steps of the dense weights."""
+def _weights(model: Model) -> dict[str, np.ndarray]:
+    """The dense weights by name."""
+    return {f"filter{w}": model.filters[w] for w in WIDTHS} | {f"bias{w}": model.bias[w] for w in WIDTHS} | {"out": model.out}
+
+
+@dataclass
+class _Fit:
+    """A model on the way: its weights and what Adam keeps of their slopes (``out_bias`` is held beside the model)."""
 
-    def __init__(self, rate: float):
-        self.rate, self.state, self.t = rate, {}, 0
+    model: Model
+    out_bias: np.ndarray
+    m: dict[str, np.ndarray]
+    v: dict[str, np.ndarray]
+    t: int = 0
 
-    def step(self, weights: dict[str, np.ndarray], grads: dict[str, np.ndarray]) -> None:
+    @classmethod
+    def new(cls, known: np.ndarray, seed: int) -> _Fit:
+        model = Model.new(known, seed)
+        bias = np.zeros(1, np.float32)
+        zeros = lambda: {k: np.zeros_like(w) for k, w in (_weights(model) | {"out_bias": bias}).items()}
+        return cls(model, bias, zeros(), zeros())
+
+    def arrays(self) -> list[np.ndarray]:
+        dense = _weights(self.model) | {"out_bias": self.out_bias}
+        return [self.model.embedding, *dense.values(), *(self.m[k] for k in dense), *(self.v[k] for k in dense)]
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([a.ravel() for a in self.arrays()])
+
+    def put(self, flat: np.ndarray) -> None:
+        at = 0
+        for a in self.arrays():
+            a[...] = flat[at : at + a.size].reshape(a.shape)
+            at += a.size
+
+    def step(self, grads: dict[str, np.ndarray]) -> None:
+        """A step of Adam on the dense weights."""
         self.t += 1
-        for name, g in grads.items():
-            m, v = self.state.setdefault(name, (np.zeros_like(g), np.zeros_like(g)))
+        for name, w in (_weights(self.model) | {"out_bias": self.out_bias}).items():
+            m, v, g = self.m[name], self.v[name], grads[name]
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
-            weights[name] -= self.rate * (m / (1 - 0.9**self.t)) / (np.sqrt(v / (1 - 0.999**self.t)) + 1e-8)
+            w -= RATE * (m / (1 - 0.9**self.t)) / (np.sqrt(v / (1 - 0.999**self.t)) + 1e-8)
+        self.model.out_bias = float(self.out_bias[0])
+
+
+def _pieces(texts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Pieces of whole texts that overlap by the widest filter, and the text of each."""
+    found = [(k, t[at : at + PIECE_WORDS + GAP]) for k, t in enumerate(texts) for at in range(0, max(len(t) - GAP, 1), PIECE_WORDS)]
+    return np.array([k for k, _ in found], np.int64), [p for _, p in found]
+
+
+def _responses(model: Model, texts: list[np.ndarray]) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Largest response of every filter in every whole text, and the words (rows of the embedding) under it by width."""
+    best = np.full((len(texts), len(model.out)), -np.inf, np.float32)
+    under = {w: np.full((len(texts), FILTERS, w), len(model.rows), np.int64) for w in WIDTHS}
+    owner, pieces = _pieces(texts)
+    for group in _groups(pieces):
+        pooled, places, flat = model.pooled([pieces[k] for k in group], True)
+        for row, text in enumerate(owner[group]):
+            more = pooled[row] > best[text]
+            best[text, more] = pooled[row, more]
+            for n, w in enumerate(WIDTHS):
+                part = slice(n * FILTERS, (n + 1) * FILTERS)
+                at = np.minimum(places[row, part][more[part], None] + np.arange(w), len(flat) - 1)
+                under[w][text, more[part]] = flat[at]
+    return best, under
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, least_share: float = LEAST_SHARE, seed: int = 7) -> Model:
-    """Train on hashed texts: as many of either class in a batch, logistic loss, gradients at the pooled places only.
+def advance(state: _Fit, texts: list[np.ndarray], labels: np.ndarray, begin: int, steps: int, seed: list[int]) -> None:
+    """Train on texts of known words: as many of either class in a batch, logistic loss, gradients at the pooled places only.
 
-    Words of fewer texts than ``least_share`` of the smaller class teach chance only and get no embedding.  With one
-    class only, every text gets the same score: that class's.
+    Each class is gone through in one random order after another, so that all of its rows come up; ``begin`` is the
+    number of steps taken in earlier rounds.
     """
+    model, half = state.model, BATCH // 2
     classes = [np.flatnonzero(labels == c) for c in (0, 1)]
-    words, seen = np.unique(np.concatenate([np.zeros(0, np.uint32), *(np.unique(t) for t in texts)]), return_counts=True)
-    model = Model.new(words[seen >= max(4, least_share * min(map(len, classes)))], seed)
-    if not len(classes[0]) or not len(classes[1]):
-        model.out[:] = 0
-        model.out_bias = -5.0 if not len(classes[1]) else 5.0
-        return model
-    texts = [model.known(t) for t in texts]
-    rng, adam = np.random.default_rng(seed), _Adam(RATE)
-    for _ in range(STEPS):
-        rows = np.concatenate([rng.choice(c, BATCH // 2) for c in classes])
+    orders: dict[tuple[int, int], np.ndarray] = {}
+
+    def turn(c: int, k: int) -> int:
+        pass_no, at = divmod(k, len(classes[c]))
+        if (c, pass_no) not in orders:
+            orders[c, pass_no] = np.random.default_rng([*seed, c, pass_no]).permutation(classes[c])
+        return orders[c, pass_no][at]
+
+    for step in range(begin, begin + steps):
+        rows = np.array([turn(c, step * half + k) for c in (0, 1) for k in range(half)])
         want = labels[rows].astype(np.float32)
-        pooled, places, flat = model.pooled([texts[k] for k in rows], True)
+        pooled, under = _responses(model, [texts[k] for k in rows])
         off = (1 / (1 + np.exp(-np.clip(model.logits(pooled), -30, 30))) - want) / len(rows)
         kept = np.maximum(pooled, 0)
-        weights = {"out": model.out, "out_bias": np.array([model.out_bias], np.float32)}
         grads = {"out": kept.T @ off + 1e-4 * model.out, "out_bias": np.array([off.sum()], np.float32)}
         to_pooled = off[:, None] * model.out * (pooled > 0)
         touched, slopes = [], []
         for n, w in enumerate(WIDTHS):
-            part = slice(n * FILTERS, (n + 1) * FILTERS)
-            g, place = to_pooled[:, part], places[:, part]
-            weights |= {f"filter{w}": model.filters[w], f"bias{w}": model.bias[w]}
+            g = to_pooled[:, n * FILTERS : (n + 1) * FILTERS]
             grads[f"bias{w}"] = g.sum(axis=0)
             grad = 1e-4 * model.filters[w]
             for k in range(w):
-                at = np.minimum(place + k, len(flat) - 1)
-                words = flat[at]
+                words = under[w][:, :, k]
                 block = slice(k * EMBEDDING, (k + 1) * EMBEDDING)
                 grad[block] += np.einsum("bf,bfe->ef", g, model.embedding[words])
                 touched.append(words.ravel())
                 slopes.append((g[:, :, None] * model.filters[w][block].T[None]).reshape(-1, EMBEDDING))
             grads[f"filter{w}"] = grad
-        adam.step(weights, grads)
-        model.out_bias = float(weights["out_bias"][0])
+        state.step(grads)
         words, back = np.unique(np.concatenate(touched), return_inverse=True)
         slope = np.zeros((len(words), EMBEDDING), np.float32)
         np.add.at(slope, back, np.concatenate(slopes))
         # plain steps: what one text alone says moves a word little, what many say adds up
         model.embedding[words] = (1 - DECAY) * model.embedding[words] - EMBEDDING_RATE * slope
         model.embedding[-1] = 0
-    return model
 
 
-def calibrate(model: Model, scores: np.ndarray, labels: np.ndarray, langs: list[str | None], least: int = 40) -> Model:
-    """Thresholds that make the fewest errors on rows training didn't use, by language; middle of the best range.
+def labelled_words(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``(lang, label, held, key, words)`` of every labelled document: the hashes of all words of its whole text.
 
-    A language with fewer than ``least`` such rows, or without both classes, takes the threshold of all rows together;
-    without both classes there it is 0.5.
+    A bitmap of fixed size tells most documents without a label before they are moved; the join decides.
     """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(PLACES))
+    slots = ids.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("slot")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("bits")).toArrow()
+    bitmap = np.zeros(PLACES >> 6, np.int64)
+    bitmap[slots["slot"].to_numpy()] = slots["bits"].to_numpy()
+    held = docs.sparkSession.sparkContext.broadcast(bitmap)  # of a fixed size
 
-    def best(s: np.ndarray, y: np.ndarray) -> float | None:
-        if not y.any() or y.all():
-            return None
-        order = np.argsort(s, kind="stable")
-        s, y = s[order], y[order]
-        # errors if the first k rows are kept
-        errors = np.r_[0, np.cumsum(y)] + np.r_[np.cumsum((1 - y)[::-1])[::-1], 0]
-        errors = np.where(np.r_[True, s[1:] > s[:-1], True], errors, len(y) + 1)
-        ks = np.flatnonzero(errors == errors.min())
-        low, high = s[ks[0] - 1] if ks[0] else 0.0, s[ks[-1]] if ks[-1] < len(s) else 1.0
-        return float((low + high) / 2)
-
-    model.default_threshold = best(scores, labels) or 0.5
-    for lang in set(langs):
-        rows = np.array([x == lang for x in langs])
-        found = best(scores[rows], labels[rows]) if rows.sum() >= least else None
-        if found is not None:
-            model.thresholds[lang] = found
-    return model
+    def make():
+        bits, hashes = held.value, _Hashes()
+
+        def work(batch: pa.RecordBatch) -> dict | None:
+            at = batch.column("place").to_numpy()
+            batch = batch.filter(pa.array((bits[at >> 6] >> (at & 63)) & 1 == 1))
+            if not batch.num_rows:
+                return None
+            return {"words": [hashed(t, hashes).tobytes() for t in texts_of(batch, "text")]} | {c: batch.column(c) for c in ("doc_id", "lang", "key")}
+
+        return work
 
+    rows = docs.where("doc_id is not null").withColumns({"place": place, "key": F.xxhash64("doc_id", "text")})
+    found = map_arrow(rows, make, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, key long, words binary", cut_by="text")
+    apart = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4)) == 0
+    return found.join(ids, "doc_id").select("lang", "label", apart.alias("held"), "key", "words")
 
-def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, rest_rows: int = REST_ROWS, sample_words: int = SAMPLE_WORDS) -> Model:
-    """Fit on a bounded sample: the ids of lowest hash for which ``usable`` holds, ``sample_rows`` of label 1
-    and ``rest_rows`` of label 0.
 
-    Rows of the sample with more than ``sample_words`` words are left out of training (scoring takes whole texts of
-    any length).  A quarter of the sample serves the thresholds only.  Null labels, null ids and labels of unknown
-    documents are not used; an id labelled twice counts twice; without any labelled row all texts score alike.
+def vocabulary(rows: DataFrame, least: float) -> np.ndarray:
+    """Hashes of the words that ``least`` texts have, counted over all rows; few, as each stands for many texts."""
+
+    def make():
+        def work(batch: pa.RecordBatch) -> dict | None:
+            words, seen = np.unique(np.concatenate([np.unique(np.frombuffer(t, np.uint32)) for t in batch.column("words").to_pylist()]), return_counts=True)
+            return {"word": words.astype(np.int64), "seen": seen} if len(words) else None
+
+        return work
+
+    counts = map_arrow(rows.select("words"), make, "word long, seen long", cut_by="words").groupBy("word").agg(F.sum("seen").alias("seen"))
+    return np.sort(counts.where(F.col("seen") >= least).select("word").toArrow()["word"].to_numpy()).astype(np.uint32)
+
+
+def shards(rows: DataFrame, known: np.ndarray, sizes: list[int], words: int) -> DataFrame:
+    """``(shard, most, labels, sizes, words)``: every row in one shard, those of the rarer class in as many as need them.
+
+    A shard is one row with the known words of its texts end to end, so that rounds read it without a shuffle.
+    """
+    count = max(1, -(-max(sizes) // SHARD_ROWS), -(-words // SHARD_WORDS))
+    parts = F.lit(max(1, min(count, sizes[0] // SHARD_LEAST)))
+    parts = F.when(F.col("label") == 1, F.lit(max(1, min(count, sizes[1] // SHARD_LEAST)))).otherwise(parts)
+    held = rows.sparkSession.sparkContext.broadcast({int(h): k for k, h in enumerate(known)})
+
+    def make():
+        own = held.value
+
+        def work(batch: pa.RecordBatch) -> dict:
+            ids = [np.fromiter((own.get(h, len(own)) for h in np.frombuffer(t, np.uint32).tolist()), np.uint32).tobytes() for t in batch.column("words").to_pylist()]
+            return {"words": ids} | {c: batch.column(c) for c in ("shard", "label", "key")}
+
+        return work
+
+    def pack(key: tuple, part: pa.Table) -> pa.Table:
+        found = sorted(zip(part["key"].to_pylist(), part["label"].to_pylist(), part["words"].to_pylist()))
+        sizes = np.array([len(w) // 4 for *_, w in found], np.int64)
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "most": pa.array([max(sum(y == c for _, y, _ in found) for c in (0, 1))], pa.int64()), "labels": pa.array([bytes(y for _, y, _ in found)], pa.binary()), "sizes": pa.array([sizes.tobytes()], pa.binary()), "words": pa.array([b"".join(w for *_, w in found)], pa.binary())})
+
+    dealt = rows.withColumn("part", F.pmod("key", parts)).withColumn("shard", F.explode(F.sequence(F.col("part"), F.lit(count - 1).cast("long"), parts.cast("long"))))
+    return map_arrow(dealt.select("shard", "label", "key", "words"), make, "shard long, label int, key long, words binary", cut_by="words").groupBy("shard").applyInArrow(pack, "shard long, most long, labels binary, sizes binary, words binary")
+
+
+def fit(packed: DataFrame, known: np.ndarray, seed: int = 7) -> Model:
+    """The model after all rounds over all shards; within a round the shards' weights are their own, then their mean."""
+    spark, state = packed.sparkSession, _Fit.new(known, seed)
+    most = packed.agg(F.max("most")).first()[0]
+    # all rows of the largest shard come up
+    steps = -(-max(STEPS, -(-int(most) // (BATCH // 2))) // ROUNDS)
+    for turn in range(ROUNDS):
+        held = spark.sparkContext.broadcast(state)
+
+        def make(held=held, turn=turn):
+            def work(batch: pa.RecordBatch) -> dict:
+                rows = {"shard": [], "chunk": [], "values": []}
+                for shard, labels, sizes, words in zip(*(batch.column(c).to_pylist() for c in ("shard", "labels", "sizes", "words"))):
+                    own = copy.deepcopy(held.value)
+                    texts = np.split(np.frombuffer(words, np.uint32), np.cumsum(np.frombuffer(sizes, np.int64))[:-1])
+                    advance(own, texts, np.frombuffer(labels, np.uint8), turn * steps, steps, [seed, shard])
+                    flat = own.flat()
+                    for k in range(0, len(flat), CHUNK):
+                        rows["shard"].append(shard)
+                        rows["chunk"].append(k // CHUNK)
+                        rows["values"].append(flat[k : k + CHUNK].tobytes())
+                return rows
+
+            return work
+
+        def mean(key: tuple, part: pa.Table) -> pa.Table:
+            part = part.sort_by("shard")
+            total = sum(np.frombuffer(v, np.float32).astype(np.float64) for v in part["values"].to_pylist())
+            return pa.table({"chunk": pa.array([key[0].as_py()], pa.int64()), "values": pa.array([(total / part.num_rows).astype(np.float32).tobytes()], pa.binary())})
+
+        found = map_arrow(packed, make, "shard long, chunk long, values binary", cut_by="words").groupBy("chunk").applyInArrow(mean, "chunk long, values binary").toArrow().sort_by("chunk")
+        state.put(np.frombuffer(b"".join(found["values"].to_pylist()), np.float32))
+        state.t += steps
+        held.unpersist()
+    state.model.out_bias = float(state.out_bias[0])
+    return state.model
+
+
+def best_cut(cells: pa.Table) -> float | None:
+    """The threshold that makes the fewest errors, middle of the best range; without both classes there is none."""
+    cells = cells.sort_by("cell")
+    ones, n, low, high = (cells[c].to_numpy() for c in ("ones", "n", "low", "high"))
+    if not ones.sum() or ones.sum() == n.sum():
+        return None
+    # errors if the first k cells are kept
+    errors = np.r_[0, np.cumsum(ones)] + np.r_[np.cumsum((n - ones)[::-1])[::-1], 0]
+    ks = np.flatnonzero(errors == errors.min())
+    return float(((high[ks[0] - 1] if ks[0] else 0.0) + (low[ks[-1]] if ks[-1] < len(n) else 1.0)) / 2)
+
+
+def calibrate(model: Model, rows: DataFrame, least: int = 40) -> Model:
+    """Thresholds that make the fewest errors on all rows training didn't use, by language; middle of the best range.
+
+    A language with fewer than ``least`` such rows, or without both classes, takes the threshold of all rows together;
+    without both classes there it is 0.5.  Scores are counted in narrow cells, and a threshold lies between two of them.
     """
-    ids = pick(labels, doc_id=id_col, label=label_col).where(usable & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
-    order = F.xxhash64(F.col("doc_id"), F.lit("sample"))
-    chosen = ids.where("label = 0").orderBy(order, "doc_id").limit(rest_rows).unionByName(ids.where("label = 1").orderBy(order, "doc_id").limit(sample_rows))
-    rows = pick(docs, doc_id=id_col, text=text_col, lang=lang_col).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "lang", "label", (F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4)) == 0).alias("held"))
+    held = rows.sparkSession.sparkContext.broadcast(model)  # of a fixed size
 
     def make():
-        hashes = _Hashes()
+        own = held.value
 
         def work(batch: pa.RecordBatch) -> dict:
-            found = [hashed(t, hashes) for t in texts_of(batch, "text")]
-            return {"words": [f.tobytes() if len(f) <= sample_words else None for f in found]} | {c: batch.column(c) for c in ("lang", "label", "held", "key")}
+            scores = own.scores([own.known(np.frombuffer(t, np.uint32)) for t in batch.column("words").to_pylist()]).astype(np.float64)
+            return {"score": scores} | {c: batch.column(c) for c in ("lang", "label")}
 
         return work
 
-    read = map_arrow(rows.withColumn("label", F.col("label").cast("int")).withColumn("key", F.xxhash64("doc_id", "text")), make, "words binary, lang string, label int, held boolean, key long", cut_by="text")
-    # the sample's rows: bounded by the two parameters
-    sample = sorted(read.where("words is not null").toLocalIterator(), key=lambda r: (r.key, bytes(r.words)))
-    texts = [np.frombuffer(r.words, np.uint32) for r in sample]
-    y = np.array([r.label for r in sample], np.int64)
-    held = np.array([r.held for r in sample], bool)
-    model = fit([t for t, h in zip(texts, held) if not h], y[~held])
-    kept = np.flatnonzero(held)
-    return calibrate(model, model.scores([model.known(texts[k]) for k in kept]) if len(kept) else np.zeros(0), y[kept], [sample[k].lang for k in kept])
+    scored = map_arrow(rows.select("lang", "label", "words"), make, "lang string, label int, score double", cut_by="words")
+    s = F.greatest(F.least(F.col("score"), F.lit(1 - 1e-13)), F.lit(1e-13))
+    cell = F.floor(F.log(s / (1 - s)) * CELLS)
+    counted = [F.sum("ones").alias("ones"), F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")]
+    cells = staged(scored.groupBy("lang", cell.alias("cell")).agg(F.sum("label").alias("ones"), F.count(F.lit(1)).alias("n"), F.min("score").alias("low"), F.max("score").alias("high")))
+    every = cells.groupBy("cell").agg(*counted).select(F.lit(True).alias("whole"), F.lit(None).cast("string").alias("lang"), "cell", "ones", "n", "low", "high")
+
+    def cut(key: tuple, part: pa.Table) -> pa.Table:
+        enough = key[0].as_py() or pc.sum(part["n"]).as_py() >= least
+        return pa.table({"whole": pa.array([key[0].as_py()], pa.bool_()), "lang": pa.array([key[1].as_py()], pa.string()), "cut": pa.array([best_cut(part) if enough else None], pa.float64())})
+
+    # a group holds a row for each cell, a few ten thousand at most
+    found = cells.select(F.lit(False).alias("whole"), "*").unionByName(every).groupBy("whole", "lang").applyInArrow(cut, "whole boolean, lang string, cut double").where("cut is not null")
+    for r in found.collect():
+        if r.whole:
+            model.default_threshold = r.cut or 0.5
+        else:
+            model.thresholds[r.lang] = r.cut
+    return model
+
+
+def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", seed: int = 7) -> Model:
+    """Fit on the whole texts of all labelled rows for which ``usable`` holds.
+
+    By a hash of the id, three quarters of them serve the vocabulary and the weights, the last quarter the thresholds.
+    Words of fewer texts than ``LEAST_SHARE`` of the smaller class teach chance only and get no embedding.  With one class
+    only, every text gets the same score: that class's.  Null labels, null ids and labels of unknown documents are not
+    used; an id labelled twice counts twice; without any labelled row all texts score alike.
+    """
+    ids = pick(labels, doc_id=id_col, label=label_col).where(usable & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).withColumn("label", F.col("label").cast("int"))
+    rows = staged(labelled_words(pick(docs, doc_id=id_col, text=text_col, lang=lang_col), ids))
+    learn = rows.where("not held")
+    found = {r.label: r for r in learn.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("words") / 4).alias("words")).collect()}
+    if len(found) < 2:
+        model = Model.new(np.zeros(0, np.uint32), seed)
+        model.out[:] = 0
+        model.out_bias = 5.0 if 1 in found else -5.0
+    else:
+        sizes = [found[c].n for c in (0, 1)]
+        known = vocabulary(learn, max(4, LEAST_SHARE * min(sizes)))
+        model = fit(staged(shards(learn, known, sizes, int(sum(r.words for r in found.values())))), known, seed)
+    return calibrate(model, rows.where("held"))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
