@@ -192,6 +192,20 @@ def test_jaccard_pairs_of_the_last_round_grow_with_the_links_only(spark):
     assert linked <= made <= 1.05 * linked + 100
 
 
+def test_jaccard_centre_pairs_compare_plain_columns(spark):
+    """Structs as operands of least and greatest make code whose compilation takes an executor half a gigabyte."""
+    rows = [(t, d, 5 + d % 3, (d + t) % 4, d) for t in range(3) for d in (7, 2, 9, 4)]
+    here = spark.createDataFrame(rows, "token long, d long, n int, p int, component long")
+    pairs = jaccard_join._centre_pairs(here, 0)
+    at = {(t, d): (n, p) for t, d, n, p, _ in rows}
+    # the smallest id, the smallest and the largest set
+    centres = {min(d for _, d in at), min(at, key=lambda k: (at[k][0], k[1]))[1], min(at, key=lambda k: (-at[k][0], k[1]))[1]}
+    want = {(min(d, c), max(d, c), at[t, min(d, c)], at[t, max(d, c)]) for t, d in at for c in centres if c != d}
+    assert {(r.a, r.b, (r.na, r.pa), (r.nb, r.pb)) for r in pairs.collect()} == want and pairs.count() == len(want)
+    code = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "least(struct" not in code and "least(named_struct" not in code and "least(x" not in code and "greatest(struct" not in code
+
+
 def test_decontamination(spark, odd):
     bench = spark.createDataFrame([(1, "One two THREE four five six seven eight nine ten eleven"), (2, "short item"), (3, None), (4, "...")], "item_id long, text string")
     texts = ["x. One, two three-four five six seven eight nine ten! y", "a Short ITEM b short item", "one two three", None]

@@ -300,9 +300,15 @@ def _labelled(meeting: DataFrame, links: DataFrame | None) -> DataFrame:
 
 
 def _oriented(pairs: DataFrame) -> DataFrame:
-    """Pairs of structs ``x`` and ``y`` of document, size and place as ``a < b``."""
-    both = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    return both.select(F.col("x.d").alias("a"), F.col("y.d").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"), F.col("x.p").alias("pa"), F.col("y.p").alias("pb"))
+    """Pairs of a document ``d`` of size ``n`` and place ``p`` with another one, ``yd``, as ``a < b``.
+
+    No structs are compared: over those, the method that Spark makes of join and aggregate takes the compiler of every
+    executor half a gigabyte, which its process keeps.
+    """
+    first = F.col("d") < F.col("yd")
+    ends = [F.least("d", "yd").alias("a"), F.greatest("d", "yd").alias("b")]
+    rest = [column for k in "np" for column in (F.when(first, F.col(k)).otherwise(F.col(f"y{k}")).alias(f"{k}a"), F.when(first, F.col(f"y{k}")).otherwise(F.col(k)).alias(f"{k}b"))]
+    return pairs.select(*ends, *rest)
 
 
 def _centre_pairs(here: DataFrame, turn: int) -> DataFrame:
@@ -312,7 +318,7 @@ def _centre_pairs(here: DataFrame, turn: int) -> DataFrame:
     centres = here.groupBy("token").agg(*[F.min(F.struct(w.alias("o"), "component", own.alias("y"))).alias(f"c{k}") for k, w in enumerate(ways)])
     listed = centres.select("token", F.explode(F.array_distinct(F.array(*[F.struct(F.col(f"c{k}.component").alias("component"), F.col(f"c{k}.y").alias("y")) for k in range(len(ways))]))).alias("c"))
     met = here.join(listed, "token").where("c.component <> component")
-    return _oriented(met.select(own.alias("x"), "c.y")).distinct()
+    return _oriented(met.select("d", "n", "p", *[F.col(f"c.y.{k}").alias(f"y{k}") for k in "dnp"])).distinct()
 
 
 def _all_pairs(here: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
