@@ -342,6 +342,34 @@ def test_toxicity_uses_every_labelled_row(spark, monkeypatch):
     assert np.mean([(got[k] >= 0.5) == bool(y) for k, _, _, y in docs[:300]]) > 0.95
 
 
+def test_toxicity_rounds_move_sums_of_tasks(spark, monkeypatch):
+    """The weights after a round are the mean of all shards' own, and a task sends them once for all of its shards."""
+    monkeypatch.setattr(toxicity, "ROUNDS", 1)
+    monkeypatch.setattr(toxicity, "STEPS", 4)
+    rng, known = np.random.default_rng(5), np.arange(600, dtype=np.uint32)
+    texts = [[rng.integers(0, 601, 25).astype(np.uint32) for _ in range(8)] for _ in range(23)]
+    rows = [(k, 4, bytes([0, 1] * 4), np.array([25] * 8, np.int64).tobytes(), b"".join(t.tobytes() for t in own)) for k, own in enumerate(texts)]
+    packed = spark.createDataFrame(rows, "shard long, most long, labels binary, sizes binary, words binary").repartition(12)
+    want = []
+    for k, own in enumerate(texts):
+        state = toxicity._Fit.new(known, 7)
+        toxicity.advance(state, own, np.array([0, 1] * 4, np.uint8), 0, 4, [7, k])
+        want.append(state.flat().astype(np.float64))
+    seen, write = [], toxicity.staged
+
+    def spy(df):
+        seen.append(write(df))
+        return seen[-1]
+
+    monkeypatch.setattr(toxicity, "staged", spy)
+    got = toxicity.fit(packed, known)
+    assert np.allclose(got.embedding.ravel(), np.mean(want, axis=0)[: got.embedding.size], atol=1e-7) and len(seen) == 1
+    state = spark.sparkContext.broadcast(toxicity._Fit.new(known, 7))
+    moved = toxicity.changes(packed, state, 4, 0, 7).collect()
+    chunks = -(-len(want[0]) // toxicity.CHUNK)
+    assert chunks > 1 and len(moved) <= 4 * chunks and sum(r.shards for r in moved if r.chunk == 0) == 23
+
+
 def test_url_rules(spark):
     urls = [None, "nothing", "http://x.example.com/en/a?b", "http://WWW.Example.com/en/", "https://badexample.com/en/", "http://a.net/es", "http://a.net/es/#x", "http://com/x", "http://x.org/ads/banner.gif"]
     frame = spark.createDataFrame([(k, u, "x") for k, u in enumerate(urls)], "page_id long, url string, rule string")

@@ -8,16 +8,17 @@ from __future__ import annotations
 
 import copy
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import map_arrow, pick, staged, texts_of
+from tidemark.llm._common import map_arrow, pick, sent, settle, staged, texts_of
 
 WIDTHS = (1, 2, 3)
 EMBEDDING = 16
@@ -294,7 +295,7 @@ def vocabulary(rows: DataFrame, least: float) -> np.ndarray:
         return work
 
     counts = map_arrow(rows.select("words"), make, "word long, seen long", cut_by="words").groupBy("word").agg(F.sum("seen").alias("seen"))
-    return np.sort(counts.where(F.col("seen") >= least).select("word").toArrow()["word"].to_numpy()).astype(np.uint32)
+    return np.sort(staged(counts.where(F.col("seen") >= least).select("word")).toArrow()["word"].to_numpy()).astype(np.uint32)
 
 
 def shards(rows: DataFrame, known: np.ndarray, sizes: list[int], words: int) -> DataFrame:
@@ -325,40 +326,48 @@ def shards(rows: DataFrame, known: np.ndarray, sizes: list[int], words: int) ->
     return map_arrow(dealt.select("shard", "label", "key", "words"), make, "shard long, label int, key long, words binary", cut_by="words").groupBy("shard").applyInArrow(pack, "shard long, most long, labels binary, sizes binary, words binary")
 
 
+def changes(packed: DataFrame, state: Broadcast, steps: int, begin: int, seed: int) -> DataFrame:
+    """``(chunk, shards, change)``: by how much a round moves the weights, summed over the ``shards`` that a task trains.
+
+    A task trains its shards one after another, each from the common weights, and sends their sum once, so that what a
+    round moves grows with the cores and not with the rows; words that no shard of a task touched are runs of zeros.
+    Sums are of double width, so that the weights don't hang on which shards meet in a task.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle(__name__)
+        start, change, count = state.value.flat(), 0.0, 0
+        for batch in batches:
+            for shard, labels, sizes, words in zip(*(batch.column(c).to_pylist() for c in ("shard", "labels", "sizes", "words"))):
+                own = copy.deepcopy(state.value)
+                texts = np.split(np.frombuffer(words, np.uint32), np.cumsum(np.frombuffer(sizes, np.int64))[:-1])
+                advance(own, texts, np.frombuffer(labels, np.uint8), begin, steps, [seed, shard])
+                change, count = change + (own.flat().astype(np.float64) - start), count + 1
+        if count:
+            parts = [change[k : k + CHUNK].tobytes() for k in range(0, len(start), CHUNK)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int64()), pa.array([count] * len(parts), pa.int64()), pa.array(parts, pa.binary())], ["chunk", "shards", "change"])
+
+    return sent(packed.coalesce(packed.sparkSession.sparkContext.defaultParallelism)).mapInArrow(run, "chunk long, shards long, change binary")
+
+
 def fit(packed: DataFrame, known: np.ndarray, seed: int = 7) -> Model:
     """The model after all rounds over all shards; within a round the shards' weights are their own, then their mean."""
     spark, state = packed.sparkSession, _Fit.new(known, seed)
     most = packed.agg(F.max("most")).first()[0]
     # all rows of the largest shard come up
     steps = -(-max(STEPS, -(-int(most) // (BATCH // 2))) // ROUNDS)
+
+    def mean(key: tuple, part: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(v, np.float64) for v in sorted(part["change"].to_pylist()))
+        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int64()), "change": pa.array([(total / pc.sum(part["shards"]).as_py()).tobytes()], pa.binary())})
+
     for turn in range(ROUNDS):
         held = spark.sparkContext.broadcast(state)
-
-        def make(held=held, turn=turn):
-            def work(batch: pa.RecordBatch) -> dict:
-                rows = {"shard": [], "chunk": [], "values": []}
-                for shard, labels, sizes, words in zip(*(batch.column(c).to_pylist() for c in ("shard", "labels", "sizes", "words"))):
-                    own = copy.deepcopy(held.value)
-                    texts = np.split(np.frombuffer(words, np.uint32), np.cumsum(np.frombuffer(sizes, np.int64))[:-1])
-                    advance(own, texts, np.frombuffer(labels, np.uint8), turn * steps, steps, [seed, shard])
-                    flat = own.flat()
-                    for k in range(0, len(flat), CHUNK):
-                        rows["shard"].append(shard)
-                        rows["chunk"].append(k // CHUNK)
-                        rows["values"].append(flat[k : k + CHUNK].tobytes())
-                return rows
-
-            return work
-
-        def mean(key: tuple, part: pa.Table) -> pa.Table:
-            part = part.sort_by("shard")
-            total = sum(np.frombuffer(v, np.float32).astype(np.float64) for v in part["values"].to_pylist())
-            return pa.table({"chunk": pa.array([key[0].as_py()], pa.int64()), "values": pa.array([(total / part.num_rows).astype(np.float32).tobytes()], pa.binary())})
-
-        found = map_arrow(packed, make, "shard long, chunk long, values binary", cut_by="words").groupBy("chunk").applyInArrow(mean, "chunk long, values binary").toArrow().sort_by("chunk")
-        state.put(np.frombuffer(b"".join(found["values"].to_pylist()), np.float32))
+        # stored, so that the round's shuffle files go with it
+        found = staged(changes(packed, held, steps, turn * steps, seed).groupBy("chunk").applyInArrow(mean, "chunk long, change binary")).toArrow().sort_by("chunk")
+        state.put(state.flat() + np.frombuffer(b"".join(found["change"].to_pylist()), np.float64))
         state.t += steps
-        held.unpersist()
+        held.destroy()
     state.model.out_bias = float(state.out_bias[0])
     return state.model
 
