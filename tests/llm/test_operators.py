@@ -192,6 +192,30 @@ def test_jaccard_pairs_of_the_last_round_grow_with_the_links_only(spark):
     assert linked <= made <= 1.05 * linked + 100
 
 
+def test_jaccard_meeting_elements_move_once_and_only_sets_of_fitting_sizes_meet(spark):
+    rng = random.Random(3)
+    sets = [(k, rng.randint(1, 40), rng.sample(range(60), rng.randint(0, 12))) for k in range(80)]
+    share = Fraction("0.8")
+    found = jaccard_join._meeting(spark.createDataFrame(sets, "doc_id long, n long, prefix array<long>"), share)
+    every = [(t, d, n, p) for d, n, prefix in sets for p, t in enumerate(prefix)]
+    want = {x for x in every if any(x[0] == y[0] and x[1] != y[1] and min(x[2], y[2]) >= share * max(x[2], y[2]) for y in every)}
+    rows = [tuple(r) for r in found.select("token", "d", "n", "p").collect()]
+    assert len(rows) == len(want) < len(every) and {*rows} == want
+    assert found._jdf.queryExecution().sparkPlan().toString().count("Window") == 1
+    planned = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in planned and planned.split("Initial Plan")[-1].count("Exchange hashpartitioning(token") == 1
+
+
+def test_jaccard_verification_sends_texts(spark):
+    texts = [(1, "a b c d e f g h i j"), (2, "A b c d e f g h i j"), (3, "a b c d e f g h i k"), (4, None), (5, "x y")]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (4, 5)], "a long, b long")
+    found = jaccard_join._verified(pairs, rows, 3, Fraction("0.9"))
+    assert [(r.a, r.b) for r in found.collect()] == [(1, 2)]
+    # texts are read by the check itself: no step before it makes sets of hashes
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
 def test_jaccard_centre_pairs_compare_plain_columns(spark):
     """Structs as operands of least and greatest make code whose compilation takes an executor half a gigabyte."""
     rows = [(t, d, 5 + d % 3, (d + t) % 4, d) for t in range(3) for d in (7, 2, 9, 4)]

@@ -23,7 +23,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm._common import map_arrow, pick, sent, slices, staged, texts_of
@@ -125,6 +125,18 @@ def _sets(rows: DataFrame, size: int, share: Fraction, table) -> DataFrame:
     return map_arrow(rows, make, f"doc_id {kind}, n long, digest binary, prefix array<long>, " + ", ".join(f"{b} long" for b in BITS), cut_by="text")
 
 
+def _meeting(reps: DataFrame, share: Fraction) -> DataFrame:
+    """Prefix elements ``(token, d, n, p)`` of sets that meet another one there whose size passes the length filter.
+
+    Ordered by size, the next smaller and the next larger set of an element tell; every element moves once.
+    """
+    p, q = share.numerator, share.denominator
+    sizes, n = Window.partitionBy("token").orderBy("n"), F.col("n").cast("long")
+    spread = reps.select(F.col("doc_id").alias("d"), F.col("n").cast("int"), F.posexplode("prefix").alias("p", "token"))
+    beside = spread.withColumns({"below": F.lag(n).over(sizes), "above": F.lead(n).over(sizes)})
+    return beside.where((n * p <= F.col("below") * q) | (F.col("above") * p <= n * q)).select("token", "d", "n", "p")
+
+
 def _needed(share: Fraction) -> Column:
     """Elements that sets of sizes ``na`` and ``nb`` must share."""
     p, q = share.numerator, share.denominator
@@ -160,9 +172,9 @@ def _once(pairs: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, size: int, share: Fraction) -> DataFrame:
-    """Exact check of pairs ``(a, b)``: sets of ``b`` come to copies of ``a``'s, one for ``CENTRE_SHARE`` of them.
+    """Exact check of pairs ``(a, b)``: texts of ``b`` come to copies of ``a``'s, one for ``CENTRE_SHARE`` of them.
 
-    Texts are read again. The list of the wanted ones is broadcast while it is short; beyond that it is a plain join.
+    Texts are read again, and move as such: packed, they are smaller than the hashes of their sets. The list of the wanted ones is broadcast while it is short; beyond that it is a plain join.
     """
     kind = rows.schema["doc_id"].dataType.simpleString()
     many = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
@@ -173,19 +185,13 @@ def _verified(pairs: DataFrame, rows: DataFrame, size: int, share: Fraction) ->
     if placed.count() <= BROADCAST_PAIRS:
         wanted = F.broadcast(wanted)
 
-    def make():
-        hashes = _Hashes()
-        return lambda batch: {c: batch.column(c) for c in ("doc_id", "a", "copy", "role")} | {"items": [shingles(t, size, hashes).tobytes() for t in texts_of(batch, "text")]}
-
-    sets = map_arrow(rows.join(wanted, "doc_id"), make, f"doc_id {kind}, a {kind}, copy long, role int, items binary", cut_by="text")
-
     def make_check():
-        held: list = [None, None, np.zeros(0, np.uint64)]
+        hashes, held = _Hashes(), [None, None, np.zeros(0, np.uint64)]
 
         def work(batch: pa.RecordBatch) -> dict:
             out = {"a": [], "b": []}
-            for doc, a, copy, role, raw in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "a", "copy", "role", "items"))):
-                items = np.frombuffer(raw, np.uint64)
+            for doc, a, copy, role, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "a", "copy", "role", "text"))):
+                items = shingles(text, size, hashes)
                 if role == 0:
                     held[:] = [a, copy, items]
                     continue
@@ -200,8 +206,8 @@ def _verified(pairs: DataFrame, rows: DataFrame, size: int, share: Fraction) ->
 
         return work
 
-    met = sets.repartition("a", "copy").sortWithinPartitions("a", "copy", "role")
-    return map_arrow(met, make_check, f"a {kind}, b {kind}", cut_by="items").distinct()
+    met = rows.join(wanted, "doc_id").repartition("a", "copy").sortWithinPartitions("a", "copy", "role")
+    return map_arrow(met, make_check, f"a {kind}, b {kind}", cut_by="text").distinct()
 
 
 def _trace(edges: DataFrame) -> tuple:
@@ -254,10 +260,7 @@ def link_groups(docs: DataFrame, size: int = 5, threshold: str = "0.8", id_col:
     named = known.groupBy("doc_id").agg(F.min("digest").alias("digest"))
     classes = staged(named.groupBy("digest").agg(F.min("doc_id").alias("rep")))
     reps = known.join(classes, (known["doc_id"] == classes["rep"]) & (known["digest"] == classes["digest"]), "left_semi")
-    spread = reps.select(F.col("doc_id").alias("d"), F.col("n").cast("int"), F.posexplode("prefix").alias("p", "token")).repartition("token")
-    # reads the exchange of ``spread`` again
-    many = spread.groupBy("token").agg(F.count("n").alias("many"), F.max("d").alias("d"), F.max("p").alias("p")).where("many > 1").select("token")
-    meeting = staged(spread.join(many, "token").select("token", "d", "n", "p"))
+    meeting = staged(_meeting(reps, share))
     links = tried = None
     turn, total, more = 0, 0, True
     while more:
@@ -332,12 +335,13 @@ def _all_pairs(here: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
     p, q = share.numerator, share.denominator
     # a little wider than the sizes allow: rounding of logarithms can't part a pair
     wide = F.floor(F.log(F.col("n")) / F.log(F.lit(q / p if q > p else 2.0)) * 0.999)
-    held = here.groupBy("token", "component").agg(F.count(F.lit(1)).alias("held"))
-    main = held.groupBy("token").agg(F.max_by("component", "held").alias("main"), F.max("held").alias("most"), F.count(F.lit(1)).alias("components"))
-    # a small component is not worth a second copy of the others
-    main = main.where("components > 1").select("token", F.when(F.col("most") >= MAIN, F.col("main")).alias("main"))
+    early = F.expr(f"p <= n - ({2 * p} * n + {p + q - 1}) div {p + q}")
+    held = here.groupBy("token", "component").agg(F.count(F.lit(1)).alias("held"), F.max(early).alias("early"))
+    main = held.groupBy("token").agg(F.max_by("component", "held").alias("main"), F.max("held").alias("most"), F.count(F.lit(1)).alias("components"), F.max("early").alias("early"))
+    # a small component is not worth a second copy of the others; elements that are early in no set make no pair
+    main = main.where("components > 1 and early").select("token", F.when(F.col("most") >= MAIN, F.col("main")).alias("main"))
     rows = here.join(main, "token").join(sets.select(F.col("doc_id").alias("d"), *BITS), "d").withColumns({"size": wide, "in_main": F.coalesce(F.col("component") == F.col("main"), F.lit(False))})
-    first = rows.where(F.expr(f"p <= n - ({2 * p} * n + {p + q - 1}) div {p + q}"))
+    first = rows.where(early)
     left = first.select(
         "token", F.explode(F.array(F.col("size"), F.col("size") + 1)).alias("size"), F.col("component").alias("ca"), F.col("d").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"),
         F.when(F.col("in_main") | F.col("main").isNull(), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True))).alias("sides"), *[F.col(k).alias(f"a_{k}") for k in BITS],
